@@ -73,3 +73,119 @@ def q_consolidate_bank(spark, sf_dir):
 SELECT statement_id, transaction_id, {', '.join(SECU_COLUMNS)} FROM secu_raw"""))
 def q_stage_numbering(spark, sf_dir):
     return staged_secu(World(spark, sf_dir)).drop("id", "date_created", "created_by")
+
+
+# ---------------------------------------------------------------------------
+# dedup (P9-P11, F5-F9, J1-J6, G6, G7)
+# ---------------------------------------------------------------------------
+from ..operators import dedup as D  # noqa: E402
+
+
+def _duck_key(pk: str, parts: list[str], trim_parts: bool) -> str:
+    comp = " || ".join(f"coalesce({'trim(' + p + ')' if trim_parts else p}, '') || '|'" for p in parts)
+    if trim_parts:
+        return f"CASE WHEN trim({pk}) <> '' THEN trim({pk}) ELSE {comp} END"
+    return f"CASE WHEN {pk} IS NOT NULL AND {pk} <> '' THEN trim({pk}) ELSE {comp} END"
+
+
+_BANK_PK, _BANK_PARTS = D.key_columns("bank")
+_SECU_PK, _SECU_PARTS = D.key_columns("secu")
+_DUCK_PAIRS = """
+    SELECT a.id AS statement_id, b.id AS other_id, a.account_type
+    FROM stmt a JOIN stmt b ON a.account_type = b.account_type
+     AND b.status NOT IN ('error', 'new') AND b.from_date <= a.to_date
+     AND b.to_date >= a.from_date AND a.id <> b.id"""
+
+
+@query("overlap_pairs", O.with_views(["stmt"], _DUCK_PAIRS))
+def q_overlap_pairs(spark, sf_dir):
+    return D.overlap_pairs(World(spark, sf_dir).stmt)
+
+
+@query("dedup_keys", O.with_views(["bank_in"], f"""
+SELECT statement_id, archival_number, {_duck_key(_BANK_PK, _BANK_PARTS, True)} AS dedup_key FROM bank_in"""))
+def q_dedup_keys(spark, sf_dir):
+    w = World(spark, sf_dir)
+    return D.with_incoming_key(w.bank_in, "bank").select("statement_id", "archival_number", "dedup_key")
+
+
+def _stored_scenario(w: World, account_type: str):
+    """Statements with status 'imported' are stored; 'new' ones import now."""
+    src = w.bank_in if account_type == "bank" else w.secu_in
+    cols = BANK_COLUMNS if account_type == "bank" else SECU_COLUMNS
+    st = w.stmt.filter(F.col("account_type") == account_type)
+    stored_ids = st.filter(F.col("status") == "imported").select(F.col("id").alias("statement_id"))
+    new_ids = st.filter(F.col("status") == "new").select(F.col("id").alias("statement_id"))
+    stored_raw = stage(src.join(stored_ids, "statement_id"), cols, bucket=pos_bucket())
+    incoming = src.join(new_ids, "statement_id")
+    return D.drop_stored_duplicates(incoming, w.stmt, stored_raw, account_type)
+
+
+_DUCK_SCENARIO = f"""
+, stored AS (
+    SELECT DISTINCT r.statement_id, {_duck_key(_BANK_PK, _BANK_PARTS, False)} AS dedup_key
+    FROM bank_raw r JOIN stmt s ON s.id = r.statement_id WHERE s.status = 'imported'),
+pairs AS ({_DUCK_PAIRS}),
+blocked AS (SELECT DISTINCT p.statement_id, k.dedup_key FROM pairs p JOIN stored k ON k.statement_id = p.other_id),
+incoming AS (
+    SELECT i.*, {_duck_key(_BANK_PK, _BANK_PARTS, True)} AS dedup_key
+    FROM bank_in i JOIN stmt s ON s.id = i.statement_id WHERE s.status = 'new'),
+flagged AS (
+    SELECT i.*, b.dedup_key IS NOT NULL AS dup
+    FROM incoming i LEFT JOIN blocked b ON b.statement_id = i.statement_id AND b.dedup_key = i.dedup_key)
+"""
+
+
+def _scenario_sql(body: str) -> str:
+    base = O.with_views(["bank_raw", "stmt", "bank_in"], "SELECT 1")
+    return base[: -len("SELECT 1")].rstrip() + _DUCK_SCENARIO + body
+
+
+@query("dedup_antijoin", _scenario_sql(
+    "SELECT statement_id, archival_number, dedup_key FROM flagged WHERE NOT dup"))
+def q_dedup_antijoin(spark, sf_dir):
+    kept, _ = _stored_scenario(World(spark, sf_dir), "bank")
+    return kept.select("statement_id", "archival_number", "dedup_key")
+
+
+@query("dedup_counts", _scenario_sql("""
+SELECT statement_id, count(*) AS row_count, count_if(dup) AS duplicate_count,
+       count_if(NOT dup) AS new_count FROM flagged GROUP BY statement_id"""))
+def q_dedup_counts(spark, sf_dir):
+    _, counts = _stored_scenario(World(spark, sf_dir), "bank")
+    return counts
+
+
+_DUCK_FOLD = f"""
+, nodes AS (
+    SELECT k.statement_id, k.dedup_key, s.import_seq AS seq, s.from_date AS f, s.to_date AS t,
+           coalesce(s.status NOT IN ('error', 'new'), false) AS blocks
+    FROM (SELECT DISTINCT statement_id, {_duck_key(_SECU_PK, _SECU_PARTS, True)} AS dedup_key FROM secu_in) k
+    JOIN stmt s ON s.id = k.statement_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY dedup_key ORDER BY seq) AS rn FROM nodes),
+fold AS (
+    SELECT dedup_key, rn, [{{'sid': statement_id, 'f': f, 't': t, 'blocks': blocks}}] AS acc
+    FROM ranked WHERE rn = 1
+    UNION ALL
+    SELECT r.dedup_key, r.rn,
+           CASE WHEN len(list_filter(fo.acc, lambda y: y.blocks AND y.f <= r.t AND y.t >= r.f)) > 0
+                THEN fo.acc
+                ELSE list_append(fo.acc, {{'sid': r.statement_id, 'f': r.f, 't': r.t, 'blocks': r.blocks}}) END
+    FROM fold fo JOIN ranked r ON r.dedup_key = fo.dedup_key AND r.rn = fo.rn + 1),
+final AS (SELECT dedup_key, arg_max(acc, rn) AS acc FROM fold GROUP BY dedup_key),
+kept AS (SELECT DISTINCT dedup_key, unnest(acc).sid AS statement_id FROM final)
+"""
+
+
+def _fold_sql(body: str) -> str:
+    base = O.with_views(["secu_in", "stmt"], "SELECT 1")
+    head = base[: -len("SELECT 1")].rstrip()
+    return head.replace("WITH ", "WITH RECURSIVE ", 1) + _DUCK_FOLD + body
+
+
+@query("dedup_bulk_fold", _fold_sql("""
+SELECT n.statement_id, n.dedup_key, k.statement_id IS NOT NULL AS kept
+FROM nodes n LEFT JOIN kept k ON k.statement_id = n.statement_id AND k.dedup_key = n.dedup_key"""))
+def q_dedup_bulk_fold(spark, sf_dir):
+    w = World(spark, sf_dir)
+    return D.bulk_dedup(w.secu_in, w.stmt, "secu")
