@@ -24,6 +24,25 @@ DETECTION_RULES = [
     ("SWEDBANK", ["dok nr"]),
 ]
 
+# Header lines of the three layouts, cell by cell (used to write fixtures and
+# round-trip files; detection itself only looks for the keywords above).
+LHV_HEADER = [
+    "Kliendi konto", "Dokumendi number", "Kuupäev", "Saaja/maksja konto",
+    "Saaja/maksja nimi", "Saaja panga kood", "Tühi", "Deebet/Kreedit (D/C)", "Summa",
+    "Viitenumber", "Arhiveerimistunnus", "Selgitus", "Teenustasu", "Valuuta",
+    "Isikukood või registrikood", "Saaja/maksja panga BIC", "Makse algataja nimi",
+    "Kande viide", "Konto teenusepakkuja viide",
+]
+SWEDBANK_HEADER = [
+    "Kliendi konto", "Dok nr", "Makse kuupäev", "Saaja/maksja konto", "Saaja/maksja nimi",
+    "Saaja/maksja pank", "D/C", "Summa", "Viitenumber", "Arhiveerimistunnus", "Selgitus",
+    "Teenustasu", "Valuuta", "Isikukood/registrikood",
+]
+SECURITIES_HEADER = [
+    "VÄÄRTUSPÄEV", "TEHINGUPÄEV", "TEHING", "SÜMBOL", "VÄÄRTPABER", "KOGUS", "HIND",
+    "VALUUTA", "NETOSUMMA", "TEENUSTASU", "KOKKU", "VIIDE", "KOMMENTAAR",
+]
+
 # Mapped bank columns, in CSV position order after the LHV blank cell 6 is removed.
 BANK_COLUMNS = [
     "account_number", "document_nr", "payment_date", "other_side_account",

@@ -189,3 +189,65 @@ FROM nodes n LEFT JOIN kept k ON k.statement_id = n.statement_id AND k.dedup_key
 def q_dedup_bulk_fold(spark, sf_dir):
     w = World(spark, sf_dir)
     return D.bulk_dedup(w.secu_in, w.stmt, "secu")
+
+
+# ---------------------------------------------------------------------------
+# CSV ingest (A3-A5, P1-P8, F1): render derived rows as CSV chunks, parse back
+# ---------------------------------------------------------------------------
+from ..formats import LHV_HEADER, SECURITIES_HEADER, SWEDBANK_HEADER  # noqa: E402
+from ..operators import ingest as I  # noqa: E402
+from ..sources import csv_statements as CSV  # noqa: E402
+
+
+def rendered_files(w: World) -> DataFrame:
+    """Bank statements of region 2 as Swedbank files, other banks as LHV files,
+    securities as securities files; one file per (statement, position chunk)."""
+    b = w.bank_in.withColumn("_chunk", pos_bucket()).withColumn("_blank", F.lit(""))
+    swed = F.col("statement_id").endswith("-2")
+    lhv_cols = BANK_COLUMNS[:6] + ["_blank"] + BANK_COLUMNS[6:]
+    grp = ["statement_id", "_chunk"]
+    lhv = CSV.render_csv(b.filter(~swed), lhv_cols, LHV_HEADER, ",", grp, "pos")
+    sw = CSV.render_csv(b.filter(swed), BANK_COLUMNS[:14], SWEDBANK_HEADER, ";", grp, "pos", bom=False)
+    s = w.secu_in.withColumn("_chunk", pos_bucket())
+    se = CSV.render_csv(s, SECU_COLUMNS, SECURITIES_HEADER, ",", grp, "pos")
+    return lhv.unionByName(sw).unionByName(se)
+
+
+def parsed_rendered(w: World) -> dict[str, DataFrame]:
+    files = I.classify_files(rendered_files(w))
+    rows = CSV.parse_records(files.select("statement_id", "_chunk", "format", "separator", "content"))
+    return I.map_all_layouts(rows)
+
+
+_DUCK_CHUNKS = """
+SELECT DISTINCT statement_id, p_k // 65536 AS _chunk,
+       CASE WHEN statement_id LIKE 'S%' THEN 'SECURITIES'
+            WHEN statement_id LIKE '%-2' THEN 'SWEDBANK' ELSE 'LHV_BANK' END AS format
+FROM (SELECT statement_id, p_k FROM bank_in UNION ALL SELECT statement_id, p_k FROM secu_in)"""
+
+
+@query("detect_format", O.with_views(["bank_in", "secu_in"], _DUCK_CHUNKS))
+def q_detect_format(spark, sf_dir):
+    files = I.classify_files(rendered_files(World(spark, sf_dir)))
+    return files.select("statement_id", "_chunk", "format")
+
+
+@query("parse_csv_roundtrip", O.with_views(["bank_in"], f"""
+SELECT statement_id, {', '.join(BANK_COLUMNS)} FROM bank_in WHERE statement_id NOT LIKE '%-2'"""))
+def q_parse_csv_roundtrip(spark, sf_dir):
+    b = parsed_rendered(World(spark, sf_dir))["bank"]
+    return b.filter(F.col("format") == "LHV_BANK").select("statement_id", *BANK_COLUMNS)
+
+
+@query("map_bank_swed", O.with_views(["bank_in"], f"""
+SELECT statement_id, {', '.join(BANK_COLUMNS[:14])}, {', '.join('NULL::VARCHAR AS ' + c for c in BANK_COLUMNS[14:])}
+FROM bank_in WHERE statement_id LIKE '%-2'"""))
+def q_map_bank_swed(spark, sf_dir):
+    b = parsed_rendered(World(spark, sf_dir))["bank"]
+    return b.filter(F.col("format") == "SWEDBANK").select("statement_id", *BANK_COLUMNS)
+
+
+@query("map_secu", O.with_views(["secu_in"], f"""
+SELECT statement_id, {', '.join(SECU_COLUMNS)} FROM secu_in"""))
+def q_map_secu(spark, sf_dir):
+    return parsed_rendered(World(spark, sf_dir))["secu"].select("statement_id", *SECU_COLUMNS)
