@@ -68,7 +68,7 @@ def words_match(words, text, if_empty: bool, skip_empty_words: bool = True) -> C
     cleaned = F.transform(parts, lambda x: F.lower(java_trim(x)))
     if skip_empty_words:
         cleaned = F.filter(cleaned, lambda x: x != "")
-    hit = F.exists(cleaned, lambda x: F.locate(x, t) > 0)
+    hit = F.exists(cleaned, lambda x: t.contains(x))
     return F.when(w.isNull() | (w == ""), F.lit(if_empty)).otherwise(F.coalesce(hit, F.lit(False)))
 
 

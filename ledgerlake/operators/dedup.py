@@ -105,13 +105,19 @@ def drop_stored_duplicates(incoming: DataFrame, statements: DataFrame, stored_ra
     Returns (surviving rows in their original order columns, counts per
     statement: parsed, duplicates, new).
     """
+    flagged = flag_stored_duplicates(incoming, statements, stored_raw, account_type)
+    kept = flagged.filter(~F.col("_dup")).drop("_dup")
+    return kept, dedup_counts(flagged)
+
+
+def flag_stored_duplicates(incoming: DataFrame, statements: DataFrame, stored_raw: DataFrame,
+                           account_type: str) -> DataFrame:
+    """Incoming rows + ``dedup_key`` + ``_dup`` (J4/J5 verdict per row)."""
     keyed = with_incoming_key(incoming, account_type)
     blocked = blocked_keys(statements.filter(F.col("account_type") == account_type),
                            stored_keys(stored_raw, account_type))
     flagged = keyed.join(blocked.withColumn("_dup", F.lit(True)), ["statement_id", "dedup_key"], "left")
-    flagged = flagged.withColumn("_dup", F.coalesce(F.col("_dup"), F.lit(False)))
-    kept = flagged.filter(~F.col("_dup")).drop("_dup")
-    return kept, dedup_counts(flagged)
+    return flagged.withColumn("_dup", F.coalesce(F.col("_dup"), F.lit(False)))
 
 
 def dedup_counts(flagged: DataFrame, dup_col: str = "_dup") -> DataFrame:
@@ -137,13 +143,14 @@ def bulk_dedup(incoming: DataFrame, statements: DataFrame, account_type: str,
     practice); each round is one join + one bounded aggregate.
     """
     st = statements.filter(F.col("account_type") == account_type)
-    info = st.select(F.col("id").alias("statement_id"), F.col("import_seq").cast("bigint").alias("seq"),
+    info = st.select(F.col("id").alias("statement_id"), F.col("import_seq").alias("seq"),
                      blocks("status").alias("blocks"))
     keys = with_incoming_key(incoming, account_type).select("statement_id", "dedup_key").distinct()
     nodes = keys.join(info, "statement_id").withColumn("stored", F.lit(False))
     if stored is not None:
         seeded = (stored.join(info.select("statement_id", "blocks"), "statement_id")
-                  .withColumn("seq", F.lit(None).cast("bigint")).withColumn("stored", F.lit(True)))
+                  .withColumn("seq", F.lit(None).cast(info.schema["seq"].dataType))
+                  .withColumn("stored", F.lit(True)))
         nodes = nodes.join(stored.select("statement_id", "dedup_key"), ["statement_id", "dedup_key"],
                            "left_anti").unionByName(seeded)
 
@@ -185,9 +192,14 @@ def bulk_dedup(incoming: DataFrame, statements: DataFrame, account_type: str,
                       ["statement_id", "dedup_key"])
 
 
-def apply_bulk_dedup(incoming: DataFrame, verdict: DataFrame, account_type: str) -> tuple[DataFrame, DataFrame]:
-    """Join J6 verdicts back to rows: (surviving rows, per-statement counts)."""
+def flag_bulk_duplicates(incoming: DataFrame, verdict: DataFrame, account_type: str) -> DataFrame:
+    """Incoming rows + ``dedup_key`` + ``_dup`` from J6 verdicts."""
     keyed = with_incoming_key(incoming, account_type)
-    flagged = keyed.join(verdict, ["statement_id", "dedup_key"], "left").withColumn(
+    return keyed.join(verdict, ["statement_id", "dedup_key"], "left").withColumn(
         "_dup", ~F.coalesce(F.col("kept"), F.lit(True))).drop("kept")
+
+
+def apply_bulk_dedup(incoming: DataFrame, verdict: DataFrame, account_type: str) -> tuple[DataFrame, DataFrame]:
+    """Join J6 verdicts back to rows: (surviving rows, per-statement counts)."""
+    flagged = flag_bulk_duplicates(incoming, verdict, account_type)
     return flagged.filter(~F.col("_dup")).drop("_dup"), dedup_counts(flagged)

@@ -1,0 +1,117 @@
+"""Dedup semantics."""
+
+from pyspark.sql import functions as F
+
+from ledgerlake.formats import SECU_COLUMNS
+from ledgerlake.operators import dedup as D
+
+STMT = "id string, account_type string, from_date string, to_date string, status string, import_seq int"
+
+
+def _secu(spark, rows):
+    """rows: (statement_id, pos, reference) -> mapped securities rows."""
+    data = []
+    for sid, pos, ref in rows:
+        vals = {c: f"{c}-{pos}" for c in SECU_COLUMNS}
+        vals["reference"] = ref
+        data.append((sid, pos, *[vals[c] for c in SECU_COLUMNS]))
+    return spark.createDataFrame(data, "statement_id string, file_pos int, " +
+                                 ", ".join(f"{c} string" for c in SECU_COLUMNS))
+
+
+def test_partial_duplicates_keep_order(spark):
+    st = spark.createDataFrame([("new", "secu", "2024-01-01", "2024-01-31", "importing", 2),
+                                ("old", "secu", "2024-01-15", "2024-02-15", "imported", 1)], STMT)
+    incoming = _secu(spark, [("new", i, f"REF00{i}") for i in range(1, 6)])
+    stored = _secu(spark, [("old", 1, "REF002"), ("old", 2, "REF004")])
+    kept, counts = D.drop_stored_duplicates(incoming, st, stored, "secu")
+    assert [r.reference for r in kept.orderBy("file_pos").collect()] == ["REF001", "REF003", "REF005"]
+    c = counts.collect()[0]
+    assert (c.row_count, c.duplicate_count, c.new_count) == (5, 2, 3)
+
+
+def test_non_overlapping_error_new_and_self_do_not_block(spark):
+    st = spark.createDataFrame([("x", "secu", "2024-03-01", "2024-03-31", "importing", 5),
+                                ("far", "secu", "2024-05-01", "2024-05-31", "imported", 1),
+                                ("err", "secu", "2024-03-01", "2024-03-31", "error", 2),
+                                ("nw", "secu", "2024-03-01", "2024-03-31", "new", 3),
+                                ("nul", "secu", "2024-03-01", "2024-03-31", None, 4),
+                                ("bank", "bank", "2024-03-01", "2024-03-31", "imported", 6),
+                                ("touch", "secu", "2024-03-31", "2024-04-30", "imported", 7)], STMT)
+    incoming = _secu(spark, [("x", 1, "K1"), ("x", 2, "K2")])
+    stored = _secu(spark, [(s, 1, "K1") for s in ("far", "err", "nw", "nul", "bank", "x")] + [("touch", 1, "K2")])
+    kept, _ = D.drop_stored_duplicates(incoming, st, stored, "secu")
+    # only the statement touching on the 31st blocks (inclusive bounds)
+    assert [r.reference for r in kept.collect()] == ["K1"]
+
+
+def test_null_dates_never_overlap(spark):
+    st = spark.createDataFrame([("a", "secu", None, "2024-01-31", "imported", 1),
+                                ("b", "secu", "2024-01-01", "2024-01-31", "importing", 2)], STMT)
+    assert D.overlap_pairs(st).count() == 0
+
+
+def test_in_file_duplicates_are_kept(spark):
+    st = spark.createDataFrame([("s", "secu", "2024-01-01", "2024-01-31", "importing", 1)], STMT)
+    incoming = _secu(spark, [("s", 1, "R"), ("s", 2, "R")])
+    kept, _ = D.drop_stored_duplicates(incoming, st, _secu(spark, []).limit(0), "secu")
+    assert kept.count() == 2
+
+
+def test_composite_key_when_primary_blank(spark):
+    df = _secu(spark, [("s", 1, ""), ("s", 2, "  ")])
+    keys = [r.dedup_key for r in D.with_incoming_key(df, "secu").orderBy("file_pos").collect()]
+    assert keys[0] == "value_date-1|transaction_date-1|type-1|ticker-1|amount-1|currency-1|"
+    assert keys[1].startswith("value_date-2|")
+
+
+def test_bulk_fold_is_not_first_wins(spark):
+    # A(1-10) B(8-20) C(15-30) all hold k: B drops k (A has it); C overlaps only B,
+    # which stored nothing, so C keeps k.
+    st = spark.createDataFrame([("A", "secu", "2024-01-01", "2024-01-10", "imported", 1),
+                                ("B", "secu", "2024-01-08", "2024-01-20", "imported", 2),
+                                ("C", "secu", "2024-01-15", "2024-01-30", "imported", 3)], STMT)
+    incoming = _secu(spark, [("A", 1, "k"), ("B", 1, "k"), ("C", 1, "k"), ("C", 2, "k")])
+    v = D.bulk_dedup(incoming, st, "secu")
+    got = {r.statement_id: r.kept for r in v.collect()}
+    assert got == {"A": True, "B": False, "C": True}
+    kept, counts = D.apply_bulk_dedup(incoming, v, "secu")
+    assert sorted(r.statement_id for r in kept.collect()) == ["A", "C", "C"]
+
+
+def test_bulk_fold_seeded_by_stored_rows_and_non_blocking_status(spark):
+    st = spark.createDataFrame([("S", "secu", "2024-01-01", "2024-01-31", "imported", 9),
+                                ("E", "secu", "2024-01-01", "2024-01-31", "error", 1),
+                                ("N", "secu", "2024-01-05", "2024-01-25", "importing", 2)], STMT)
+    incoming = _secu(spark, [("E", 1, "k"), ("N", 1, "k"), ("N", 2, "j")])
+    stored = spark.createDataFrame([("S", "j")], "statement_id string, dedup_key string")
+    v = {(r.statement_id, r.dedup_key): r.kept for r in D.bulk_dedup(incoming, st, "secu", stored=stored).collect()}
+    # E is kept but does not block (error); S stored j and blocks N's j
+    assert v == {("E", "k"): True, ("N", "k"): True, ("N", "j"): False}
+
+
+def test_bulk_fold_matches_one_by_one_loop(spark):
+    """Invariant: the fold equals importing statements one at a time."""
+    import random
+    rnd = random.Random(7)
+    stmts, rows = [], []
+    for i in range(12):
+        start = rnd.randint(1, 20)
+        stmts.append((f"s{i:02d}", "secu", f"2024-01-{start:02d}", f"2024-01-{start + rnd.randint(0, 8):02d}",
+                      rnd.choice(["imported", "imported", "error"]), i))
+        for k in rnd.sample(range(6), 3):
+            rows.append((f"s{i:02d}", k, f"k{k}"))
+    st = spark.createDataFrame(stmts, STMT)
+    got = {(r.statement_id, r.dedup_key): r.kept
+           for r in D.bulk_dedup(_secu(spark, rows), st, "secu").collect()}
+    # slow reference: one statement at a time, in import order
+    stored = {}
+    expect = {}
+    for sid, _, f, t, status, _ in stmts:
+        mine = {k for s, _, k in rows if s == sid}
+        for k in mine:
+            blocked = any(k in stored.get(o, set()) and of <= t and ot >= f and ostatus not in ("error", "new")
+                          for o, _, of, ot, ostatus, _ in stmts if o != sid)
+            expect[(sid, k)] = not blocked
+        stored[sid] = {k for k in mine if expect[(sid, k)]}
+    assert got == expect

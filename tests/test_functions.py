@@ -1,0 +1,62 @@
+from pyspark.sql import functions as F
+
+from ledgerlake import functions as L
+
+
+def _one(spark, col, data="x string", rows=(("a",),)):
+    return [r[0] for r in spark.createDataFrame(list(rows), data).select(col).collect()]
+
+
+def test_java_trim_strips_control_chars(spark):
+    assert _one(spark, L.java_trim("x"), rows=[("\t ab c\n\x01",)]) == ["ab c"]
+
+
+def test_zero_pad_never_truncates(spark):
+    assert _one(spark, L.zero_pad("n"), "n int", [(5,), (1234,)]) == ["005", "1234"]
+
+
+def test_statement_ref_prefix_and_ref(spark):
+    got = _one(spark, L.statement_ref(L.statement_ref_prefix("x"), F.lit(7)), rows=[("2024-01-01",), ("24",), (None,)])
+    assert got[0] == "STMT2024.007"
+    assert got[1].startswith("STMT20") and len(got[1]) == len("STMT2026.007")
+    assert got[2] == got[1]
+
+
+def test_truncate_error(spark):
+    got = _one(spark, L.truncate_error("x"), rows=[("a" * 1000,), ("b" * 1500,), (None,)])
+    assert [len(g) for g in got[:2]] == [1000, 1000] and got[2] == "Unknown error"
+
+
+def test_dedup_keys(spark):
+    df = spark.createDataFrame([(" ABC123 ", "a", "b"), ("", "a", None), (None, " a ", "b")],
+                               "pk string, c1 string, c2 string")
+    got = [r[0] for r in df.select(L.incoming_dedup_key("pk", ["c1", "c2"])).collect()]
+    assert got == ["ABC123", "a||", "a|b|"]
+
+
+def test_word_lists(spark):
+    df = spark.createDataFrame([("fee,tax", "Bank FEE 1"), ("", "x"), (None, "x"), ("a,,b", "zzz"), ("x,", "abc")],
+                               "w string, t string")
+    inc = [r[0] for r in df.select(L.includes_words("w", "t")).collect()]
+    exc = [r[0] for r in df.select(L.excludes_words("w", "t")).collect()]
+    assert inc == [True, True, True, False, False]
+    assert exc == [True, False, False, False, False]
+    raw = [r[0] for r in df.select(L.includes_words("w", "t", skip_empty_words=False)).collect()]
+    assert raw[3] is True  # reference quirk: an empty word matches everything
+
+
+def test_decimal_parsing(spark):
+    df = spark.createDataFrame([("1.50",), ("",), (None,), ("abc",), (" -2 ",)], "x string")
+    got = df.select(L.to_decimal("x", 15, 2).cast("string"), L.decimal_status("x", 15, 2)).collect()
+    assert [tuple(r) for r in got] == [("1.50", "ok"), ("0.00", "blank"), (None, "null"),
+                                        (None, "invalid"), ("-2.00", "ok")]
+
+
+def test_strip_zeros(spark):
+    got = _one(spark, L.strip_zeros("x"), rows=[("2300.000000",), ("1.500",), ("10",)])
+    assert got == ["2300", "1.5", "10"]
+
+
+def test_stable_id_shape(spark):
+    got = _one(spark, L.stable_id("x"), rows=[("a",)])[0]
+    assert len(got) == 36 and [len(p) for p in got.split("-")] == [8, 4, 4, 4, 12]
