@@ -253,6 +253,28 @@ class World:
         )
 
 
+# Reference data for recognition (fixed configuration rows, invented codes).
+TRX_TYPES = [
+    # id, code, statement_type, flow_type, asset_type, is_customer
+    ("TT1", "SECBUY", "secu", "out", "SCR01", None),
+    ("TT2", "SECSELL", "secu", "in", "SCR01", None),
+    ("TT3", "SL", "secu", None, "SCR01", None),
+    ("TT4", "CUSTIN", "bank", "in", "CSH01", "yes"),
+    ("TT5", "CUSTOUT", "bank", "out", "CSH01", "yes"),
+    ("TT6", "BANKIN", "bank", "in", "CSH01", "no"),
+]
+LEDGER_OPS = [
+    # id, code, name, basis_trx_type, included_words, excluded_words, ordinal
+    ("LO1", "BUY-ECO", "economy buys", "SECBUY", "economy", "", 1),
+    ("LO2", "BUY-OTHER", "other buys", "SECBUY", "", "economy", 2),
+    ("LO3", "SELL-ANY", "sales", "SECSELL", "", "", 3),
+    ("LO4", "IN-BUILD", "building receipts", "CUSTIN", "building", "", 4),
+    ("LO5", "IN-MACH", "machinery and furniture", "CUSTIN", "machinery, furniture", "household", 5),
+    ("LO6", "OUT-ANY", "customer payments", "CUSTOUT", None, None, 6),
+    ("LO7", "SPLIT", "splits", "SL", "", "", 7),
+]
+CURRENCIES = ["EUR", "USD"]
+
 # Securities file order: these columns, ascending (ties = identical rows).
 SECU_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
               "l_shipdate", "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
@@ -277,5 +299,21 @@ def pos_bucket() -> Column:
     return F.expr(f"pos.k div {POS_BUCKET_ROWS}")
 
 
+def _config(spark: SparkSession):
+    trx = spark.createDataFrame(TRX_TYPES, "id string, code string, statement_type string, flow_type string, "
+                                           "asset_type string, is_customer string")
+    ops = spark.createDataFrame(LEDGER_OPS, "id string, code string, name string, basis_trx_type string, "
+                                            "included_words string, excluded_words string, ordinal int")
+    cur = spark.createDataFrame([(c,) for c in CURRENCIES], "code string")
+    return trx, ops, cur
+
+
+World.trx_type = cached_property(lambda self: _config(self.spark)[0])
+World.ledger_op = cached_property(lambda self: _config(self.spark)[1])
+World.currency = cached_property(lambda self: _config(self.spark)[2])
+for _n in ("trx_type", "ledger_op", "currency"):
+    getattr(World, _n).__set_name__(World, _n)
+
+
 def world(spark: SparkSession, sf_dir: str) -> World:
     return World(spark, sf_dir)

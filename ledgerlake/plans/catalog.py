@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 from ..formats import BANK_COLUMNS, SECU_COLUMNS
 from ..operators import consolidate as C
+from ..operators import recognise as R
 from ..operators.stage import stage
+from ..session import cut_lineage
 from . import oracle as O
 from .bindings import World, pos_bucket
 
@@ -44,7 +46,7 @@ def staged_secu(w: World) -> DataFrame:
     return stage(w.secu_in, SECU_COLUMNS, bucket=pos_bucket())
 
 
-_TOTAL_DROP = ["id", "date_created"]
+_TOTAL_DROP = ["date_created"]
 
 
 def bank_totals(w: World, with_settlements: bool = False) -> DataFrame:
@@ -55,6 +57,15 @@ def secu_totals(w: World) -> DataFrame:
     return C.consolidate_secu(staged_secu(w), w.stmt)
 
 
+def stored_totals(w: World) -> tuple[DataFrame, DataFrame]:
+    """Summary tables as a job would have written them: checkpointed, so the
+    recognition plans start from stored data instead of re-deriving (and
+    re-analysing) the whole staging + consolidation lineage."""
+    bt = cut_lineage(R.with_bic(bank_totals(w, with_settlements=True), w.stmt, w.bank_dim))
+    se = cut_lineage(R.with_bic(secu_totals(w), w.stmt, w.bank_dim))
+    return bt, se
+
+
 # ---------------------------------------------------------------------------
 # consolidation
 # ---------------------------------------------------------------------------
@@ -251,3 +262,240 @@ def q_map_bank_swed(spark, sf_dir):
 SELECT statement_id, {', '.join(SECU_COLUMNS)} FROM secu_in"""))
 def q_map_secu(spark, sf_dir):
     return parsed_rendered(World(spark, sf_dir))["secu"].select("statement_id", *SECU_COLUMNS)
+
+
+# ---------------------------------------------------------------------------
+# recognition
+# ---------------------------------------------------------------------------
+from ..operators import recognise as R  # noqa: E402
+
+
+def recognition(w: World) -> dict[str, DataFrame]:
+    """Securities matching, splits, bank operations and postings over all
+    unposted summary rows (bank totals include the settlement lines)."""
+    bt, se = stored_totals(w)
+    matches = cut_lineage(R.match_payments(se, bt))
+    secu_posts = cut_lineage(R.recognise_secu(matches, w.trx_type))
+    pairs = R.pair_splits(se)
+    split_posts = R.recognise_splits(pairs, w.trx_type)
+    used = (secu_posts.select(F.col("main_bank_id").alias("id"))
+            .unionByName(secu_posts.select(F.col("fee_bank_id").alias("id"))).filter(F.col("id").isNotNull()))
+    ops = R.bank_operations(bt.join(used, "id", "left_anti"), w.currency)
+    resolved = R.resolve_customers(ops, w.customer_dim)
+    bank_posts = R.recognise_bank(resolved, w.trx_type)
+    posts = R.postings(secu_posts, split_posts, bank_posts, w.ledger_op)
+    return {"matches": matches, "secu_posts": secu_posts, "pairs": pairs, "ops": ops,
+            "resolved": resolved, "bank_posts": bank_posts, "postings": posts,
+            "links": R.posting_links(posts)}
+
+
+def _duck_first(table: str, keys: list[str], cols: list[str], order: str = "id") -> str:
+    present = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+    sel = ", ".join(f"arg_min({c}, {order}) AS {c}" if c != order else f"min({c}) AS {c}" for c in cols)
+    return f"SELECT {', '.join(keys)}, {sel} FROM {table} WHERE {present} GROUP BY {', '.join(keys)}"
+
+
+def _duck_words(words: str, text: str, if_empty: str) -> str:
+    lst = (f"list_filter(list_transform(string_split(regexp_replace({words}, ',+$', ''), ','), "
+           f"lambda x: lower(trim(x))), lambda x: x <> '')")
+    hit = f"(len(list_filter({lst}, lambda x: contains(lower({text}), x))) > 0)"
+    return f"(CASE WHEN {words} IS NULL OR {words} = '' THEN {if_empty} ELSE coalesce({hit}, false) END)"
+
+
+_REC = f"""
+, bt AS (SELECT t.*, bd.swift_code_bic AS bic, s.account_type FROM bank_all_total t
+         JOIN stmt s ON s.id = t.statement_id JOIN bank_dim bd ON bd.id = s.bank),
+se AS (SELECT t.*, bd.swift_code_bic AS bic, s.account_type FROM secu_total t
+       JOIN stmt s ON s.id = t.statement_id JOIN bank_dim bd ON bd.id = s.bank),
+dem AS (SELECT *, TRY_CAST(amount AS DECIMAL(15,2)) AS a, TRY_CAST(fee AS DECIMAL(15,2)) AS f,
+               TRY_CAST(total_amount AS DECIMAL(15,2)) AS tot FROM se WHERE type NOT LIKE 'split%'),
+d AS (SELECT *, row_number() OVER (PARTITION BY bic, currency, a ORDER BY statement_id, statement_reference) AS rn
+      FROM dem WHERE a IS NOT NULL),
+sup AS (SELECT id AS bank_id, statement_id AS b_sid, statement_reference AS b_ref, bic, currency,
+               TRY_CAST(payment_amount AS DECIMAL(15,2)) AS a FROM bt),
+s AS (SELECT *, row_number() OVER (PARTITION BY bic, currency, a ORDER BY b_sid, b_ref) AS rn
+      FROM sup WHERE a IS NOT NULL),
+main AS (SELECT d.*, s.bank_id AS main_bank_id, s.b_sid AS main_bank_statement_id, s.b_ref AS main_bank_reference
+         FROM d JOIN s ON d.bic = s.bic AND d.currency = s.currency AND d.a = s.a AND d.rn = s.rn),
+fsup AS (SELECT *, row_number() OVER (PARTITION BY bic, currency, a ORDER BY b_sid, b_ref) AS frn
+         FROM s WHERE bank_id NOT IN (SELECT main_bank_id FROM main)),
+fd AS (SELECT id, bic, currency, f,
+              row_number() OVER (PARTITION BY bic, currency, f ORDER BY statement_id, statement_reference) AS frn
+       FROM main WHERE f IS NOT NULL),
+fee AS (SELECT fd.id, fsup.bank_id AS fee_bank_id, fsup.b_sid AS fee_bank_statement_id,
+               fsup.b_ref AS fee_bank_reference
+        FROM fd JOIN fsup ON fd.bic = fsup.bic AND fd.currency = fsup.currency AND fd.f = fsup.a AND fd.frn = fsup.frn),
+matches AS (SELECT main.*, fee.fee_bank_id, fee.fee_bank_statement_id, fee.fee_bank_reference
+            FROM main LEFT JOIN fee ON fee.id = main.id),
+secu_tt AS ({_duck_first("(SELECT * FROM trx_type WHERE statement_type = 'secu' AND asset_type = 'SCR01')",
+                         ["flow_type"], ["id", "code"])}),
+secu_posts AS (
+    SELECT m.*, tt.id AS trx_type_id, tt.code AS transaction_type
+    FROM (SELECT *, CASE WHEN a > 0 THEN 'in' ELSE 'out' END AS flow,
+                 CAST(round(a + CASE WHEN fee_bank_id IS NOT NULL THEN f ELSE 0 END, 2) AS DECIMAL(18,2)) AS bank_total
+          FROM matches
+          WHERE round(tot, 2) = round(a + CASE WHEN fee_bank_id IS NOT NULL THEN f ELSE 0 END, 2)) m
+    LEFT JOIN secu_tt tt ON tt.flow_type = m.flow),
+neg AS (SELECT *, row_number() OVER (PARTITION BY transaction_date, ticker, description, currency
+                                     ORDER BY statement_id, statement_reference) AS rn
+        FROM se WHERE type = 'split-' AND TRY_CAST(quantity AS DECIMAL(15,6)) < 0),
+pos AS (SELECT *, row_number() OVER (PARTITION BY transaction_date, ticker, description, currency
+                                     ORDER BY statement_id, statement_reference) AS rn
+        FROM se WHERE type = 'split+' AND TRY_CAST(quantity AS DECIMAL(15,6)) > 0),
+pairs AS (SELECT neg.*, pos.id AS id_new, pos.statement_reference AS trx_reference_new,
+                 pos.quantity AS quantity_new, pos.price AS price_new
+          FROM neg JOIN pos ON neg.transaction_date = pos.transaction_date AND neg.ticker = pos.ticker
+           AND neg.description = pos.description AND neg.currency = pos.currency AND neg.rn = pos.rn),
+split_tt AS ({_duck_first("(SELECT * FROM trx_type WHERE code = 'SL')", ["code"], ["id"])}),
+used AS (SELECT main_bank_id AS id FROM secu_posts UNION ALL
+         SELECT fee_bank_id FROM secu_posts WHERE fee_bank_id IS NOT NULL),
+ops AS (SELECT id AS source_id, statement_id, statement_reference AS trx_reference, bic,
+               payment_amount AS amount, currency,
+               CASE WHEN TRY_CAST(payment_amount AS DECIMAL(15,2)) > 0 THEN 'xin' ELSE 'xout' END AS type,
+               currency AS asset_code, transaction_fee AS fee, payment_description AS asset,
+               payment_date AS transaction_date, other_side_account, d_c, customer_id, other_side_bic,
+               other_side_name AS name
+        FROM bt WHERE id NOT IN (SELECT id FROM used)
+          AND currency IN (SELECT code FROM currency)
+          AND TRY_CAST(payment_amount AS DECIMAL(15,2)) <> 0),
+reg AS ({_duck_first("customer_dim", ["registration_number"], ["id", "customer_ref"])}),
+nat AS ({_duck_first("customer_dim", ["national_id"], ["id", "customer_ref"])}),
+org AS ({_duck_first("customer_dim", ["org_name", "account_number"], ["id", "customer_ref"])}),
+ind AS ({_duck_first("customer_dim", ["ind_business_name", "account_number"], ["id", "customer_ref"])}),
+keyed AS (SELECT *, CASE WHEN length(customer_id) = 8 THEN customer_id END AS k_reg,
+                 CASE WHEN length(customer_id) = 11 THEN customer_id END AS k_nat,
+                 CASE WHEN NOT coalesce(length(customer_id) IN (8, 11), false) AND length(other_side_account) > 5
+                      THEN other_side_account END AS k_acc
+          FROM ops),
+resolved AS (
+    SELECT k.*, coalesce(reg.id, nat.id, org.id, ind.id) AS customer_uid,
+           coalesce(reg.customer_ref, nat.customer_ref, org.customer_ref, ind.customer_ref) AS customer_ref
+    FROM keyed k
+    LEFT JOIN reg ON reg.registration_number = k.k_reg
+    LEFT JOIN nat ON nat.national_id = k.k_nat
+    LEFT JOIN org ON org.org_name = k.name AND org.account_number = k.k_acc
+    LEFT JOIN ind ON ind.ind_business_name = k.name AND ind.account_number = k.k_acc),
+bank_tt AS ({_duck_first("(SELECT * FROM trx_type WHERE statement_type = 'bank' AND asset_type = 'CSH01' AND is_customer = 'yes')",
+                         ["flow_type"], ["id", "code"])}),
+bank_posts AS (
+    SELECT r.*, tt.id AS trx_type_id, tt.code AS transaction_type
+    FROM resolved r
+    LEFT JOIN bank_tt tt ON tt.flow_type = CASE WHEN TRY_CAST(r.amount AS DECIMAL(15,2)) > 0 THEN 'in' ELSE 'out' END
+    WHERE r.customer_uid IS NOT NULL),
+allp AS (
+    SELECT 'secu' AS processor, id AS source_id, NULL::VARCHAR AS id_new, statement_id,
+           statement_reference AS trx_reference, amount, currency, type, ticker AS asset_code, fee,
+           description AS asset, transaction_date, coalesce(transaction_type, 'unclassified') AS transaction_type,
+           main_bank_id, fee_bank_id
+    FROM secu_posts
+    UNION ALL
+    SELECT 'split', p.id, p.id_new, p.statement_id, p.statement_reference, p.amount, p.currency, p.type,
+           p.ticker, p.fee, p.description, p.transaction_date, coalesce(t.code, 'unclassified'), NULL, NULL
+    FROM pairs p LEFT JOIN split_tt t ON true
+    UNION ALL
+    SELECT 'bank', source_id, NULL, statement_id, trx_reference, amount, currency, type, asset_code, fee,
+           asset, transaction_date, coalesce(transaction_type, 'unclassified'), NULL, NULL
+    FROM bank_posts),
+allp_id AS (SELECT {O.duck_id('processor', 'source_id', "coalesce(id_new, '')")} AS posting_id, * FROM allp),
+lop AS (
+    SELECT posting_id, arg_min(code, ordinal) AS ledger_op
+    FROM allp_id p JOIN ledger_op o ON o.basis_trx_type = p.transaction_type
+    WHERE length(p.asset) > 2
+      AND {_duck_words('o.included_words', 'p.asset', 'true')}
+      AND NOT {_duck_words('o.excluded_words', 'p.asset', 'false')}
+    GROUP BY posting_id),
+postings AS (SELECT p.*, coalesce(l.ledger_op, p.type) AS posting_type, l.ledger_op
+             FROM allp_id p LEFT JOIN lop l ON l.posting_id = p.posting_id),
+links AS (
+    SELECT source_id AS total_id, 'secu_total' AS total_table, 'secu' AS role, posting_id, transaction_type
+    FROM postings WHERE processor = 'secu'
+    UNION ALL SELECT main_bank_id, 'bank_total', 'secupmt', posting_id, transaction_type
+    FROM postings WHERE processor = 'secu'
+    UNION ALL SELECT fee_bank_id, 'bank_total', 'secufee', posting_id, transaction_type
+    FROM postings WHERE processor = 'secu' AND fee_bank_id IS NOT NULL
+    UNION ALL SELECT source_id, 'secu_total', 'split-', posting_id, transaction_type
+    FROM postings WHERE processor = 'split'
+    UNION ALL SELECT id_new, 'secu_total', 'split+', posting_id, transaction_type
+    FROM postings WHERE processor = 'split'
+    UNION ALL SELECT source_id, 'bank_total', 'bankop', posting_id, transaction_type
+    FROM postings WHERE processor = 'bank')
+"""
+
+
+def _rec_sql(body: str) -> str:
+    names = ["bank_all_total", "secu_total", "stmt", "bank_dim", "customer_dim", "trx_type", "ledger_op", "currency"]
+    base = O.with_views(names, "SELECT 1")
+    return base[: -len("SELECT 1")].rstrip() + _REC + body
+
+
+@query("match_payment_main", _rec_sql("""
+SELECT id, statement_id, statement_reference, main_bank_id, main_bank_statement_id, main_bank_reference FROM matches"""))
+def q_match_payment_main(spark, sf_dir):
+    m = recognition(World(spark, sf_dir))["matches"]
+    return m.select("id", "statement_id", "statement_reference", "main_bank_id", "main_bank_statement_id",
+                    "main_bank_reference")
+
+
+@query("match_payment_fee", _rec_sql("""
+SELECT id, fee_bank_id, fee_bank_statement_id, fee_bank_reference FROM matches WHERE fee_bank_id IS NOT NULL"""))
+def q_match_payment_fee(spark, sf_dir):
+    m = recognition(World(spark, sf_dir))["matches"]
+    return m.filter(F.col("fee_bank_id").isNotNull()).select("id", "fee_bank_id", "fee_bank_statement_id",
+                                                             "fee_bank_reference")
+
+
+@query("recognise_secu", _rec_sql("""
+SELECT id AS source_id, statement_id, statement_reference AS trx_reference, transaction_type,
+       CAST(bank_total AS VARCHAR) AS bank_total, main_bank_reference AS bank_reference,
+       fee_bank_reference AS fee_reference, amount, fee, total_amount FROM secu_posts"""))
+def q_recognise_secu(spark, sf_dir):
+    p = recognition(World(spark, sf_dir))["secu_posts"]
+    return p.select("source_id", "statement_id", "trx_reference", "transaction_type", "bank_total",
+                    "bank_reference", "fee_reference", "amount", "fee", "total_amount")
+
+
+@query("pair_splits", _rec_sql("""
+SELECT id, id_new, statement_id, statement_reference, trx_reference_new, quantity, quantity_new, price_new
+FROM pairs"""))
+def q_pair_splits(spark, sf_dir):
+    p = recognition(World(spark, sf_dir))["pairs"]
+    return p.select("id", "id_new", "statement_id", "statement_reference", "trx_reference_new", "quantity",
+                    "quantity_new", "price_new")
+
+
+@query("bank_ops_union", _rec_sql("SELECT source_id, statement_id, trx_reference, type, amount, currency FROM ops"))
+def q_bank_ops_union(spark, sf_dir):
+    o = recognition(World(spark, sf_dir))["ops"]
+    return o.select("source_id", "statement_id", "trx_reference", "type", "amount", "currency")
+
+
+@query("resolve_customer", _rec_sql("SELECT source_id, customer_uid, customer_ref FROM resolved"))
+def q_resolve_customer(spark, sf_dir):
+    return recognition(World(spark, sf_dir))["resolved"].select("source_id", "customer_uid", "customer_ref")
+
+
+@query("classify_trx_type", _rec_sql("""
+SELECT source_id, trx_type_id, transaction_type FROM bank_posts"""))
+def q_classify_trx_type(spark, sf_dir):
+    return recognition(World(spark, sf_dir))["bank_posts"].select("source_id", "trx_type_id", "transaction_type")
+
+
+@query("classify_ledger_op", _rec_sql("SELECT posting_id, processor, transaction_type, ledger_op FROM postings"))
+def q_classify_ledger_op(spark, sf_dir):
+    return recognition(World(spark, sf_dir))["postings"].select("posting_id", "processor", "transaction_type",
+                                                                "ledger_op")
+
+
+@query("postings", _rec_sql("""
+SELECT posting_id, processor, source_id, id_new, statement_id, trx_reference, transaction_type,
+       posting_type AS type, amount, currency, asset_code, fee, asset, transaction_date FROM postings"""))
+def q_postings(spark, sf_dir):
+    p = recognition(World(spark, sf_dir))["postings"]
+    return p.select("posting_id", "processor", "source_id", "id_new", "statement_id", "trx_reference",
+                    "transaction_type", "type", "amount", "currency", "asset_code", "fee", "asset",
+                    "transaction_date")
+
+
+@query("posting_links", _rec_sql("SELECT total_id, total_table, role, posting_id, transaction_type FROM links"))
+def q_posting_links(spark, sf_dir):
+    return recognition(World(spark, sf_dir))["links"]

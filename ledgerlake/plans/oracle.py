@@ -228,9 +228,58 @@ def _secu_total(src: str) -> tuple[list[str], str]:
     JOIN stmt st ON st.id = g.statement_id""")
 
 
+def duck_id(*parts: str) -> str:
+    """Twin of functions.ids.stable_id for non-NULL text parts."""
+    joined = " || '|' || ".join(parts)
+    h = f"sha256({joined})"
+    return (f"(substr({h}, 1, 8) || '-' || substr({h}, 9, 4) || '-' || substr({h}, 13, 4) || '-' || "
+            f"substr({h}, 17, 4) || '-' || substr({h}, 21, 12))")
+
+
+def _with_id(view: tuple[list[str], str]) -> tuple[list[str], str]:
+    deps, body = view
+    return deps, f"SELECT {duck_id('statement_id', 'statement_reference')} AS id, * FROM ({body})"
+
+
+def _values(rows, cols) -> str:
+    def lit(v):
+        if v is None:
+            return "NULL"
+        if isinstance(v, int):
+            return str(v)
+        return "'" + str(v).replace("'", "''") + "'"
+    body = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
+    return f"SELECT * FROM (VALUES {body}) t({', '.join(cols)})"
+
+
 VIEWS["bank_total"] = _bank_total("bank_raw")
 VIEWS["bank_all_total"] = _bank_total("bank_all_raw")
 VIEWS["secu_total"] = _secu_total("secu_raw")
+for _v in ("bank_total", "bank_all_total", "secu_total"):
+    VIEWS[_v] = _with_id(VIEWS[_v])
+
+
+def _config_views() -> None:
+    from .bindings import CURRENCIES, LEDGER_OPS, TRX_TYPES
+    VIEWS["trx_type"] = ([], _values(TRX_TYPES, ["id", "code", "statement_type", "flow_type", "asset_type",
+                                                 "is_customer"]))
+    VIEWS["ledger_op"] = ([], _values(LEDGER_OPS, ["id", "code", "name", "basis_trx_type", "included_words",
+                                                   "excluded_words", "ordinal"]))
+    VIEWS["currency"] = ([], _values([(c,) for c in CURRENCIES], ["code"]))
+
+
+_config_views()
+VIEWS["bank_dim"] = ([], """
+    SELECT 'BK' || CAST(r_regionkey AS VARCHAR) AS id, printf('LEDG%02dEE', r_regionkey) AS swift_code_bic
+    FROM region""")
+VIEWS["customer_dim"] = ([], """
+    SELECT 'C' || CAST(c_custkey AS VARCHAR) AS id, 'CR' || CAST(c_custkey AS VARCHAR) AS customer_ref,
+           CASE WHEN c_mktsegment = 'BUILDING' THEN printf('%08d', c_custkey) END AS registration_number,
+           CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN printf('%011d', c_custkey) END AS national_id,
+           CASE WHEN c_mktsegment = 'MACHINERY' THEN c_name END AS org_name,
+           CASE WHEN c_mktsegment = 'FURNITURE' THEN c_name END AS ind_business_name,
+           printf('EE%02d1100', c_nationkey) AS account_number
+    FROM customer""")
 
 
 def with_views(names: list[str], body: str) -> str:
