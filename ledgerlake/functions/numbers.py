@@ -53,3 +53,28 @@ def money_text(c) -> Column:
 def price_text(c, scale: int = 6) -> Column:
     """P21 price format: fixed decimals as text."""
     return F.round(_c(c).cast(DecimalType(38, 12)), scale).cast(DecimalType(38, scale)).cast("string")
+
+
+def exact_ratio_text(numer, denom, scale_n: int, scale_d: int, scale: int) -> Column:
+    """HALF_UP(numer / denom) at ``scale`` decimals, as text, without double rounding.
+
+    Spark's decimal division first rounds to an engine-chosen scale and a
+    second ROUND can then be off by one unit.  Here both operands become exact
+    integers (numer has ``scale_n`` decimals, denom ``scale_d``), the quotient
+    is an integer division and the remainder decides the last unit.
+    NULL when denom is 0 or NULL.
+    """
+    n, d = _c(numer), _c(denom)
+    a = (F.abs(n) * F.lit(10 ** scale_n)).cast("decimal(38,0)")
+    b = (F.abs(d) * F.lit(10 ** scale_d)).cast("decimal(38,0)")
+    num = a * F.lit(10 ** (scale_d + scale)).cast("decimal(38,0)")
+    den = b * F.lit(10 ** scale_n).cast("decimal(38,0)")
+    q = F.floor(num / den)
+    q = (F.when(num - q * den < 0, q - 1).when(num - q * den >= den, q + 1).otherwise(q)).cast("decimal(38,0)")
+    units = F.when((num - q * den) * 2 >= den, q + 1).otherwise(q).cast("decimal(38,0)")
+    whole = F.floor(units / F.lit(10 ** scale)).cast("decimal(38,0)")
+    frac = (units - whole * F.lit(10 ** scale)).cast("decimal(38,0)")
+    neg = ((n < 0) != (d < 0)) & (units > 0)
+    txt = F.concat(F.when(neg, "-").otherwise(""), whole.cast("string"), F.lit("."),
+                   F.lpad(frac.cast("string"), scale, "0"))
+    return F.when(d.isNull() | (d == 0) | n.isNull(), F.lit(None).cast("string")).otherwise(txt)

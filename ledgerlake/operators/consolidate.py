@@ -14,6 +14,7 @@ from pyspark.sql.types import DecimalType
 from ..formats import SYSTEM_USER, TOTAL_DEFAULT_STATUS
 from ..functions import (empty_if_null, stable_id, statement_ref, statement_ref_prefix,
                          to_decimal)
+from ..functions.numbers import exact_ratio_text
 from .numbering import number_within
 
 # Group keys and output order, as the reference's GROUP BY / ORDER BY (fixed values).
@@ -188,5 +189,4 @@ def vwap(raw: DataFrame) -> DataFrame:
     g = raw.groupBy("statement_id", *SECU_KEYS).agg(
         F.sum(to_decimal("amount", *MONEY)).alias("amount"),
         F.sum(to_decimal("quantity", *QUANTITY)).alias("quantity"))
-    return g.withColumn("vwap", F.round(F.try_divide(F.abs(F.col("amount")), F.col("quantity")), 8)
-                        .cast(DecimalType(38, 8)))
+    return g.withColumn("vwap", exact_ratio_text(F.abs(F.col("amount")), F.col("quantity"), 2, 6, 8))

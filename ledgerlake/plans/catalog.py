@@ -499,3 +499,117 @@ def q_postings(spark, sf_dir):
 @query("posting_links", _rec_sql("SELECT total_id, total_table, role, posting_id, transaction_type FROM links"))
 def q_posting_links(spark, sf_dir):
     return recognition(World(spark, sf_dir))["links"]
+
+
+# ---------------------------------------------------------------------------
+# consolidation variants (G8-G13), formats (P21), references
+# ---------------------------------------------------------------------------
+from pyspark.sql.types import DecimalType  # noqa: E402
+
+from ..functions import money_text, price_text, statement_ref_prefix, strip_zeros  # noqa: E402
+
+_SKEYS = ", ".join(C.SECU_KEYS)
+_BKEYS = ", ".join(C.BANK_KEYS)
+
+
+def _txt(col, t="38,2"):
+    p, s = t.split(",")
+    return col.cast(DecimalType(int(p), int(s))).cast("string")
+
+
+@query("consolidate_legacy_secu", O.with_views(["secu_raw"], f"""
+SELECT statement_id, {_SKEYS},
+       CAST(SUM({O.dec('quantity', 38, 10)}) AS VARCHAR) AS quantity,
+       {O.avg_text(O.dec('price', 38, 10), 10, 2)} AS price,
+       CAST(CAST(round(SUM({O.dec('amount', 38, 10)}), 2) AS DECIMAL(38,2)) AS VARCHAR) AS amount,
+       CAST(CAST(round(SUM({O.dec('fee', 38, 10)}), 2) AS DECIMAL(38,2)) AS VARCHAR) AS fee,
+       CAST(CAST(round(SUM({O.dec('total_amount', 38, 10)}), 2) AS DECIMAL(38,2)) AS VARCHAR) AS total_amount
+FROM secu_raw GROUP BY statement_id, {_SKEYS}"""))
+def q_consolidate_legacy_secu(spark, sf_dir):
+    g = C.legacy_secu(staged_secu(World(spark, sf_dir)))
+    return g.select("statement_id", *C.SECU_KEYS, _txt(F.col("quantity"), "38,10").alias("quantity"),
+                    *[_txt(F.col(c)).alias(c) for c in ("price", "amount", "fee", "total_amount")])
+
+
+@query("consolidate_legacy_bank", O.with_views(["bank_raw"], f"""
+SELECT statement_id, {_BKEYS},
+       CAST(CAST(round(SUM({O.dec('payment_amount', 38, 10)}), 2) AS DECIMAL(38,2)) AS VARCHAR) AS payment_amount,
+       CAST(CAST(round(SUM({O.dec('transaction_fee', 38, 10)}), 2) AS DECIMAL(38,2)) AS VARCHAR) AS transaction_fee
+FROM bank_raw GROUP BY statement_id, {_BKEYS}"""))
+def q_consolidate_legacy_bank(spark, sf_dir):
+    g = C.legacy_bank(staged_bank(World(spark, sf_dir)))
+    return g.select("statement_id", *C.BANK_KEYS, _txt(F.col("payment_amount")).alias("payment_amount"),
+                    _txt(F.col("transaction_fee")).alias("transaction_fee"))
+
+
+_DESIGN_BANK_KEYS = "statement_id, account_number, payment_date, other_side_account, other_side_name, d_c, currency, reference_number"
+
+
+@query("consolidate_bank_design", O.with_views(["bank_raw"], f"""
+SELECT {_DESIGN_BANK_KEYS},
+       CAST(SUM({O.dec('payment_amount')}) AS VARCHAR) AS payment_amount,
+       CAST(SUM({O.dec('transaction_fee')}) AS VARCHAR) AS transaction_fee,
+       min(document_nr) AS document_nr, min(payment_description) AS payment_description,
+       min(customer_id) AS customer_id, min(other_side_bic) AS other_side_bic,
+       min(other_side_bank) AS other_side_bank, count(*) AS transaction_count
+FROM bank_raw GROUP BY {_DESIGN_BANK_KEYS}"""))
+def q_consolidate_bank_design(spark, sf_dir):
+    g = C.design_bank(staged_bank(World(spark, sf_dir)))
+    return (g.withColumn("payment_amount", F.col("payment_amount").cast("string"))
+            .withColumn("transaction_fee", F.col("transaction_fee").cast("string")))
+
+
+@query("consolidate_secu_design", O.with_views(["secu_raw"], f"""
+SELECT statement_id, {_SKEYS},
+       CAST(SUM({O.dec('quantity', 15, 4)}) AS VARCHAR) AS quantity,
+       {O.avg_text(O.dec('price', 15, 6), 6, 10)} AS price,
+       CAST(SUM({O.dec('amount')}) AS VARCHAR) AS amount,
+       CAST(SUM({O.dec('fee')}) AS VARCHAR) AS fee,
+       CAST(SUM({O.dec('total_amount')}) AS VARCHAR) AS total_amount,
+       string_agg(reference, '; ' ORDER BY reference) AS reference,
+       min(comment) AS comment, count(*) AS transaction_count
+FROM secu_raw GROUP BY statement_id, {_SKEYS}"""))
+def q_consolidate_secu_design(spark, sf_dir):
+    g = C.design_secu(staged_secu(World(spark, sf_dir)))
+    for c in ("quantity", "price", "amount", "fee", "total_amount"):
+        g = g.withColumn(c, F.col(c).cast("string"))
+    return g
+
+
+@query("consolidate_vwap", O.with_views(["secu_raw"], f"""
+SELECT statement_id, {_SKEYS}, CAST(amount AS VARCHAR) AS amount, CAST(quantity AS VARCHAR) AS quantity,
+       CASE WHEN quantity = 0 THEN NULL ELSE
+         (CASE WHEN quantity < 0 AND u > 0 THEN '-' ELSE '' END) || CAST(u // 100000000 AS VARCHAR)
+         || '.' || lpad(CAST(u % 100000000 AS VARCHAR), 8, '0') END AS vwap
+FROM (SELECT *, CASE WHEN quantity = 0 THEN NULL ELSE
+        (CAST(abs(amount) * 100 AS HUGEINT) * 100000000000000 * 2 + CAST(abs(quantity) * 1000000 AS HUGEINT) * 100)
+        // (2 * CAST(abs(quantity) * 1000000 AS HUGEINT) * 100) END AS u
+      FROM (SELECT statement_id, {_SKEYS}, SUM({O.dec('amount')}) AS amount, SUM({O.dec('quantity', 15, 6)}) AS quantity
+            FROM secu_raw WHERE type IN ('ost', 'müük') GROUP BY statement_id, {_SKEYS}))"""))
+def q_consolidate_vwap(spark, sf_dir):
+    raw = staged_secu(World(spark, sf_dir)).filter(F.col("type").isin("ost", "müük"))
+    g = C.vwap(raw)
+    return g.select("statement_id", *C.SECU_KEYS, F.col("amount").cast("string").alias("amount"),
+                    F.col("quantity").cast("string").alias("quantity"), F.col("vwap"))
+
+
+@query("statement_refs", O.with_views(["stmt"], """
+SELECT id AS statement_id, 'STMT' || substr(from_date, 1, 4) AS prefix,
+       printf('%s.%03d', 'STMT' || substr(from_date, 1, 4), 1) AS first_reference FROM stmt"""))
+def q_statement_refs(spark, sf_dir):
+    from ..functions import statement_ref
+    st = World(spark, sf_dir).stmt
+    pre = statement_ref_prefix(F.col("from_date"))
+    return st.select(F.col("id").alias("statement_id"), pre.alias("prefix"),
+                     statement_ref(pre, F.lit(1)).alias("first_reference"))
+
+
+@query("format_amounts", O.with_views(["secu_total"], """
+SELECT id, regexp_replace(regexp_replace(quantity, '(\\.[0-9]*?)0+$', '\\1'), '\\.$', '') AS quantity,
+       CAST(CAST(amount AS DECIMAL(38,2)) AS VARCHAR) AS amount,
+       CAST(CAST(round(CAST(price AS DECIMAL(38,12)), 6) AS DECIMAL(38,6)) AS VARCHAR) AS price
+FROM secu_total"""))
+def q_format_amounts(spark, sf_dir):
+    t = secu_totals(World(spark, sf_dir))
+    return t.select("id", strip_zeros(F.col("quantity")).alias("quantity"), money_text(F.col("amount")).alias("amount"),
+                    price_text(F.col("price")).alias("price"))

@@ -51,13 +51,13 @@ def _avg_text(expr: str, scale_in: int = 8, scale_out: int = 12) -> str:
 
     DuckDB's avg(decimal) returns DOUBLE; Spark returns an exact decimal.
     """
-    up = 10 ** (scale_out - scale_in)
-    q = f"(CAST(SUM({expr}) * {10 ** scale_in} AS HUGEINT) * {up})"
-    n = f"CAST(COUNT({expr}) AS HUGEINT)"
+    q = f"(CAST(SUM({expr}) * {10 ** scale_in} AS HUGEINT) * {10 ** scale_out})"
+    n = f"(CAST(COUNT({expr}) AS HUGEINT) * {10 ** scale_in})"
     a = f"((abs({q}) * 2 + {n}) // (2 * {n}))"
+    frac = f" || '.' || lpad(CAST({a} % {10 ** scale_out} AS VARCHAR), {scale_out}, '0')" if scale_out else ""
     return (f"CASE WHEN COUNT({expr}) = 0 THEN NULL ELSE "
-            f"(CASE WHEN {q} < 0 THEN '-' ELSE '' END) || CAST({a} // {10 ** scale_out} AS VARCHAR) || '.' || "
-            f"lpad(CAST({a} % {10 ** scale_out} AS VARCHAR), {scale_out}, '0') END")
+            f"(CASE WHEN {q} < 0 AND {a} > 0 THEN '-' ELSE '' END) || CAST({a} // {10 ** scale_out} AS VARCHAR)"
+            f"{frac} END")
 
 
 def _dec(c: str, p: int = 15, s: int = 2) -> str:
