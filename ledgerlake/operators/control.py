@@ -18,7 +18,7 @@ from ..schemas import STATEMENT_EVENT
 EVENT_COLUMNS = [f.name for f in STATEMENT_EVENT.fields]
 
 
-def events(df: DataFrame, job: str, status: Column | str, event_seq: int,
+def events(df: DataFrame, job: str, status: Column | str, event_seq: int | Column,
            message: Column | None = None, row_count: Column | None = None,
            duplicate_count: Column | None = None, total_count: Column | None = None,
            load_id: str | None = None) -> DataFrame:
@@ -26,7 +26,9 @@ def events(df: DataFrame, job: str, status: Column | str, event_seq: int,
     st = F.lit(status) if isinstance(status, str) else status
     none_l = F.lit(None).cast("long")
     return df.select(
-        F.col("statement_id"), F.lit(event_seq).cast("long").alias("event_seq"), F.lit(job).alias("job"),
+        F.col("statement_id"),
+        (event_seq if isinstance(event_seq, Column) else F.lit(event_seq)).cast("long").alias("event_seq"),
+        F.lit(job).alias("job"),
         st.alias("status"),
         (message if message is not None else F.lit(None).cast("string")).alias("message"),
         (row_count.cast("long") if row_count is not None else none_l).alias("row_count"),

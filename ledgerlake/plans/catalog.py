@@ -613,3 +613,115 @@ def q_format_amounts(spark, sf_dir):
     t = secu_totals(World(spark, sf_dir))
     return t.select("id", strip_zeros(F.col("quantity")).alias("quantity"), money_text(F.col("amount")).alias("amount"),
                     price_text(F.col("price")).alias("price"))
+
+
+# ---------------------------------------------------------------------------
+# control log (K6-K9), quality (F16, G14), top-k
+# ---------------------------------------------------------------------------
+from ..operators import control as K  # noqa: E402
+from ..operators import quality as Q  # noqa: E402
+
+
+def world_events(w: World) -> DataFrame:
+    """The import log the statuses imply: 'imported' statements went
+    new -> importing -> imported, 'error' ones importing -> error ('new' ones
+    have not run).  Error messages carry the statement's full detail text."""
+    st = w.stmt.filter(F.col("status") != "new").select(F.col("id").alias("statement_id"), "status", "import_seq")
+    seq = F.col("import_seq").cast("long") * 10
+    detail = F.concat(F.lit("Import failed for "), F.col("statement_id"), F.lit(": "),
+                      F.repeat(F.lit("amount column is not numeric; "), 40))
+    first = K.events(st, "import", "importing", seq + 1)
+    second = K.events(st, "import", F.col("status"), seq + 2, message=F.when(F.col("status") == "error", detail))
+    return first.unionByName(second)
+
+
+_DUCK_EVENTS = """
+, ev AS (
+    SELECT id AS statement_id, CAST(import_seq AS BIGINT) * 10 + 1 AS event_seq, 'importing' AS status, NULL AS message
+    FROM stmt WHERE status <> 'new'
+    UNION ALL
+    SELECT id, CAST(import_seq AS BIGINT) * 10 + 2, status,
+           CASE WHEN status = 'error' THEN 'Import failed for ' || id || ': ' || repeat('amount column is not numeric; ', 40) END
+    FROM stmt WHERE status <> 'new')
+"""
+
+
+def _ev_sql(body: str) -> str:
+    base = O.with_views(["stmt"], "SELECT 1")
+    return base[: -len("SELECT 1")].rstrip() + _DUCK_EVENTS + body
+
+
+@query("status_timeline", _ev_sql("""
+SELECT statement_id, event_seq, status,
+       coalesce(lag(status) OVER (PARTITION BY statement_id ORDER BY event_seq), 'new') AS previous_status,
+       (status = 'error' OR (coalesce(lag(status) OVER (PARTITION BY statement_id ORDER BY event_seq), 'new'), status)
+        IN (('new','importing'), ('importing','imported'), ('imported','consolidating'),
+            ('consolidating','consolidated'), ('imported','importing'), ('consolidated','consolidating'),
+            ('consolidated','importing'), ('error','importing'), ('error','consolidating'))) AS allowed
+FROM ev"""))
+def q_status_timeline(spark, sf_dir):
+    w = World(spark, sf_dir)
+    initial = w.stmt.select("id", F.lit("new").alias("status"))
+    tl = K.status_timeline(world_events(w), initial)
+    return tl.select("statement_id", "event_seq", "status", "previous_status", "allowed")
+
+
+@query("error_events", _ev_sql("""
+SELECT statement_id, 'error' AS status, substr(message, 1, 1000) AS message, length(substr(message, 1, 1000)) AS message_length
+FROM ev WHERE status = 'error'"""))
+def q_error_events(spark, sf_dir):
+    ev = world_events(World(spark, sf_dir)).filter(F.col("status") == "error")
+    e = K.error_events(ev, "import", 0)
+    return e.select("statement_id", "status", "message", F.length("message").alias("message_length"))
+
+
+@query("import_metadata", _fold_sql("""
+, rows AS (SELECT statement_id, {key} AS dedup_key FROM secu_in)
+SELECT r.statement_id, count(*) AS row_count, count_if(k.statement_id IS NULL) AS duplicate_count
+FROM rows r LEFT JOIN kept k ON k.statement_id = r.statement_id AND k.dedup_key = r.dedup_key
+GROUP BY r.statement_id""".replace("{key}", _duck_key(_SECU_PK, _SECU_PARTS, True))))
+def q_import_metadata(spark, sf_dir):
+    """K6 + G6: row_count counts every parsed row (Q5), duplicates after J6."""
+    w = World(spark, sf_dir)
+    verdict = D.bulk_dedup(w.secu_in, w.stmt, "secu")
+    _, counts = D.apply_bulk_dedup(w.secu_in, verdict, "secu")
+    return counts.select("statement_id", "row_count", "duplicate_count")
+
+
+@query("quality_nulls", O.with_views(["bank_raw"], """
+SELECT statement_id, count(*) AS rows,
+       count_if(account_number IS NULL OR payment_date IS NULL OR d_c IS NULL OR payment_amount IS NULL
+                OR currency IS NULL) AS missing_mandatory,
+       count_if(payment_amount LIKE '-%' AND d_c <> 'D') AS negative_not_debit,
+       count_if(payment_amount LIKE '%,%') AS decimal_comma
+FROM bank_raw GROUP BY statement_id"""))
+def q_quality_nulls(spark, sf_dir):
+    return Q.bank_checks(staged_bank(World(spark, sf_dir)))
+
+
+@query("quality_sign", O.with_views(["secu_raw"], """
+SELECT statement_id, count(*) AS rows,
+       count_if(value_date IS NULL OR transaction_date IS NULL OR type IS NULL OR quantity IS NULL
+                OR amount IS NULL OR currency IS NULL) AS missing_mandatory,
+       count_if(amount LIKE '%,%') AS decimal_comma
+FROM secu_raw GROUP BY statement_id"""))
+def q_quality_sign(spark, sf_dir):
+    return Q.secu_checks(staged_secu(World(spark, sf_dir)))
+
+
+@query("count_by_currency", O.with_views(["secu_total"], """
+SELECT statement_id, status, currency, count(*) AS n FROM secu_total GROUP BY statement_id, status, currency"""))
+def q_count_by_currency(spark, sf_dir):
+    return Q.counts_by(secu_totals(World(spark, sf_dir)), "statement_id", "status", "currency")
+
+
+@query("topk_amounts", O.with_views(["bank_total"], """
+SELECT statement_id, statement_reference, payment_amount, rank FROM (
+    SELECT statement_id, statement_reference, payment_amount,
+           row_number() OVER (PARTITION BY statement_id ORDER BY payment_amount DESC, statement_reference) AS rank
+    FROM bank_total) WHERE rank <= 5"""))
+def q_topk_amounts(spark, sf_dir):
+    """Five largest amounts per statement in text order (as the design's
+    verification query sorts the stored text)."""
+    t = bank_totals(World(spark, sf_dir)).select("statement_id", "statement_reference", "payment_amount")
+    return Q.top_k_within(t, ["statement_id"], [F.col("payment_amount").desc(), F.col("statement_reference")], 5)
