@@ -29,7 +29,9 @@ def number_within(df: DataFrame, partition_cols: list[str], order_cols: list,
         w = Window.partitionBy(*partition_cols).orderBy(*order_cols)
         return df.withColumn(out, F.row_number().over(w))
 
-    b = df.withColumn("_bkt", bucket)
+    # one shuffle by (partition, bucket) feeds both the bucket counts and the
+    # local row numbers (the exchange is reused, the input computed once)
+    b = df.withColumn("_bkt", bucket).repartition(*partition_cols, "_bkt")
     counts = b.groupBy(*partition_cols, "_bkt").agg(F.count(F.lit(1)).alias("_n"))
     before = (Window.partitionBy(*partition_cols).orderBy("_bkt")
               .rowsBetween(Window.unboundedPreceding, -1))

@@ -28,12 +28,25 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from ..formats import BANK_COLUMNS, SECU_COLUMNS
+from ..session import cut_lineage
 
 DEC2 = DecimalType(15, 2)
 
 
+# Fact tables are spread by their key when a scan yields fewer splits than the
+# cluster's parallelism (a single large row group, say); with many input
+# splits -- the normal case at scale -- the scan is left as it is.
+_SPREAD_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    key = _SPREAD_KEYS.get(name)
+    if key is not None:
+        par = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < par:
+            df = df.repartition(par, key)
+    return df
 
 
 def _fmt_date(c: Column) -> Column:
@@ -101,16 +114,18 @@ class World:
     def bank_stmt(self) -> DataFrame:
         keys = self._orders_x.select(_month_start(F.col("o_orderdate")).alias("m"),
                                      F.col("n_regionkey").alias("r")).distinct()
-        return _statements(keys, "B", "bank")
+        return cut_lineage(_statements(keys, "B", "bank"))
 
     @cached_property
     def secu_stmt(self) -> DataFrame:
         keys = self._lines_x.select(_month_start(F.col("l_shipdate")).alias("m"),
                                     F.col("n_regionkey").alias("r")).distinct()
-        return _statements(keys, "S", "secu")
+        return cut_lineage(_statements(keys, "S", "secu"))
 
     @cached_property
     def stmt(self) -> DataFrame:
+        """The statement control table (one row per statement: small, kept as
+        a written table so every query does not re-derive it)."""
         cols = ["id", "account_type", "bank", "from_date", "to_date", "status", "import_seq"]
         return (self.bank_stmt.select(*cols).unionByName(self.secu_stmt.select(*cols))
                 .withColumn("statement_file", F.concat(F.col("id"), F.lit(".csv"))))

@@ -38,12 +38,14 @@ def query(name: str, sql: str | None = None):
 # ---------------------------------------------------------------------------
 
 def staged_bank(w: World, with_settlements: bool = False) -> DataFrame:
+    """The bank raw table as the import job writes it (checkpointed)."""
     src = w.bank_all_in if with_settlements else w.bank_in
-    return stage(src, BANK_COLUMNS, bucket=pos_bucket())
+    return cut_lineage(stage(src, BANK_COLUMNS, bucket=pos_bucket()))
 
 
 def staged_secu(w: World) -> DataFrame:
-    return stage(w.secu_in, SECU_COLUMNS, bucket=pos_bucket())
+    """The securities raw table as the import job writes it (checkpointed)."""
+    return cut_lineage(stage(w.secu_in, SECU_COLUMNS, bucket=pos_bucket()))
 
 
 _TOTAL_DROP = ["date_created"]
