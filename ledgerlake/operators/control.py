@@ -57,9 +57,13 @@ def current_statements(statements: DataFrame, ev: DataFrame) -> DataFrame:
     'consolidated' event; ``load_id`` of the rows currently valid.
     """
     last = _latest(ev, ["status", "message"], "_last")
-    imp = _latest(ev.filter(F.col("status") == "imported"),
+    # a reset (K5) invalidates every earlier import / consolidation
+    reset = ev.filter(F.col("job") == "reset").groupBy("statement_id").agg(F.max("event_seq").alias("_reset"))
+    live = (ev.join(reset, "statement_id", "left")
+            .filter(F.col("_reset").isNull() | (F.col("event_seq") > F.col("_reset"))).drop("_reset"))
+    imp = _latest(live.filter(F.col("status") == "imported"),
                   ["row_count", "duplicate_count", "event_time", "load_id"], "_imp")
-    con = _latest(ev.filter(F.col("status") == "consolidated"),
+    con = _latest(live.filter(F.col("status") == "consolidated"),
                   ["total_count", "event_time", "load_id"], "_con")
     s = statements.withColumnRenamed("id", "statement_id")
     out = (s.join(last, "statement_id", "left").join(imp, "statement_id", "left")

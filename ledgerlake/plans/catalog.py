@@ -276,19 +276,8 @@ def recognition(w: World) -> dict[str, DataFrame]:
     """Securities matching, splits, bank operations and postings over all
     unposted summary rows (bank totals include the settlement lines)."""
     bt, se = stored_totals(w)
-    matches = cut_lineage(R.match_payments(se, bt))
-    secu_posts = cut_lineage(R.recognise_secu(matches, w.trx_type))
-    pairs = R.pair_splits(se)
-    split_posts = R.recognise_splits(pairs, w.trx_type)
-    used = (secu_posts.select(F.col("main_bank_id").alias("id"))
-            .unionByName(secu_posts.select(F.col("fee_bank_id").alias("id"))).filter(F.col("id").isNotNull()))
-    ops = R.bank_operations(bt.join(used, "id", "left_anti"), w.currency)
-    resolved = R.resolve_customers(ops, w.customer_dim)
-    bank_posts = R.recognise_bank(resolved, w.trx_type)
-    posts = R.postings(secu_posts, split_posts, bank_posts, w.ledger_op)
-    return {"matches": matches, "secu_posts": secu_posts, "pairs": pairs, "ops": ops,
-            "resolved": resolved, "bank_posts": bank_posts, "postings": posts,
-            "links": R.posting_links(posts)}
+    return R.run_processors(bt, se, w.trx_type, w.ledger_op, w.currency, w.customer_dim,
+                            checkpoint=cut_lineage)
 
 
 def _duck_first(table: str, keys: list[str], cols: list[str], order: str = "id") -> str:

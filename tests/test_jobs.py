@@ -117,3 +117,38 @@ def test_strict_amounts_fail_only_that_statement(spark):
     assert st["bad"].status == "error" and "non-numeric" in st["bad"].error_message
     tot = lake.current("secu", control, "total").collect()
     assert len(tot) == 1 and tot[0].fee == "0.00"
+
+
+def test_reset_then_recognise(spark):
+    from ledgerlake.plans.jobs import recognise_statements, reset_statements
+    secu = secu_csv([secu_row(qty="10", amount="-35.00", fee="-1.00", total="-36.00", ref="R1")])
+    bank = lhv_csv([lhv_row(doc="1", amount="-35.00", provider="P1"), lhv_row(doc="2", amount="-1.00", provider="P2"),
+                    lhv_row(doc="3", amount="50.00", dc="C", cust="12345678", provider="P3", desc="rent income")])
+    lake, control, fdir = _setup(spark, [
+        ("b1", "bank", "BK", "2024-01-01", "2024-01-31", "b1.csv", "new", 1),
+        ("s1", "secu", "BK", "2024-01-01", "2024-01-31", "s1.csv", "new", 2)],
+        {"b1.csv": bank, "s1.csv": secu})
+    import_statements(lake, control, fdir)
+    consolidate_statements(lake, control)
+    banks = spark.createDataFrame([("BK", "LHVBEE22")], "id string, swift_code_bic string")
+    customers = spark.createDataFrame([("C1", "CR1", "12345678", None, None, None, "EE0")],
+                                      "id string, customer_ref string, registration_number string, national_id string, "
+                                      "org_name string, ind_business_name string, account_number string")
+    trx = spark.createDataFrame([("T1", "SECBUY", "secu", "out", "SCR01", None),
+                                 ("T4", "CUSTIN", "bank", "in", "CSH01", "yes")],
+                                "id string, code string, statement_type string, flow_type string, asset_type string, "
+                                "is_customer string")
+    ops = spark.createDataFrame([("L1", "RENT", "rent", "CUSTIN", "rent", "", 1)],
+                                "id string, code string, name string, basis_trx_type string, included_words string, "
+                                "excluded_words string, ordinal int")
+    cur = spark.createDataFrame([("EUR",)], "code string")
+    recognise_statements(lake, control, banks, customers, trx, ops, cur)
+    posts = {r.processor: r for r in lake.read("posting").collect()}
+    assert set(posts) == {"secu", "bank"}
+    assert posts["secu"].transaction_type == "SECBUY" and posts["bank"].type == "RENT"
+    assert lake.read("posting_link").count() == 4
+    recognise_statements(lake, control, banks, customers, trx, ops, cur)   # idempotent
+    assert lake.read("posting").count() == 2
+    reset_statements(lake, control, ["b1"])
+    st = _state(lake, control)
+    assert st["b1"].status == "new" and lake.current("bank", control).count() == 0
