@@ -17,14 +17,34 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Largest group a single task may number with a plain window; above it the
+# bucketed plan is used.  Override with the session conf below.
+MAX_GROUP_ROWS = 2_000_000
+MAX_GROUP_CONF = "spark.ledgerlake.numbering.maxGroupRows"
+
+
+def _largest_group(df: DataFrame, partition_cols: list[str]) -> int:
+    """Size check (one aggregate, a single number to the driver)."""
+    row = df.groupBy(*partition_cols).count().agg(F.max("count")).first()
+    return int(row[0] or 0)
+
+
 def number_within(df: DataFrame, partition_cols: list[str], order_cols: list,
-                  bucket: Column | None = None, out: str = "seq") -> DataFrame:
+                  bucket: Column | None = None, out: str = "seq",
+                  max_group_rows: int | None = None) -> DataFrame:
     """Add ``out`` = 1..n within ``partition_cols`` in ``order_cols`` order.
 
     ``bucket`` must be non-decreasing along ``order_cols`` inside a partition
     (e.g. ``file_pos div 65536`` or the leading sort key).  Without a bucket
-    this is the plain window.
+    -- or when no group exceeds ``max_group_rows`` (checked with one
+    aggregate) -- this is the plain window; otherwise the bucketed plan.
     """
+    if bucket is not None:
+        limit = max_group_rows
+        if limit is None:
+            limit = int(df.sparkSession.conf.get(MAX_GROUP_CONF, str(MAX_GROUP_ROWS)))
+        if _largest_group(df, partition_cols) <= limit:
+            bucket = None
     if bucket is None:
         w = Window.partitionBy(*partition_cols).orderBy(*order_cols)
         return df.withColumn(out, F.row_number().over(w))
