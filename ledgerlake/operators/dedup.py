@@ -64,25 +64,30 @@ def _months(from_col: str, to_col: str) -> F.Column:
                   F.sequence(F.trunc(f, "month"), F.trunc(t, "month"), F.expr("INTERVAL 1 MONTH")))
 
 
-def overlap_pairs(statements: DataFrame, only_blocking: bool = True) -> DataFrame:
+def overlap_pairs(statements: DataFrame, only_blocking: bool = True, same_bank: bool = False) -> DataFrame:
     """J1 (F5 F7 F8, and F6 when ``only_blocking``): (statement_id, other_id).
 
     ``other_id`` overlaps ``statement_id``: same account type, other.from <=
     this.to and other.to >= this.from (text compare of ISO dates, NULL = no
-    overlap), different id.
+    overlap), different id.  The reference ignores the bank (Q3);
+    ``same_bank=True`` also requires the same bank.
     """
-    base = statements.select("id", "account_type", "from_date", "to_date", "status")
+    bank = F.col("bank") if "bank" in statements.columns else F.lit(None).cast("string")
+    base = statements.select("id", "account_type", "from_date", "to_date", "status", bank.alias("bank"))
     a = base.select(F.col("id").alias("statement_id"), F.col("account_type").alias("a_type"),
-                    F.col("from_date").alias("a_from"), F.col("to_date").alias("a_to"),
+                    F.col("from_date").alias("a_from"), F.col("to_date").alias("a_to"), F.col("bank").alias("a_bank"),
                     F.explode(_months("from_date", "to_date")).alias("mon"))
     b = base
     if only_blocking:
         b = b.filter(blocks("status"))
     b = b.select(F.col("id").alias("other_id"), F.col("account_type").alias("b_type"),
-                 F.col("from_date").alias("b_from"), F.col("to_date").alias("b_to"),
+                 F.col("from_date").alias("b_from"), F.col("to_date").alias("b_to"), F.col("bank").alias("b_bank"),
                  F.explode(_months("from_date", "to_date")).alias("mon"))
     start = F.trunc(F.to_date(F.greatest(F.col("a_from"), F.col("b_from"))), "month")
-    return (a.join(b, (a.a_type == b.b_type) & (a.mon == b.mon))
+    cond = (a.a_type == b.b_type) & (a.mon == b.mon)
+    if same_bank:
+        cond = cond & (a.a_bank == b.b_bank)
+    return (a.join(b, cond)
             .filter((F.col("b_from") <= F.col("a_to")) & (F.col("b_to") >= F.col("a_from"))
                     & (F.col("statement_id") != F.col("other_id")) & (a.mon == start))
             .select("statement_id", "other_id", F.col("a_type").alias("account_type")))

@@ -115,3 +115,11 @@ def test_bulk_fold_matches_one_by_one_loop(spark):
             expect[(sid, k)] = not blocked
         stored[sid] = {k for k in mine if expect[(sid, k)]}
     assert got == expect
+
+
+def test_same_bank_option(spark):
+    st = spark.createDataFrame([("a", "secu", "2024-01-01", "2024-01-31", "imported", 1, "LHV"),
+                                ("b", "secu", "2024-01-10", "2024-01-20", "imported", 2, "SEB")],
+                               STMT + ", bank string")
+    assert D.overlap_pairs(st).count() == 2                 # reference: bank ignored (Q3)
+    assert D.overlap_pairs(st, same_bank=True).count() == 0

@@ -152,3 +152,12 @@ def test_reset_then_recognise(spark):
     reset_statements(lake, control, ["b1"])
     st = _state(lake, control)
     assert st["b1"].status == "new" and lake.current("bank", control).count() == 0
+
+
+def test_empty_statement_still_consolidated(spark):
+    lake, control, fdir = _setup(spark, [("e", "secu", "X", "2024-01-01", "2024-01-31", "e.csv", "new", 1)],
+                                 {"e.csv": secu_csv([])})
+    import_statements(lake, control, fdir)
+    consolidate_statements(lake, control)
+    st = _state(lake, control)
+    assert (st["e"].status, st["e"].row_count, st["e"].total_count) == ("consolidated", 0, 0)   # Q16
