@@ -162,8 +162,8 @@ def q_dedup_antijoin(spark, sf_dir):
 
 
 @query("dedup_counts", _scenario_sql("""
-SELECT statement_id, count(*) AS row_count, count_if(dup) AS duplicate_count,
-       count_if(NOT dup) AS new_count FROM flagged GROUP BY statement_id"""))
+SELECT statement_id, count(*) AS row_count, CAST(count_if(dup) AS BIGINT) AS duplicate_count,
+       CAST(count_if(NOT dup) AS BIGINT) AS new_count FROM flagged GROUP BY statement_id"""))
 def q_dedup_counts(spark, sf_dir):
     _, counts = _stored_scenario(World(spark, sf_dir), "bank")
     return counts
@@ -663,12 +663,12 @@ FROM ev WHERE status = 'error'"""))
 def q_error_events(spark, sf_dir):
     ev = world_events(World(spark, sf_dir)).filter(F.col("status") == "error")
     e = K.error_events(ev, "import", 0)
-    return e.select("statement_id", "status", "message", F.length("message").alias("message_length"))
+    return e.select("statement_id", "status", "message", F.length("message").cast("long").alias("message_length"))
 
 
 @query("import_metadata", _fold_sql("""
 , rows AS (SELECT statement_id, {key} AS dedup_key FROM secu_in)
-SELECT r.statement_id, count(*) AS row_count, count_if(k.statement_id IS NULL) AS duplicate_count
+SELECT r.statement_id, count(*) AS row_count, CAST(count_if(k.statement_id IS NULL) AS BIGINT) AS duplicate_count
 FROM rows r LEFT JOIN kept k ON k.statement_id = r.statement_id AND k.dedup_key = r.dedup_key
 GROUP BY r.statement_id""".replace("{key}", _duck_key(_SECU_PK, _SECU_PARTS, True))))
 def q_import_metadata(spark, sf_dir):
@@ -681,10 +681,10 @@ def q_import_metadata(spark, sf_dir):
 
 @query("quality_nulls", O.with_views(["bank_raw"], """
 SELECT statement_id, count(*) AS rows,
-       count_if(account_number IS NULL OR payment_date IS NULL OR d_c IS NULL OR payment_amount IS NULL
-                OR currency IS NULL) AS missing_mandatory,
-       count_if(payment_amount LIKE '-%' AND d_c <> 'D') AS negative_not_debit,
-       count_if(payment_amount LIKE '%,%') AS decimal_comma
+       CAST(count_if(account_number IS NULL OR payment_date IS NULL OR d_c IS NULL OR payment_amount IS NULL
+                OR currency IS NULL) AS BIGINT) AS missing_mandatory,
+       CAST(count_if(payment_amount LIKE '-%' AND d_c <> 'D') AS BIGINT) AS negative_not_debit,
+       CAST(count_if(payment_amount LIKE '%,%') AS BIGINT) AS decimal_comma
 FROM bank_raw GROUP BY statement_id"""))
 def q_quality_nulls(spark, sf_dir):
     return Q.bank_checks(staged_bank(World(spark, sf_dir)))
@@ -692,9 +692,9 @@ def q_quality_nulls(spark, sf_dir):
 
 @query("quality_sign", O.with_views(["secu_raw"], """
 SELECT statement_id, count(*) AS rows,
-       count_if(value_date IS NULL OR transaction_date IS NULL OR type IS NULL OR quantity IS NULL
-                OR amount IS NULL OR currency IS NULL) AS missing_mandatory,
-       count_if(amount LIKE '%,%') AS decimal_comma
+       CAST(count_if(value_date IS NULL OR transaction_date IS NULL OR type IS NULL OR quantity IS NULL
+                OR amount IS NULL OR currency IS NULL) AS BIGINT) AS missing_mandatory,
+       CAST(count_if(amount LIKE '%,%') AS BIGINT) AS decimal_comma
 FROM secu_raw GROUP BY statement_id"""))
 def q_quality_sign(spark, sf_dir):
     return Q.secu_checks(staged_secu(World(spark, sf_dir)))
@@ -715,4 +715,5 @@ def q_topk_amounts(spark, sf_dir):
     """Five largest amounts per statement in text order (as the design's
     verification query sorts the stored text)."""
     t = bank_totals(World(spark, sf_dir)).select("statement_id", "statement_reference", "payment_amount")
-    return Q.top_k_within(t, ["statement_id"], [F.col("payment_amount").desc(), F.col("statement_reference")], 5)
+    top = Q.top_k_within(t, ["statement_id"], [F.col("payment_amount").desc(), F.col("statement_reference")], 5)
+    return top.withColumn("rank", F.col("rank").cast("long"))
