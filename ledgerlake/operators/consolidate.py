@@ -51,20 +51,29 @@ def _sort_order(sort: list[str], keys: list[str]) -> list[str]:
     return sort + [k for k in keys if k not in sort]
 
 
-def aggregate_bank(raw: DataFrame, order_by: str = "transaction_id") -> DataFrame:
+def _keys(keys: list[str], collation: str | None) -> list[Column]:
+    """Group keys; ``collation`` (e.g. 'UNICODE_CI_AI') groups text the way a
+    case/accent-insensitive database collation would (quirk Q7).  Default:
+    binary comparison, as the reference's tests run."""
+    if collation is None:
+        return [F.col(k) for k in keys]
+    return [F.collate(F.col(k), collation).alias(k) for k in keys]
+
+
+def aggregate_bank(raw: DataFrame, order_by: str = "transaction_id", collation: str | None = None) -> DataFrame:
     """G1: bank raw -> one row per (statement, 11 keys)."""
     amt = to_decimal("payment_amount", *MONEY)
     fee = to_decimal("transaction_fee", *MONEY)
-    return raw.groupBy("statement_id", *BANK_KEYS).agg(
+    return raw.groupBy("statement_id", *_keys(BANK_KEYS, collation)).agg(
         F.round(F.sum(amt), 2).alias("payment_amount"),
         F.round(F.sum(fee), 2).alias("transaction_fee"),
         _ordered_list("provider_reference", order_by).alias("provider_reference"),
     )
 
 
-def aggregate_secu(raw: DataFrame, order_by: str = "transaction_id") -> DataFrame:
+def aggregate_secu(raw: DataFrame, order_by: str = "transaction_id", collation: str | None = None) -> DataFrame:
     """Securities raw -> one row per (statement, 6 keys); AVG price unweighted (Q20)."""
-    return raw.groupBy("statement_id", *SECU_KEYS).agg(
+    return raw.groupBy("statement_id", *_keys(SECU_KEYS, collation)).agg(
         F.sum(to_decimal("quantity", *QUANTITY)).alias("quantity"),
         F.avg(to_decimal("price", *PRICE)).alias("price"),
         F.sum(to_decimal("amount", *MONEY)).alias("amount"),

@@ -77,3 +77,11 @@ def test_sums_conserved(spark):
     st = spark.createDataFrame([("s1", "secu", "2024-01-01", "2024-01-31")], STMT)
     tot = C.consolidate_secu(raw, st).agg(F.sum(F.col("amount").cast("decimal(20,2)"))).collect()[0][0]
     assert str(tot) == str(sum(-(i + 0.25) for i in range(1, 30)).__round__(2)) or float(tot) == sum(-(i + 0.25) for i in range(1, 30))
+
+
+def test_optional_case_insensitive_grouping(spark):
+    rows = [_buy(1, "1", "-3.50", "R1"), _buy(2, "1", "-3.50", "R2")]
+    rows[1] = rows[1][:5] + ("lhv1t",) + rows[1][6:]
+    raw = stage(_secu(spark, rows), SECU_COLUMNS)
+    assert C.aggregate_secu(raw).count() == 2                      # binary (default)
+    assert C.aggregate_secu(raw, collation="UNICODE_CI_AI").count() == 1
