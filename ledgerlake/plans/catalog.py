@@ -59,13 +59,21 @@ def secu_totals(w: World) -> DataFrame:
     return C.consolidate_secu(staged_secu(w), w.stmt)
 
 
+_WRITTEN: dict[tuple[str, str], tuple[DataFrame, DataFrame]] = {}
+
+
 def stored_totals(w: World) -> tuple[DataFrame, DataFrame]:
     """Summary tables as a job would have written them: checkpointed, so the
     recognition plans start from stored data instead of re-deriving (and
-    re-analysing) the whole staging + consolidation lineage."""
-    bt = cut_lineage(R.with_bic(bank_totals(w, with_settlements=True), w.stmt, w.bank_dim))
-    se = cut_lineage(R.with_bic(secu_totals(w), w.stmt, w.bank_dim))
-    return bt, se
+    re-analysing) the whole staging + consolidation lineage.  Within one Spark
+    application the written tables of a data folder are reused, as a pipeline
+    reuses tables it has already written."""
+    key = (w.spark.sparkContext.applicationId, w.sf_dir)
+    if key not in _WRITTEN:
+        bt = cut_lineage(R.with_bic(bank_totals(w, with_settlements=True), w.stmt, w.bank_dim))
+        se = cut_lineage(R.with_bic(secu_totals(w), w.stmt, w.bank_dim))
+        _WRITTEN[key] = (bt, se)
+    return _WRITTEN[key]
 
 
 # ---------------------------------------------------------------------------
