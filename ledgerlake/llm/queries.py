@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import common, warc
+from . import common, simhash, warc
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,5 +26,13 @@ SELECT d.page_id, d.payload_bytes, d.payload_digest,
 FROM d LEFT JOIN f USING (payload_digest)
 """
 
-QUERIES = {"op1_warc": op1_warc}
+
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate class of every document."""
+    docs = common.read(spark, sf_dir, "documents")
+    return simhash.near_duplicates(docs, "doc_id", "text", shingle=3, max_bits=3).select(
+        "doc_id", "fingerprint", "component_id")
+
+
+QUERIES = {"op1_warc": op1_warc, "op3_simhash": op3_simhash}
 ORACLE = {"op1_warc": OP1_SQL}
