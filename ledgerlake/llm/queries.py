@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import common, simhash, warc
+from . import common, packing, simhash, warc
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,5 +35,11 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "fingerprint", "component_id")
 
 
-QUERIES = {"op1_warc": op1_warc, "op3_simhash": op3_simhash}
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document tokenised, cut and packed into sequences of at most 1024 tokens."""
+    return packing.pack_documents(common.read(spark, sf_dir, "documents"), "doc_id", "text",
+                                  public_tokenizers.path("byte_bpe_50k.json"))
+
+
+QUERIES = {"op1_warc": op1_warc, "op3_simhash": op3_simhash, "op9_packing": op9_packing}
 ORACLE = {"op1_warc": OP1_SQL}
