@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import common, packing, simhash, warc
+from . import common, packing, quality, simhash, warc
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,11 +36,24 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "fingerprint", "component_id")
 
 
+def quality_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> quality.Model:
+    return quality.fit(docs, common.read(spark, sf_dir, "labels"), "doc_id", "text", "quality")
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every whole document by a model that never saw the held-out fold."""
+    docs = common.read(spark, sf_dir, "documents")
+    scored = quality.with_score(docs.select("doc_id", "text"), "text", quality_model(spark, sf_dir, docs), "score")
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score",
+                         F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document tokenised, cut and packed into sequences of at most 1024 tokens."""
     return packing.pack_documents(common.read(spark, sf_dir, "documents"), "doc_id", "text",
                                   public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {"op1_warc": op1_warc, "op3_simhash": op3_simhash, "op9_packing": op9_packing}
+QUERIES = {"op1_warc": op1_warc, "op3_simhash": op3_simhash, "op6_quality": op6_quality,
+           "op9_packing": op9_packing}
 ORACLE = {"op1_warc": OP1_SQL}
