@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, packing, quality, simhash, warc
+from . import common, linededup, packing, quality, simhash, warc
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +54,12 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op10_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the passages of 50 and more words that an earlier one has."""
+    docs = common.read(spark, sf_dir, "documents").select("doc_id", "text")
+    return linededup.dedup(docs, "doc_id", "text", min_words=50, spans_col="removed")
+
+
 QUERIES = {"op1_warc": op1_warc, "op3_simhash": op3_simhash, "op6_quality": op6_quality,
-           "op9_packing": op9_packing}
+           "op9_packing": op9_packing, "op10_linededup": op10_linededup}
 ORACLE = {"op1_warc": OP1_SQL}
