@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, linededup, packing, quality, simhash, warc
+from . import common, decontam, linededup, packing, quality, simhash, warc
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,6 +48,26 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every (document, benchmark item) whose document has 0.8 of the item's 5-word shingles."""
+    found = decontam.contaminated(common.read(spark, sf_dir, "documents"), common.read(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_shingles", "n_found")
+
+
+OP8_SQL = r"""
+WITH w AS (
+  SELECT 0 AS kind, doc_id AS id, regexp_split_to_array(trim(lower(coalesce(text, '')), E' \t\n\x0b\f\r'), '[\x20\x09-\x0D]+') AS a FROM documents
+  UNION ALL
+  SELECT 1, item_id, regexp_split_to_array(trim(lower(coalesce(text, '')), E' \t\n\x0b\f\r'), '[\x20\x09-\x0D]+') FROM benchmark),
+p AS (SELECT kind, id, a, unnest(range(1, len(a) - 3)) AS i FROM w),
+g AS (SELECT DISTINCT kind, id, array_to_string(a[i:i + 4], ' ') AS gram FROM p),
+n AS (SELECT id, count(*) AS n FROM g WHERE kind = 1 GROUP BY id)
+SELECT d.id AS doc_id, b.id AS item_id, any_value(n.n)::INT AS n_shingles, count(*)::INT AS n_found
+FROM g d JOIN g b ON d.gram = b.gram AND d.kind = 0 AND b.kind = 1 JOIN n ON n.id = b.id
+GROUP BY d.id, b.id HAVING count(*) >= ceil(0.8 * any_value(n.n) - 1e-9)
+"""
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document tokenised, cut and packed into sequences of at most 1024 tokens."""
     return packing.pack_documents(common.read(spark, sf_dir, "documents"), "doc_id", "text",
@@ -60,6 +80,15 @@ def op10_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup(docs, "doc_id", "text", min_words=50, spans_col="removed")
 
 
-QUERIES = {"op1_warc": op1_warc, "op3_simhash": op3_simhash, "op6_quality": op6_quality,
-           "op9_packing": op9_packing, "op10_linededup": op10_linededup}
-ORACLE = {"op1_warc": OP1_SQL}
+QUERIES = {
+    "op1_warc": op1_warc,
+    "op3_simhash": op3_simhash,
+    "op6_quality": op6_quality,
+    "op8_decontamination": op8_decontamination,
+    "op9_packing": op9_packing,
+    "op10_linededup": op10_linededup,
+}
+ORACLE = {
+    "op1_warc": OP1_SQL,
+    "op8_decontamination": OP8_SQL,
+}
