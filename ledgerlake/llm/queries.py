@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, decontam, linededup, packing, quality, simhash, warc
+from . import common, decontam, linededup, packing, pii, quality, simhash, warc
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +36,12 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "fingerprint", "component_id")
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every whole document; n_* count the base entities."""
+    return pii.find(common.read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def quality_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> quality.Model:
     return quality.fit(docs, common.read(spark, sf_dir, "labels"), "doc_id", "text", "quality")
 
@@ -83,6 +89,7 @@ def op10_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_warc": op1_warc,
     "op3_simhash": op3_simhash,
+    "op4_pii": op4_pii,
     "op6_quality": op6_quality,
     "op8_decontamination": op8_decontamination,
     "op9_packing": op9_packing,
