@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, decontam, linededup, packing, pii, quality, simhash, warc
+from . import chat, common, decontam, linededup, packing, pii, quality, simhash, urlfilter, warc
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +29,60 @@ FROM d LEFT JOIN f USING (payload_digest)
 """
 
 
+def captures(pages: DataFrame) -> DataFrame:
+    """Pages with a fetch day, spread over 366 days by the page's id."""
+    return pages.select("page_id", "url", F.expr("date_add(DATE '2024-01-01', cast(pmod(page_id * 7919, 366) AS int))").alias("fetch_day"))
+
+
+def list_entries(pages: DataFrame) -> DataFrame:
+    """A dated URL list that grows with the pages: every fifth page puts its host, its domain or its
+    directory on the list, or takes it off, on a day given by its id."""
+    host, path = urlfilter.host_of(F.col("url")), urlfilter.path_of(F.col("url"))
+    pattern = F.expr("""CASE pmod(page_id, 3) WHEN 0 THEN host
+        WHEN 1 THEN regexp_extract(host, '([^.]+[.][^.]+)$', 1)
+        ELSE concat(host, regexp_extract(path, '^(/[^/]+/)', 1)) END""")
+    return (pages.filter("pmod(page_id, 5) = 0").select("page_id", host.alias("host"), path.alias("path")).filter("host IS NOT NULL")
+            .select(F.nullif(pattern, F.lit("")).alias("pattern"),
+                    F.expr("element_at(array('block', 'block', 'allow', 'remove'), cast(pmod(page_id div 5, 4) AS int) + 1)").alias("action"),
+                    F.expr("concat('c', pmod(page_id div 20, 4))").alias("category"),
+                    F.expr("date_add(DATE '2024-01-01', cast(pmod(page_id * 104729, 366) AS int))").alias("day"),
+                    F.col("page_id").alias("seq")))
+
+
+def op2_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page judged by the list entries that were active on its fetch day."""
+    pages = common.read(spark, sf_dir, "pages").select("page_id", "url")
+    return urlfilter.judge(captures(pages), list_entries(pages), "page_id", "url", "fetch_day")
+
+
+OP2_SQL = r"""
+WITH u AS (
+  SELECT page_id, nullif(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([a-z0-9._-]*[a-z0-9_-])', 1), '') AS host,
+         regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)', 1) AS path FROM pages),
+e AS (
+  SELECT CASE page_id % 3 WHEN 0 THEN host WHEN 1 THEN regexp_extract(host, '([^.]+[.][^.]+)$', 1)
+              ELSE host || regexp_extract(path, '^(/[^/]+/)', 1) END AS pattern,
+         ['block', 'block', 'allow', 'remove'][(page_id // 5) % 4 + 1] AS action, 'c' || ((page_id // 20) % 4) AS category,
+         DATE '2024-01-01' + ((page_id * 104729) % 366)::INT AS day, page_id AS seq
+  FROM u WHERE page_id % 5 = 0 AND host IS NOT NULL),
+last AS (SELECT lower(pattern) AS pattern, day, action, category FROM e WHERE pattern <> ''
+         QUALIFY row_number() OVER (PARTITION BY lower(pattern), day ORDER BY seq DESC) = 1),
+changed AS (SELECT * FROM last QUALIFY lag(action || '/' || category) OVER (PARTITION BY pattern ORDER BY day) IS DISTINCT FROM action || '/' || category),
+valid AS (SELECT *, coalesce(lead(day) OVER (PARTITION BY pattern ORDER BY day), DATE '2200-01-01') AS until FROM changed),
+c AS (SELECT *, DATE '2024-01-01' + ((page_id * 7919) % 366)::INT AS fetch_day, string_split(host, '.') AS l, string_split(lower(path), '/') AS d FROM u),
+k AS (
+  SELECT page_id, unnest(list_distinct(list_concat(
+    CASE WHEN len(l) >= 2 THEN list_transform(range(1, len(l)), lambda i: array_to_string(l[i:], '.')) ELSE [host] END,
+    list_transform(range(1, least(4, len(d) - 2) + 1), lambda i: host || '/' || array_to_string(d[2:i + 1], '/') || '/')))) AS pattern
+  FROM c WHERE host IS NOT NULL),
+b AS (SELECT k.page_id, v.* FROM k JOIN c USING (page_id) JOIN valid v ON v.pattern = k.pattern AND v.action <> 'remove'
+        AND v.day <= c.fetch_day AND c.fetch_day < v.until
+      QUALIFY row_number() OVER (PARTITION BY k.page_id ORDER BY length(k.pattern) DESC, k.pattern DESC) = 1)
+SELECT c.page_id, c.host, c.fetch_day, coalesce(b.action, 'allow') AS action, b.pattern, b.category, b.day AS listed_since
+FROM c LEFT JOIN b USING (page_id)
+"""
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate class of every document."""
     docs = common.read(spark, sf_dir, "documents")
@@ -54,6 +108,29 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
 
 
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation rendered from the perspective of each of its participants."""
+    return chat.rotate(common.read(spark, sf_dir, "conversations"))
+
+
+OP7_SQL = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(nullif(role, ''), 'unknown') AS speaker,
+         replace(coalesce(text, ''), '<|im_', '<' || chr(8205) || '|im_') AS text FROM conversations),
+w AS (SELECT DISTINCT conv_id, speaker AS perspective FROM t WHERE speaker <> 'system'),
+h AS (
+  SELECT t.*, w.perspective, t.speaker = w.perspective AS mine,
+         '<|im_start|>' || CASE WHEN t.speaker = 'system' THEN 'system' WHEN t.speaker = w.perspective THEN 'assistant'
+           ELSE 'user name=' || regexp_replace(replace(t.speaker, '<|im_', '<' || chr(8205) || '|im_'), '[\r\n]', ' ', 'g') END || chr(10) AS head
+  FROM t JOIN w ON t.conv_id IS NOT DISTINCT FROM w.conv_id),
+s AS (SELECT *, head || text || '<|im_end|>' || chr(10) AS segment FROM h)
+SELECT conv_id, perspective, row_number() OVER o - 1 AS position, turn, segment,
+       (sum(length(segment)) OVER (o ROWS UNBOUNDED PRECEDING) - length(segment))::BIGINT AS start,
+       CASE WHEN mine THEN length(head) ELSE 0 END AS mask_start, CASE WHEN mine THEN length(segment) - 1 ELSE 0 END AS mask_end
+FROM s WINDOW o AS (PARTITION BY conv_id, perspective ORDER BY turn NULLS FIRST, speaker, text)
+"""
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every (document, benchmark item) whose document has 0.8 of the item's 5-word shingles."""
     found = decontam.contaminated(common.read(spark, sf_dir, "documents"), common.read(spark, sf_dir, "benchmark"))
@@ -88,14 +165,18 @@ def op10_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_warc": op1_warc,
+    "op2_urlfilter": op2_urlfilter,
     "op3_simhash": op3_simhash,
     "op4_pii": op4_pii,
     "op6_quality": op6_quality,
+    "op7_chat": op7_chat,
     "op8_decontamination": op8_decontamination,
     "op9_packing": op9_packing,
     "op10_linededup": op10_linededup,
 }
 ORACLE = {
     "op1_warc": OP1_SQL,
+    "op2_urlfilter": OP2_SQL,
+    "op7_chat": OP7_SQL,
     "op8_decontamination": OP8_SQL,
 }
