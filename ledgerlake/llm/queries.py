@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, common, decontam, linededup, packing, pii, quality, simhash, urlfilter, warc
+from . import ann, chat, common, decontam, linededup, packing, pii, quality, simhash, urlfilter, warc
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,6 +96,11 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
 
 
+def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors of every vector whose id is divisible by 100."""
+    return ann.search(common.read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def quality_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> quality.Model:
     return quality.fit(docs, common.read(spark, sf_dir, "labels"), "doc_id", "text", "quality")
 
@@ -168,6 +173,7 @@ QUERIES = {
     "op2_urlfilter": op2_urlfilter,
     "op3_simhash": op3_simhash,
     "op4_pii": op4_pii,
+    "op5_ann": op5_ann,
     "op6_quality": op6_quality,
     "op7_chat": op7_chat,
     "op8_decontamination": op8_decontamination,
