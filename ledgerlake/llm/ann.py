@@ -54,13 +54,14 @@ def fit_coder(sample: np.ndarray, wanted: float = 0.97, k: int = 10, rounds: int
     rng = np.random.default_rng(seed)
     bits = min(64, sample.shape[1])
     mean = sample.mean(axis=0)
-    _, _, axes = np.linalg.svd(sample - mean, full_matrices=True)
-    flat = (sample - mean) @ axes[:bits].T
+    _, axes = np.linalg.eigh((sample - mean).T @ (sample - mean))  # ascending
+    axes = axes[:, ::-1][:, :bits]
+    flat = (sample - mean) @ axes
     turn = np.linalg.qr(rng.normal(size=(bits, bits)))[0]
     for _ in range(rounds):
         u, _, w = np.linalg.svd(np.where(flat @ turn > 0, 1.0, -1.0).T @ flat)
         turn = (u @ w).T
-    coder = Coder(mean, axes[:bits].T @ turn, bits)
+    coder = Coder(mean, axes @ turn, bits)
     codes, far = coder.codes(sample), []
     for q in range(min(queries, len(sample))):
         d = ((sample - sample[q]) ** 2).sum(axis=1)
