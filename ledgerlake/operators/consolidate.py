@@ -88,7 +88,7 @@ def number_totals(agg: DataFrame, statements: DataFrame, sort: list[str],
     """W2 + P16/P17: seq per statement in report order -> 'STMTyyyy.NNN'."""
     order = _sort_order(sort, keys)
     numbered = number_within(agg, ["statement_id"], [F.col(c).asc_nulls_first() for c in order],
-                             bucket=F.col(order[0]), out="seq")
+                             [F.col(order[0]), F.col(order[1])], out="seq")
     prefixes = statements.select(F.col("id").alias("statement_id"),
                                  statement_ref_prefix(F.col("from_date")).alias("_prefix"))
     return (numbered.join(prefixes, "statement_id", "left")

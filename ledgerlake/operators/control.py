@@ -43,6 +43,12 @@ def error_events(problems: DataFrame, job: str, event_seq: int) -> DataFrame:
     return events(problems, job, "error", event_seq, message=truncate_error(F.col("message")))
 
 
+def refusals(refused: DataFrame, job: str, event_seq: int) -> DataFrame:
+    """K8: a job asked for a statement whose status does not allow it.  The
+    event has no status of its own, so the statement's stays as it is."""
+    return events(refused, job, F.lit(None).cast("string"), event_seq, message=truncate_error(F.col("message")))
+
+
 def _latest(ev: DataFrame, cols: list[str], alias: str) -> DataFrame:
     return ev.groupBy("statement_id").agg(
         F.max_by(F.struct(*[F.col(c) for c in cols]), F.col("event_seq")).alias(alias))
@@ -56,7 +62,7 @@ def current_statements(statements: DataFrame, ev: DataFrame) -> DataFrame:
     'imported' event; total_count, consolidation_timestamp from the latest
     'consolidated' event; ``load_id`` of the rows currently valid.
     """
-    last = _latest(ev, ["status", "message"], "_last")
+    last = _latest(ev.filter(F.col("status").isNotNull()), ["status", "message"], "_last")
     # a reset (K5) invalidates every earlier import / consolidation
     reset = ev.filter(F.col("job") == "reset").groupBy("statement_id").agg(F.max("event_seq").alias("_reset"))
     live = (ev.join(reset, "statement_id", "left")
@@ -85,6 +91,7 @@ def status_timeline(ev: DataFrame, initial: DataFrame | None = None) -> DataFram
     """K8: each event with its predecessor status and whether the transition
     is allowed (new -> importing -> imported -> consolidating ->
     consolidated; anything -> error).  Window per statement (few events each)."""
+    ev = ev.filter(F.col("status").isNotNull())
     w = Window.partitionBy("statement_id").orderBy("event_seq")
     prev = F.lag("status").over(w)
     if initial is not None:

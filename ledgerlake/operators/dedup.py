@@ -12,11 +12,12 @@ Scale notes
   months it covers and joined on (account_type, month); a pair is emitted only
   at the month where the overlap starts, so no ``distinct`` is needed.
 * Keys are reduced to (statement, key) grain before any join, so in-file
-  repeats never multiply.  Blocking keys are replicated to the statements
-  that overlap their owner: size = stored keys x overlap degree.
+  repeats never multiply.  Dedup never builds the overlap pairs: both sides
+  carry their statement's period and are joined on (key, month), so a key
+  meets only its own holders of the same month.
 * The bulk fold (J6) resolves statements per key in rounds over
-  (key, statement, earlier blocker) edges; every group is bounded by the
-  overlap degree, never by the number of statements holding a key.
+  (key, statement, earlier blocker) edges.  A round handles only what is still
+  open, and the loop ends when nothing is.
 """
 
 from __future__ import annotations
@@ -93,14 +94,39 @@ def overlap_pairs(statements: DataFrame, only_blocking: bool = True, same_bank:
             .select("statement_id", "other_id", F.col("a_type").alias("account_type")))
 
 
-def blocked_keys(statements: DataFrame, stored: DataFrame) -> DataFrame:
-    """(statement_id, dedup_key) that ``statement_id`` must not re-import.
+def _holders(keys: DataFrame, statements: DataFrame, prefix: str, extra: list[str]) -> DataFrame:
+    """(statement, key) rows with their statement's period, one row per month covered."""
+    st = statements.select(F.col("id").alias("statement_id"), "account_type", "from_date", "to_date", *extra)
+    return keys.join(st, "statement_id").select(
+        F.col("statement_id").alias(f"{prefix}id"), "dedup_key", F.col("account_type").alias(f"{prefix}type"),
+        F.col("from_date").alias(f"{prefix}from"), F.col("to_date").alias(f"{prefix}to"),
+        *[F.col(c).alias(f"{prefix}{c}") for c in keys.columns + extra if c not in ("statement_id", "dedup_key")],
+        F.explode(_months("from_date", "to_date")).alias("mon"))
 
-    ``stored``: (statement_id, dedup_key) of rows already stored.
+
+def key_overlaps(keys: DataFrame, others: DataFrame, statements: DataFrame, extra: list[str] | None = None) -> DataFrame:
+    """(x_id, y_id, dedup_key, x_* / y_* extras): holders x of a key in ``keys``
+    and y in ``others`` whose statements overlap, y's status blocking (F5-F8).
+
+    Joined on (key, month); each pair is emitted once, at the month where the
+    overlap starts.
+    """
+    extra = extra or []
+    x = _holders(keys, statements, "x_", extra)
+    y = _holders(others, statements.filter(blocks("status")), "y_", extra)
+    start = F.trunc(F.to_date(F.greatest(F.col("x_from"), F.col("y_from"))), "month")
+    return (x.join(y, ["dedup_key", "mon"])
+            .filter((F.col("y_type") == F.col("x_type")) & (F.col("y_from") <= F.col("x_to"))
+                    & (F.col("y_to") >= F.col("x_from")) & (F.col("x_id") != F.col("y_id")) & (F.col("mon") == start)))
+
+
+def blocked_keys(incoming: DataFrame, statements: DataFrame, stored: DataFrame) -> DataFrame:
+    """(statement_id, dedup_key) of ``incoming`` that an overlapping statement has stored.
+
+    ``incoming`` and ``stored``: distinct (statement_id, dedup_key).
     """
-    pairs = overlap_pairs(statements, only_blocking=True)
-    owners = stored.withColumnRenamed("statement_id", "other_id")
-    return pairs.join(owners, "other_id").select("statement_id", "dedup_key").distinct()
+    found = key_overlaps(incoming, stored, statements)
+    return found.select(F.col("x_id").alias("statement_id"), "dedup_key").distinct()
 
 
 def drop_stored_duplicates(incoming: DataFrame, statements: DataFrame, stored_raw: DataFrame,
@@ -119,7 +145,8 @@ def flag_stored_duplicates(incoming: DataFrame, statements: DataFrame, stored_ra
                            account_type: str) -> DataFrame:
     """Incoming rows + ``dedup_key`` + ``_dup`` (J4/J5 verdict per row)."""
     keyed = with_incoming_key(incoming, account_type)
-    blocked = blocked_keys(statements.filter(F.col("account_type") == account_type),
+    blocked = blocked_keys(keyed.select("statement_id", "dedup_key").distinct(),
+                           statements.filter(F.col("account_type") == account_type),
                            stored_keys(stored_raw, account_type))
     flagged = keyed.join(blocked.withColumn("_dup", F.lit(True)), ["statement_id", "dedup_key"], "left")
     return flagged.withColumn("_dup", F.coalesce(F.col("_dup"), F.lit(False)))
@@ -134,7 +161,7 @@ def dedup_counts(flagged: DataFrame, dup_col: str = "_dup") -> DataFrame:
 
 
 def bulk_dedup(incoming: DataFrame, statements: DataFrame, account_type: str,
-               stored: DataFrame | None = None, max_rounds: int = 10_000) -> DataFrame:
+               stored: DataFrame | None = None) -> DataFrame:
     """Dedup many statements at once, in import order (``import_seq``).
 
     Per (account type, key), statements are visited in import order; a
@@ -142,59 +169,51 @@ def bulk_dedup(incoming: DataFrame, statements: DataFrame, account_type: str,
     overlaps it holds the key.  Rows already stored (``stored``: statement_id,
     dedup_key) count as kept first.  Result: (statement_id, dedup_key, kept).
 
-    Resolution runs in rounds: a statement is dropped as soon as one earlier
-    overlapping blocker is known kept, and kept once all of its earlier
-    blockers are known dropped.  Rounds = longest blocker chain (2-3 in
-    practice); each round is one join + one bounded aggregate.
+    Resolution runs in rounds over the open edges: a statement is dropped as
+    soon as one earlier overlapping blocker is kept, and kept once all of its
+    earlier blockers are dropped; resolved statements and their edges leave
+    the rounds.  Rounds = longest blocker chain (2-3 in practice).  Import
+    order is strict, so every round resolves something; if one does not, the
+    order is broken and the fold fails rather than guess.
     """
     st = statements.filter(F.col("account_type") == account_type)
-    info = st.select(F.col("id").alias("statement_id"), F.col("import_seq").alias("seq"),
-                     blocks("status").alias("blocks"))
     keys = with_incoming_key(incoming, account_type).select("statement_id", "dedup_key").distinct()
-    nodes = keys.join(info, "statement_id").withColumn("stored", F.lit(False))
+    held = keys.withColumn("stored", F.lit(False))
     if stored is not None:
-        seeded = (stored.join(info.select("statement_id", "blocks"), "statement_id")
-                  .withColumn("seq", F.lit(None).cast(info.schema["seq"].dataType))
-                  .withColumn("stored", F.lit(True)))
-        nodes = nodes.join(stored.select("statement_id", "dedup_key"), ["statement_id", "dedup_key"],
-                           "left_anti").unionByName(seeded)
+        keys = keys.join(stored.select("statement_id", "dedup_key"), ["statement_id", "dedup_key"], "left_anti")
+        held = keys.withColumn("stored", F.lit(False)).unionByName(
+            stored.select("statement_id", "dedup_key").distinct().withColumn("stored", F.lit(True)))
+    keys = cut_lineage(keys)
 
     # edges: x (incoming) <- y (blocking, earlier or stored, overlapping, same key)
-    pairs = overlap_pairs(st, only_blocking=True)
-    y = nodes.filter("blocks").select(F.col("statement_id").alias("other_id"), "dedup_key",
-                                      F.col("seq").alias("y_seq"), F.col("stored").alias("y_stored"))
-    x = nodes.filter(~F.col("stored")).select("statement_id", "dedup_key", F.col("seq").alias("x_seq"))
-    edges = (pairs.join(y, "other_id").join(x, ["statement_id", "dedup_key"])
-             .filter(F.col("y_stored") | (F.col("y_seq") < F.col("x_seq")))
-             .select("statement_id", "dedup_key", "other_id"))
-    edges = cut_lineage(edges)
-
-    # state: kept = True/False when resolved, NULL while open
-    state = nodes.select("statement_id", "dedup_key",
-                         F.when(F.col("stored"), F.lit(True)).alias("kept"))
-    has_blocker = edges.select("statement_id", "dedup_key").distinct().withColumn("_hb", F.lit(True))
-    state = (state.join(has_blocker, ["statement_id", "dedup_key"], "left")
-             .withColumn("kept", F.when(F.col("kept").isNull() & F.col("_hb").isNull(), F.lit(True))
-                         .otherwise(F.col("kept"))).drop("_hb"))
-    state = cut_lineage(state)
-
-    for i in range(max_rounds):
-        if state.filter(F.col("kept").isNull()).limit(1).count() == 0:
-            break
-        known = state.select(F.col("statement_id").alias("other_id"), "dedup_key",
-                             F.col("kept").alias("y_kept"))
-        verdict = (edges.join(known, ["other_id", "dedup_key"])
-                   .groupBy("statement_id", "dedup_key")
-                   .agg(F.max(F.col("y_kept").cast("int")).alias("_any_kept"),
-                        F.count_if(F.col("y_kept").isNull()).alias("_open")))
-        state = (state.join(verdict, ["statement_id", "dedup_key"], "left")
-                 .withColumn("kept", F.when(F.col("kept").isNotNull(), F.col("kept"))
-                             .when(F.col("_any_kept") == 1, F.lit(False))
-                             .when(F.col("_open") == 0, F.lit(True)))
-                 .drop("_any_kept", "_open"))
-        state = cut_lineage(state)
-    return state.join(nodes.filter(~F.col("stored")).select("statement_id", "dedup_key"),
-                      ["statement_id", "dedup_key"])
+    found = key_overlaps(keys, held, st, ["import_seq"]).filter(
+        F.col("y_stored") | (F.col("y_import_seq") < F.col("x_import_seq")))
+    edges = cut_lineage(found.select(F.col("x_id").alias("statement_id"), "dedup_key",
+                                     F.col("y_id").alias("other_id"), F.col("y_stored").alias("y_kept")))
+    node = ["statement_id", "dedup_key"]
+
+    # an edge from a stored row drops x at once; without any edge x is kept
+    dropped = edges.filter("y_kept").select(*node).distinct()
+    free = keys.join(edges.select(*node).distinct(), node, "left_anti")
+    fresh = cut_lineage(free.withColumn("kept", F.lit(True)).unionByName(dropped.withColumn("kept", F.lit(False))))
+    resolved = [fresh]
+    still = cut_lineage(edges.drop("y_kept").join(dropped, node, "left_anti"))
+    while not still.isEmpty():
+        known = fresh.select(F.col("statement_id").alias("other_id"), "dedup_key", F.col("kept").alias("y_kept"))
+        told = still.join(known, ["other_id", "dedup_key"], "left")
+        verdict = told.groupBy(*node).agg(F.max(F.coalesce(F.col("y_kept"), F.lit(False))).alias("hit"),
+                                          F.count_if(F.col("y_kept").isNull()).alias("open"))
+        fresh = cut_lineage(verdict.filter("hit OR open = 0").select(*node, (~F.col("hit")).alias("kept")))
+        if fresh.isEmpty():
+            raise ValueError("import order is not strict: statements block each other")
+        resolved.append(fresh)
+        # edges to dropped blockers are done; edges of resolved statements too
+        still = cut_lineage(told.filter(F.col("y_kept").isNull()).drop("y_kept")
+                            .join(fresh.select(*node), node, "left_anti"))
+    out = resolved[0]
+    for r in resolved[1:]:
+        out = out.unionByName(r)
+    return out
 
 
 def flag_bulk_duplicates(incoming: DataFrame, verdict: DataFrame, account_type: str) -> DataFrame:

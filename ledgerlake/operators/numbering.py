@@ -2,11 +2,11 @@
 
 ``row_number() OVER (PARTITION BY statement ORDER BY ...)`` puts a whole
 statement into one task; a statement holding a third of all rows would then
-sort on one core.  ``number_within`` splits every partition into buckets that
-are monotone in the sort order, numbers rows inside (partition, bucket) and
-adds the row count of all earlier buckets.  The only extra data is one count
-per (partition, bucket) -- bounded by ``rows / bucket size`` -- and the result
-equals the plain ``row_number()`` exactly.
+sort on one core.  ``number_within`` splits every partition into nested
+buckets that follow the sort order, numbers rows inside the innermost bucket
+and adds the row counts of all earlier buckets, level by level.  The only
+extra data is one count per bucket, and the result equals the plain
+``row_number()`` exactly.
 """
 
 from __future__ import annotations
@@ -17,55 +17,45 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-# Largest group a single task may number with a plain window; above it the
-# bucketed plan is used.  Override with the session conf below.
-MAX_GROUP_ROWS = 2_000_000
-MAX_GROUP_CONF = "spark.ledgerlake.numbering.maxGroupRows"
+def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[f"_o{k}"]) for k in keys])
 
 
-def _largest_group(df: DataFrame, partition_cols: list[str]) -> int:
-    """Size check (one aggregate, a single number to the driver)."""
-    row = df.groupBy(*partition_cols).count().agg(F.max("count")).first()
-    return int(row[0] or 0)
+def _renamed(df: DataFrame, keys: list[str]) -> DataFrame:
+    return df.withColumnsRenamed({k: f"_o{k}" for k in keys})
 
 
 def number_within(df: DataFrame, partition_cols: list[str], order_cols: list,
-                  bucket: Column | None = None, out: str = "seq",
-                  max_group_rows: int | None = None) -> DataFrame:
-    """Add ``out`` = 1..n within ``partition_cols`` in ``order_cols`` order.
-
-    ``bucket`` must be non-decreasing along ``order_cols`` inside a partition
-    (e.g. ``file_pos div 65536`` or the leading sort key).  Without a bucket
-    -- or when no group exceeds ``max_group_rows`` (checked with one
-    aggregate) -- this is the plain window; otherwise the bucketed plan.
+                  buckets: list[Column], out: str = "seq", weight: Column | None = None) -> DataFrame:
+    """Add ``out`` = 1..n within ``partition_cols`` in ``order_cols`` order; with
+    ``weight``, the running sum of the weights (``order_cols`` must be total then).
+
+    ``buckets``, outermost first, must be non-decreasing along ``order_cols``
+    within the bucket around them (e.g. ``file_pos div 65536``, the leading
+    sort keys, or a prefix of a text sort key).  The innermost buckets bound
+    what one task sorts, so give as many levels as a hot partition needs.
     """
-    if bucket is not None:
-        limit = max_group_rows
-        if limit is None:
-            limit = int(df.sparkSession.conf.get(MAX_GROUP_CONF, str(MAX_GROUP_ROWS)))
-        if _largest_group(df, partition_cols) <= limit:
-            bucket = None
-    if bucket is None:
-        w = Window.partitionBy(*partition_cols).orderBy(*order_cols)
-        return df.withColumn(out, F.row_number().over(w))
-
-    # one shuffle by (partition, bucket) feeds both the bucket counts and the
-    # local row numbers (the exchange is reused, the input computed once)
-    b = df.withColumn("_bkt", bucket).repartition(*partition_cols, "_bkt")
-    counts = b.groupBy(*partition_cols, "_bkt").agg(F.count(F.lit(1)).alias("_n"))
-    before = (Window.partitionBy(*partition_cols).orderBy("_bkt")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = (counts.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-               .drop("_n"))
-    for c in partition_cols:
-        offsets = offsets.withColumnRenamed(c, f"_o_{c}")
-    offsets = offsets.withColumnRenamed("_bkt", "_o_bkt")
-
-    local = Window.partitionBy(*partition_cols, "_bkt").orderBy(*order_cols)
-    numbered = b.withColumn("_local", F.row_number().over(local))
-    cond = reduce(lambda a, c: a & c,
-                  [numbered[c].eqNullSafe(offsets[f"_o_{c}"]) for c in partition_cols],
-                  numbered["_bkt"].eqNullSafe(offsets["_o_bkt"]))
-    joined = numbered.join(offsets, cond, "inner")
-    return (joined.withColumn(out, (F.col("_off") + F.col("_local")).cast("int"))
-            .drop("_bkt", "_local", "_off", "_o_bkt", *[f"_o_{c}" for c in partition_cols]))
+    levels = [f"_b{i}" for i in range(len(buckets))]
+    keys = [*partition_cols, *levels]
+    b = df.withColumns(dict(zip(levels, buckets)))
+    counts = b.groupBy(*keys).agg((F.count(F.lit(1)) if weight is None else F.sum(weight)).alias("_n"))
+    offsets = None
+    for depth in range(1, len(levels) + 1):
+        at = [*partition_cols, *levels[:depth]]
+        level = counts if depth == len(levels) else counts.groupBy(*at).agg(F.sum("_n").alias("_n"))
+        before = (Window.partitionBy(*at[:-1]).orderBy(F.col(at[-1]).asc_nulls_first())
+                  .rowsBetween(Window.unboundedPreceding, -1))
+        level = level.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+        if offsets is not None:
+            outer = _renamed(offsets, at[:-1]).withColumnRenamed("_off", "_outer")
+            level = (level.join(outer, _same(level, outer, at[:-1]))
+                     .withColumn("_off", F.col("_off") + F.col("_outer"))
+                     .drop("_outer", *[f"_o{k}" for k in at[:-1]]))
+        offsets = level
+    local = Window.partitionBy(*keys).orderBy(*order_cols)
+    numbered = b.withColumn("_local", F.row_number().over(local) if weight is None else
+                            F.sum(weight).over(local.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    offsets = _renamed(offsets, keys)
+    return (numbered.join(offsets, _same(numbered, offsets, keys))
+            .withColumn(out, (F.col("_off") + F.col("_local")).cast("int"))
+            .drop("_local", "_off", *levels, *[f"_o{k}" for k in keys]))

@@ -18,13 +18,15 @@ SYSTEM_COLUMNS = ["id", "statement_id", "transaction_id"]
 AUDIT_COLUMNS = ["date_created", "created_by"]
 
 
-def number_rows(df: DataFrame, pos: str = "pos", bucket: Column | None = None) -> DataFrame:
-    """Seq 1..n per statement in ``pos`` order -> ``transaction_id`` '001'."""
-    n = number_within(df, ["statement_id"], [F.col(pos).asc()], bucket=bucket, out="_seq")
+def number_rows(df: DataFrame, pos: str, bucket: Column | None = None) -> DataFrame:
+    """Seq 1..n per statement in ``pos`` order -> ``transaction_id`` '001'.
+
+    ``bucket`` follows ``pos`` and bounds what one task sorts (default: one bucket per statement)."""
+    n = number_within(df, ["statement_id"], [F.col(pos).asc()], [F.lit(0) if bucket is None else bucket], out="_seq")
     return n.withColumn("transaction_id", zero_pad(F.col("_seq"))).drop("_seq")
 
 
-def stage(df: DataFrame, columns: list[str], pos: str = "pos", bucket: Column | None = None,
+def stage(df: DataFrame, columns: list[str], bucket: Column | None = None, pos: str = "pos",
           load_id: Column | None = None) -> DataFrame:
     """Mapped rows -> raw table rows (system + mapped + audit columns)."""
     n = number_rows(df, pos, bucket)

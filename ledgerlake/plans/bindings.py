@@ -33,22 +33,6 @@ from ..session import cut_lineage
 DEC2 = DecimalType(15, 2)
 
 
-# Fact tables are spread by their key when a scan yields fewer splits than the
-# cluster's parallelism (a single large row group, say); with many input
-# splits -- the normal case at scale -- the scan is left as it is.
-_SPREAD_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
-
-
-def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    key = _SPREAD_KEYS.get(name)
-    if key is not None:
-        par = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < par:
-            df = df.repartition(par, key)
-    return df
-
-
 def _fmt_date(c: Column) -> Column:
     return F.date_format(c, "yyyy-MM-dd")
 
@@ -85,7 +69,7 @@ class World:
     sf_dir: str
 
     def t(self, name: str) -> DataFrame:
-        return _read(self.spark, self.sf_dir, name)
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     # -- orders side -------------------------------------------------------
     @cached_property
@@ -112,14 +96,18 @@ class World:
     # -- statements --------------------------------------------------------
     @cached_property
     def bank_stmt(self) -> DataFrame:
-        keys = self._orders_x.select(_month_start(F.col("o_orderdate")).alias("m"),
-                                     F.col("n_regionkey").alias("r")).distinct()
+        n = self.t("nation").select("n_nationkey", "n_regionkey")
+        c = self.t("customer").select("c_custkey", "c_nationkey").join(n, F.col("c_nationkey") == n.n_nationkey)
+        o = self.t("orders").select("o_custkey", _month_start(F.col("o_orderdate")).alias("m")).distinct()
+        keys = o.join(c, F.col("o_custkey") == F.col("c_custkey")).select("m", F.col("n_regionkey").alias("r")).distinct()
         return cut_lineage(_statements(keys, "B", "bank"))
 
     @cached_property
     def secu_stmt(self) -> DataFrame:
-        keys = self._lines_x.select(_month_start(F.col("l_shipdate")).alias("m"),
-                                    F.col("n_regionkey").alias("r")).distinct()
+        n = self.t("nation").select("n_nationkey", "n_regionkey")
+        s = self.t("supplier").select("s_suppkey", "s_nationkey").join(n, F.col("s_nationkey") == n.n_nationkey)
+        li = self.t("lineitem").select("l_suppkey", _month_start(F.col("l_shipdate")).alias("m")).distinct()
+        keys = li.join(s, F.col("l_suppkey") == F.col("s_suppkey")).select("m", F.col("n_regionkey").alias("r")).distinct()
         return cut_lineage(_statements(keys, "S", "secu"))
 
     @cached_property

@@ -38,42 +38,35 @@ def query(name: str, sql: str | None = None):
 # ---------------------------------------------------------------------------
 
 def staged_bank(w: World, with_settlements: bool = False) -> DataFrame:
-    """The bank raw table as the import job writes it (checkpointed)."""
+    """The bank raw table as the import job writes it."""
     src = w.bank_all_in if with_settlements else w.bank_in
-    return cut_lineage(stage(src, BANK_COLUMNS, bucket=pos_bucket()))
+    return stage(src, BANK_COLUMNS, pos_bucket())
 
 
 def staged_secu(w: World) -> DataFrame:
-    """The securities raw table as the import job writes it (checkpointed)."""
-    return cut_lineage(stage(w.secu_in, SECU_COLUMNS, bucket=pos_bucket()))
+    """The securities raw table as the import job writes it."""
+    return stage(w.secu_in, SECU_COLUMNS, pos_bucket())
 
 
 _TOTAL_DROP = ["date_created"]
 
 
 def bank_totals(w: World, with_settlements: bool = False) -> DataFrame:
-    return C.consolidate_bank(staged_bank(w, with_settlements), w.stmt)
+    return C.consolidate_bank(staged_bank(w, with_settlements), w.bank_stmt)
 
 
 def secu_totals(w: World) -> DataFrame:
-    return C.consolidate_secu(staged_secu(w), w.stmt)
+    return C.consolidate_secu(staged_secu(w), w.secu_stmt)
 
 
-_WRITTEN: dict[tuple[str, str], tuple[DataFrame, DataFrame]] = {}
+def stored_bank(w: World) -> DataFrame:
+    """Bank summary rows with their BIC, as a job would have written them: the
+    recognition plans read them several times."""
+    return cut_lineage(R.with_bic(bank_totals(w, with_settlements=True), w.bank_stmt, w.bank_dim))
 
 
-def stored_totals(w: World) -> tuple[DataFrame, DataFrame]:
-    """Summary tables as a job would have written them: checkpointed, so the
-    recognition plans start from stored data instead of re-deriving (and
-    re-analysing) the whole staging + consolidation lineage.  Within one Spark
-    application the written tables of a data folder are reused, as a pipeline
-    reuses tables it has already written."""
-    key = (w.spark.sparkContext.applicationId, w.sf_dir)
-    if key not in _WRITTEN:
-        bt = cut_lineage(R.with_bic(bank_totals(w, with_settlements=True), w.stmt, w.bank_dim))
-        se = cut_lineage(R.with_bic(secu_totals(w), w.stmt, w.bank_dim))
-        _WRITTEN[key] = (bt, se)
-    return _WRITTEN[key]
+def stored_secu(w: World) -> DataFrame:
+    return cut_lineage(R.with_bic(secu_totals(w), w.secu_stmt, w.bank_dim))
 
 
 # ---------------------------------------------------------------------------
@@ -137,7 +130,7 @@ def _stored_scenario(w: World, account_type: str):
     st = w.stmt.filter(F.col("account_type") == account_type)
     stored_ids = st.filter(F.col("status") == "imported").select(F.col("id").alias("statement_id"))
     new_ids = st.filter(F.col("status") == "new").select(F.col("id").alias("statement_id"))
-    stored_raw = stage(src.join(stored_ids, "statement_id"), cols, bucket=pos_bucket())
+    stored_raw = stage(src.join(stored_ids, "statement_id"), cols, pos_bucket())
     incoming = src.join(new_ids, "statement_id")
     return D.drop_stored_duplicates(incoming, w.stmt, stored_raw, account_type)
 
@@ -280,12 +273,14 @@ def q_map_secu(spark, sf_dir):
 from ..operators import recognise as R  # noqa: E402
 
 
-def recognition(w: World) -> dict[str, DataFrame]:
-    """Securities matching, splits, bank operations and postings over all
-    unposted summary rows (bank totals include the settlement lines)."""
-    bt, se = stored_totals(w)
-    return R.run_processors(bt, se, w.trx_type, w.ledger_op, w.currency, w.customer_dim,
-                            checkpoint=cut_lineage)
+def recognition(w: World, *names: str) -> dict[str, DataFrame]:
+    """The named processors (secu, split, bank; default all) over all unposted
+    summary rows; bank totals include the settlement lines."""
+    chosen = [p for p in R.PROCESSORS if not names or p.name in names]
+    bank = stored_bank(w) if {"secu", "bank"} & {p.name for p in chosen} else None
+    secu = stored_secu(w) if {"secu", "split"} & {p.name for p in chosen} else None
+    return R.run_processors(bank, secu, w.trx_type, w.ledger_op, w.currency, w.customer_dim,
+                            checkpoint=cut_lineage, processors=chosen)
 
 
 def _duck_first(table: str, keys: list[str], cols: list[str], order: str = "id") -> str:
@@ -308,24 +303,26 @@ se AS (SELECT t.*, bd.swift_code_bic AS bic, s.account_type FROM secu_total t
        JOIN stmt s ON s.id = t.statement_id JOIN bank_dim bd ON bd.id = s.bank),
 dem AS (SELECT *, TRY_CAST(amount AS DECIMAL(15,2)) AS a, TRY_CAST(fee AS DECIMAL(15,2)) AS f,
                TRY_CAST(total_amount AS DECIMAL(15,2)) AS tot FROM se WHERE type NOT LIKE 'split%'),
-d AS (SELECT *, row_number() OVER (PARTITION BY bic, currency, a ORDER BY statement_id, statement_reference) AS rn
-      FROM dem WHERE a IS NOT NULL),
 sup AS (SELECT id AS bank_id, statement_id AS b_sid, statement_reference AS b_ref, bic, currency,
                TRY_CAST(payment_amount AS DECIMAL(15,2)) AS a FROM bt),
 s AS (SELECT *, row_number() OVER (PARTITION BY bic, currency, a ORDER BY b_sid, b_ref) AS rn
       FROM sup WHERE a IS NOT NULL),
-main AS (SELECT d.*, s.bank_id AS main_bank_id, s.b_sid AS main_bank_statement_id, s.b_ref AS main_bank_reference
-         FROM d JOIN s ON d.bic = s.bic AND d.currency = s.currency AND d.a = s.a AND d.rn = s.rn),
-fsup AS (SELECT *, row_number() OVER (PARTITION BY bic, currency, a ORDER BY b_sid, b_ref) AS frn
-         FROM s WHERE bank_id NOT IN (SELECT main_bank_id FROM main)),
-fd AS (SELECT id, bic, currency, f,
-              row_number() OVER (PARTITION BY bic, currency, f ORDER BY statement_id, statement_reference) AS frn
-       FROM main WHERE f IS NOT NULL),
-fee AS (SELECT fd.id, fsup.bank_id AS fee_bank_id, fsup.b_sid AS fee_bank_statement_id,
-               fsup.b_ref AS fee_bank_reference
-        FROM fd JOIN fsup ON fd.bic = fsup.bic AND fd.currency = fsup.currency AND fd.f = fsup.a AND fd.frn = fsup.frn),
-matches AS (SELECT main.*, fee.fee_bank_id, fee.fee_bank_statement_id, fee.fee_bank_reference
-            FROM main LEFT JOIN fee ON fee.id = main.id),
+ok_all AS (SELECT * FROM dem WHERE a IS NOT NULL AND (round(tot, 2) = round(a + f, 2) OR round(tot, 2) = round(a, 2))),
+ask_all AS (SELECT *, row_number() OVER (PARTITION BY bic, currency, amt ORDER BY statement_id, statement_reference, slot) AS rn
+            FROM (SELECT id, statement_id, statement_reference, bic, currency, 0 AS slot, a AS amt FROM ok_all
+                  UNION ALL SELECT id, statement_id, statement_reference, bic, currency, 1, f FROM ok_all WHERE f IS NOT NULL)),
+ok AS (SELECT * FROM ok_all WHERE id IN (  -- rows without a payment line take no fee line either
+    SELECT k.id FROM ask_all k JOIN s ON k.bic = s.bic AND k.currency = s.currency AND k.amt = s.a AND k.rn = s.rn WHERE k.slot = 0)),
+asks AS (SELECT *, row_number() OVER (PARTITION BY bic, currency, amt ORDER BY statement_id, statement_reference, slot) AS rn
+         FROM (SELECT id, statement_id, statement_reference, bic, currency, 0 AS slot, a AS amt FROM ok
+               UNION ALL SELECT id, statement_id, statement_reference, bic, currency, 1, f FROM ok WHERE f IS NOT NULL)),
+got AS (SELECT k.id, k.slot, s.bank_id, s.b_sid, s.b_ref FROM asks k
+        JOIN s ON k.bic = s.bic AND k.currency = s.currency AND k.amt = s.a AND k.rn = s.rn),
+matches AS (
+    SELECT ok.*, m.bank_id AS main_bank_id, m.b_sid AS main_bank_statement_id, m.b_ref AS main_bank_reference,
+           g.bank_id AS fee_bank_id, g.b_sid AS fee_bank_statement_id, g.b_ref AS fee_bank_reference
+    FROM ok JOIN got m ON m.id = ok.id AND m.slot = 0 LEFT JOIN got g ON g.id = ok.id AND g.slot = 1
+    WHERE g.id IS NOT NULL OR round(tot, 2) = round(a, 2)),
 secu_tt AS ({_duck_first("(SELECT * FROM trx_type WHERE statement_type = 'secu' AND asset_type = 'SCR01')",
                          ["flow_type"], ["id", "code"])}),
 secu_posts AS (
@@ -406,17 +403,17 @@ lop AS (
 postings AS (SELECT p.*, coalesce(l.ledger_op, p.type) AS posting_type, l.ledger_op
              FROM allp_id p LEFT JOIN lop l ON l.posting_id = p.posting_id),
 links AS (
-    SELECT source_id AS total_id, 'secu_total' AS total_table, 'secu' AS role, posting_id, transaction_type
+    SELECT source_id AS total_id, 'secu_total' AS total_table, 'secu' AS role, posting_id, transaction_type, NULL::VARCHAR AS main_id
     FROM postings WHERE processor = 'secu'
-    UNION ALL SELECT main_bank_id, 'bank_total', 'secupmt', posting_id, transaction_type
+    UNION ALL SELECT main_bank_id, 'bank_total', 'secupmt', posting_id, transaction_type, NULL
     FROM postings WHERE processor = 'secu'
-    UNION ALL SELECT fee_bank_id, 'bank_total', 'secufee', posting_id, transaction_type
+    UNION ALL SELECT fee_bank_id, 'bank_total', 'secufee', posting_id, transaction_type, main_bank_id
     FROM postings WHERE processor = 'secu' AND fee_bank_id IS NOT NULL
-    UNION ALL SELECT source_id, 'secu_total', 'split-', posting_id, transaction_type
+    UNION ALL SELECT source_id, 'secu_total', 'split-', posting_id, transaction_type, NULL
     FROM postings WHERE processor = 'split'
-    UNION ALL SELECT id_new, 'secu_total', 'split+', posting_id, transaction_type
+    UNION ALL SELECT id_new, 'secu_total', 'split+', posting_id, transaction_type, NULL
     FROM postings WHERE processor = 'split'
-    UNION ALL SELECT source_id, 'bank_total', 'bankop', posting_id, transaction_type
+    UNION ALL SELECT source_id, 'bank_total', 'bankop', posting_id, transaction_type, NULL
     FROM postings WHERE processor = 'bank')
 """
 
@@ -430,7 +427,7 @@ def _rec_sql(body: str) -> str:
 @query("match_payment_main", _rec_sql("""
 SELECT id, statement_id, statement_reference, main_bank_id, main_bank_statement_id, main_bank_reference FROM matches"""))
 def q_match_payment_main(spark, sf_dir):
-    m = recognition(World(spark, sf_dir))["matches"]
+    m = recognition(World(spark, sf_dir), "secu")["matches"]
     return m.select("id", "statement_id", "statement_reference", "main_bank_id", "main_bank_statement_id",
                     "main_bank_reference")
 
@@ -438,7 +435,7 @@ def q_match_payment_main(spark, sf_dir):
 @query("match_payment_fee", _rec_sql("""
 SELECT id, fee_bank_id, fee_bank_statement_id, fee_bank_reference FROM matches WHERE fee_bank_id IS NOT NULL"""))
 def q_match_payment_fee(spark, sf_dir):
-    m = recognition(World(spark, sf_dir))["matches"]
+    m = recognition(World(spark, sf_dir), "secu")["matches"]
     return m.filter(F.col("fee_bank_id").isNotNull()).select("id", "fee_bank_id", "fee_bank_statement_id",
                                                              "fee_bank_reference")
 
@@ -448,7 +445,7 @@ SELECT id AS source_id, statement_id, statement_reference AS trx_reference, tran
        CAST(bank_total AS VARCHAR) AS bank_total, main_bank_reference AS bank_reference,
        fee_bank_reference AS fee_reference, amount, fee, total_amount FROM secu_posts"""))
 def q_recognise_secu(spark, sf_dir):
-    p = recognition(World(spark, sf_dir))["secu_posts"]
+    p = recognition(World(spark, sf_dir), "secu")["secu_posts"]
     return p.select("source_id", "statement_id", "trx_reference", "transaction_type", "bank_total",
                     "bank_reference", "fee_reference", "amount", "fee", "total_amount")
 
@@ -457,26 +454,26 @@ def q_recognise_secu(spark, sf_dir):
 SELECT id, id_new, statement_id, statement_reference, trx_reference_new, quantity, quantity_new, price_new
 FROM pairs"""))
 def q_pair_splits(spark, sf_dir):
-    p = recognition(World(spark, sf_dir))["pairs"]
+    p = recognition(World(spark, sf_dir), "split")["pairs"]
     return p.select("id", "id_new", "statement_id", "statement_reference", "trx_reference_new", "quantity",
                     "quantity_new", "price_new")
 
 
 @query("bank_ops_union", _rec_sql("SELECT source_id, statement_id, trx_reference, type, amount, currency FROM ops"))
 def q_bank_ops_union(spark, sf_dir):
-    o = recognition(World(spark, sf_dir))["ops"]
+    o = recognition(World(spark, sf_dir), "secu", "bank")["ops"]
     return o.select("source_id", "statement_id", "trx_reference", "type", "amount", "currency")
 
 
 @query("resolve_customer", _rec_sql("SELECT source_id, customer_uid, customer_ref FROM resolved"))
 def q_resolve_customer(spark, sf_dir):
-    return recognition(World(spark, sf_dir))["resolved"].select("source_id", "customer_uid", "customer_ref")
+    return recognition(World(spark, sf_dir), "secu", "bank")["resolved"].select("source_id", "customer_uid", "customer_ref")
 
 
 @query("classify_trx_type", _rec_sql("""
 SELECT source_id, trx_type_id, transaction_type FROM bank_posts"""))
 def q_classify_trx_type(spark, sf_dir):
-    return recognition(World(spark, sf_dir))["bank_posts"].select("source_id", "trx_type_id", "transaction_type")
+    return recognition(World(spark, sf_dir), "secu", "bank")["bank_posts"].select("source_id", "trx_type_id", "transaction_type")
 
 
 @query("classify_ledger_op", _rec_sql("SELECT posting_id, processor, transaction_type, ledger_op FROM postings"))
@@ -495,7 +492,7 @@ def q_postings(spark, sf_dir):
                     "transaction_date")
 
 
-@query("posting_links", _rec_sql("SELECT total_id, total_table, role, posting_id, transaction_type FROM links"))
+@query("posting_links", _rec_sql("SELECT total_id, total_table, role, posting_id, transaction_type, main_id FROM links"))
 def q_posting_links(spark, sf_dir):
     return recognition(World(spark, sf_dir))["links"]
 
@@ -584,10 +581,9 @@ FROM (SELECT *, CASE WHEN quantity = 0 THEN NULL ELSE
         (CAST(abs(amount) * 100 AS HUGEINT) * 100000000000000 * 2 + CAST(abs(quantity) * 1000000 AS HUGEINT) * 100)
         // (2 * CAST(abs(quantity) * 1000000 AS HUGEINT) * 100) END AS u
       FROM (SELECT statement_id, {_SKEYS}, SUM({O.dec('amount')}) AS amount, SUM({O.dec('quantity', 15, 6)}) AS quantity
-            FROM secu_raw WHERE type IN ('ost', 'müük') GROUP BY statement_id, {_SKEYS}))"""))
+            FROM secu_raw GROUP BY statement_id, {_SKEYS}))"""))
 def q_consolidate_vwap(spark, sf_dir):
-    raw = staged_secu(World(spark, sf_dir)).filter(F.col("type").isin("ost", "müük"))
-    g = C.vwap(raw)
+    g = C.vwap(staged_secu(World(spark, sf_dir)))
     return g.select("statement_id", *C.SECU_KEYS, F.col("amount").cast("string").alias("amount"),
                     F.col("quantity").cast("string").alias("quantity"), F.col("vwap"))
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from .formats import BANK_COLUMNS, SECU_COLUMNS
 from .operators.consolidate import BANK_TOTAL_COLUMNS, SECU_TOTAL_COLUMNS
 
 
+# Partition columns of the raw and total tables (see plans.jobs).
+PLACE = [StructField("period", StringType()), StructField("bucket", IntegerType())]
+
+
 def _text(cols, nullable_id: bool = False) -> StructType:
     return StructType([StructField(c, StringType(), nullable_id or c != "id") for c in cols])
 
@@ -15,10 +19,10 @@ def _text(cols, nullable_id: bool = False) -> StructType:
 BANK_RAW_COLUMNS = ["id", "statement_id", "transaction_id", *BANK_COLUMNS, "date_created", "created_by"]
 SECU_RAW_COLUMNS = ["id", "statement_id", "transaction_id", *SECU_COLUMNS, "date_created", "created_by"]
 
-BANK_RAW = _text(BANK_RAW_COLUMNS + ["load_id"])
-SECU_RAW = _text(SECU_RAW_COLUMNS + ["load_id"])
-BANK_TOTAL = _text(BANK_TOTAL_COLUMNS + ["load_id"])
-SECU_TOTAL = _text(SECU_TOTAL_COLUMNS + ["load_id"])
+BANK_RAW = StructType(_text(BANK_RAW_COLUMNS + ["load_id"]).fields + PLACE)
+SECU_RAW = StructType(_text(SECU_RAW_COLUMNS + ["load_id"]).fields + PLACE)
+BANK_TOTAL = StructType(_text(BANK_TOTAL_COLUMNS + ["load_id"]).fields + PLACE)
+SECU_TOTAL = StructType(_text(SECU_TOTAL_COLUMNS + ["load_id"]).fields + PLACE)
 
 STATEMENT = StructType([
     StructField("id", StringType(), False),

@@ -40,12 +40,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the operator sets it to shared storage; we only fall back to a
-    scratch folder when it is unset (local tests), never overriding it.
+    A cluster session must name one: a machine-local folder would lose data.
+    Only a purely local session without the setting gets a scratch folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)

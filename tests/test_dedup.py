@@ -123,3 +123,15 @@ def test_same_bank_option(spark):
                                STMT + ", bank string")
     assert D.overlap_pairs(st).count() == 2                 # reference: bank ignored (Q3)
     assert D.overlap_pairs(st, same_bank=True).count() == 0
+
+
+def test_a_key_in_fifty_chained_statements(spark):
+    months = [f"20{20 + i // 12}-{i % 12 + 1:02d}" for i in range(50)]
+    nxt = months[1:] + ["2030-01"]
+    st = spark.createDataFrame([(f"s{i:02d}", "secu", f"{m}-01", f"{n}-07", "importing", i) for i, (m, n) in enumerate(zip(months, nxt))], STMT)
+    rows = _secu(spark, [(f"s{i:02d}", 1, "K") for i in range(50)])
+    got = {r.statement_id: r.kept for r in D.bulk_dedup(rows, st, "secu").collect()}
+    assert got == {f"s{i:02d}": i % 2 == 0 for i in range(50)}     # each drops the next one
+    plan = D.blocked_keys(rows.select("statement_id", F.lit("K").alias("dedup_key")), st,
+                          rows.select("statement_id", F.lit("K").alias("dedup_key")))._jdf.queryExecution().toString()
+    assert "other_id" not in plan
