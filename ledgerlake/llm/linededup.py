@@ -3,7 +3,7 @@
 Copied passages seldom keep the newlines of their source and often start in mid-line, so a line
 is ``line`` consecutive words wherever it starts (words are runs of non-white-space: space and
 U+0009 to U+000D separate).  Lines are hashed, and of every ``window`` consecutive line hashes
-the smallest (the first of equal ones) is selected as a fingerprint with its position.  Two texts
+the smallest (of equal ones see ``selected``) is a fingerprint with its position.  Two texts
 that share line + window - 1 words therefore share a selected line: with 26 and 25, any run of
 50 words.
 
@@ -84,13 +84,31 @@ def line_hashes(data: bytes, starts: np.ndarray, ends: np.ndarray, line: int, of
 
 
 def selected(hashes: np.ndarray, window: int) -> np.ndarray:
-    """Positions of the winnowed line hashes; none if there are fewer lines than a window has."""
+    """Positions of the winnowed line hashes; none if there are fewer lines than a window has.
+
+    Of equal smallest hashes the one selected last stays as long as a window holds it, then the
+    last of the window is taken, so a repeated line is selected once a window, not at every word.
+    """
     if len(hashes) < window:
         return np.empty(0, np.int64)
     views = np.lib.stride_tricks.sliding_window_view(hashes, window)
-    found = [np.unique(at + np.arange(min(1 << 14, len(views) - at)) + views[at:at + (1 << 14)].argmin(axis=1))
-             for at in range(0, len(views), 1 << 14)]
-    return np.unique(np.concatenate(found))
+    first, last = np.empty(len(views), np.int64), np.empty(len(views), np.int64)
+    for at in range(0, len(views), 1 << 14):
+        part = views[at:at + (1 << 14)]
+        here = np.arange(at, at + len(part))
+        first[at:at + len(part)] = here + part.argmin(axis=1)
+        last[at:at + len(part)] = here + window - 1 - part[:, ::-1].argmin(axis=1)
+    if np.array_equal(first, last):
+        return np.unique(first)
+    least = hashes[first]
+    changes = (np.flatnonzero(least[1:] != least[:-1]) + 1).tolist() + [len(views)]
+    out, at, turn = [], 0, 0
+    while at < len(views):
+        out.append(int(last[at]))
+        while changes[turn] <= at:
+            turn += 1
+        at = min(changes[turn], out[-1] + 1)
+    return np.unique(out)
 
 
 def _named(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
