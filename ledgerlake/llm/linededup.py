@@ -147,9 +147,10 @@ def fingerprints(named: DataFrame, line: int, window: int) -> DataFrame:
 
 def runs(prints: DataFrame, line: int, min_words: int) -> DataFrame:
     """Matched runs (doc, key, start, stop, src, src_key, src_start, src_stop) in words, before extension."""
-    firsts = (prints.groupBy("hash").agg(F.min(F.struct("doc", "key", "pos")).alias("first"), F.count(F.lit(1)).alias("n"))
-              .filter("n > 1").select("hash", F.col("first.doc").alias("src"), F.col("first.key").alias("src_key"),
-                                      F.col("first.pos").alias("src_pos")))
+    # written before the join, so that a frequent line's copies can be split over several tasks
+    firsts = cut(prints.groupBy("hash").agg(F.min(F.struct("doc", "key", "pos")).alias("first"), F.count(F.lit(1)).alias("n"))
+                 .filter("n > 1").select("hash", F.col("first.doc").alias("src"), F.col("first.key").alias("src_key"),
+                                         F.col("first.pos").alias("src_pos")))
     same = (F.col("doc") == F.col("src")) & (F.col("key") == F.col("src_key"))
     matches = (prints.join(firsts, "hash").filter(~same | (F.col("pos") - F.col("src_pos") >= min_words))
                .withColumn("shift", F.col("pos") - F.col("src_pos")))
