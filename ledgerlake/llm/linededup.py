@@ -32,10 +32,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from .common import cut, text_or_empty
+from .common import cut, fits_broadcast, text_or_empty
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: So many positions of originals (some 30 bytes each) may be broadcast.
+BROADCAST_ROWS = 400_000
 BYTE_BASE, WORD_BASE = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 
 
@@ -166,10 +168,12 @@ def runs(prints: DataFrame, line: int, min_words: int) -> DataFrame:
 
 def contexts(named: DataFrame, found: DataFrame, reach: int) -> DataFrame:
     """(src, src_key, side, at, words): up to reach words before (side 0) or from (side 1) a word."""
-    asked = (found.select("src", "src_key", F.explode(F.array(
+    wanted = cut(found.select("src", "src_key", F.explode(F.array(
         F.struct(F.lit(0).alias("side"), F.col("src_start").alias("at")),
-        F.struct(F.lit(1).alias("side"), F.col("src_stop").alias("at")))).alias("q"))
-        .groupBy(F.col("src").alias("doc"), F.col("src_key").alias("key")).agg(F.collect_set("q").alias("asked")))
+        F.struct(F.lit(1).alias("side"), F.col("src_stop").alias("at")))).alias("q")).distinct())
+    asked = wanted.groupBy(F.col("src").alias("doc"), F.col("src_key").alias("key")).agg(F.collect_list("q").alias("asked"))
+    if fits_broadcast(wanted, BROADCAST_ROWS):  # else the texts are shuffled to their questions
+        asked = F.broadcast(asked)
 
     def run(batches):
         for b in batches:
