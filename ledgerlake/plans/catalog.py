@@ -170,6 +170,28 @@ def q_dedup_counts(spark, sf_dir):
     return counts
 
 
+@query("dedup_antijoin_secu", O.with_views(["secu_raw", "stmt", "secu_in"], "SELECT 1")[: -len("SELECT 1")].rstrip() + f"""
+, stored AS (
+    SELECT DISTINCT r.statement_id, {_duck_key(_SECU_PK, _SECU_PARTS, False)} AS dedup_key
+    FROM secu_raw r JOIN stmt s ON s.id = r.statement_id WHERE s.status = 'imported'),
+pairs AS ({_DUCK_PAIRS}),
+blocked AS (SELECT DISTINCT p.statement_id, k.dedup_key FROM pairs p JOIN stored k ON k.statement_id = p.other_id)
+SELECT i.statement_id, i.reference, {_duck_key(_SECU_PK, _SECU_PARTS, True)} AS dedup_key
+FROM secu_in i JOIN stmt s ON s.id = i.statement_id
+WHERE s.status = 'new' AND NOT EXISTS (SELECT 1 FROM blocked b WHERE b.statement_id = i.statement_id
+                                       AND b.dedup_key = {_duck_key(_SECU_PK, _SECU_PARTS, True)})""")
+def q_dedup_antijoin_secu(spark, sf_dir):
+    """J3 + P11: securities rows against stored securities keys."""
+    kept, _ = _stored_scenario(World(spark, sf_dir), "secu")
+    return kept.select("statement_id", "reference", "dedup_key")
+
+
+@query("stored_keys_secu", O.with_views(["secu_raw"], f"""
+SELECT DISTINCT statement_id, {_duck_key(_SECU_PK, _SECU_PARTS, False)} AS dedup_key FROM secu_raw"""))
+def q_stored_keys_secu(spark, sf_dir):
+    return D.stored_keys(staged_secu(World(spark, sf_dir)), "secu")
+
+
 _DUCK_FOLD = f"""
 , nodes AS (
     SELECT k.statement_id, k.dedup_key, s.import_seq AS seq, s.from_date AS f, s.to_date AS t,
@@ -213,24 +235,32 @@ from ..operators import ingest as I  # noqa: E402
 from ..sources import csv_statements as CSV  # noqa: E402
 
 
-def rendered_files(w: World) -> DataFrame:
+def rendered_files(w: World, *layouts: str) -> DataFrame:
     """Bank statements of region 2 as Swedbank files, other banks as LHV files,
-    securities as securities files; one file per (statement, position chunk)."""
+    securities as securities files (the named layouts, default all); one file
+    per (statement, position chunk)."""
+    swed, grp, parts = F.col("statement_id").endswith("-2"), ["statement_id", "_chunk"], []
     b = w.bank_in.withColumn("_chunk", pos_bucket()).withColumn("_blank", F.lit(""))
-    swed = F.col("statement_id").endswith("-2")
-    lhv_cols = BANK_COLUMNS[:6] + ["_blank"] + BANK_COLUMNS[6:]
-    grp = ["statement_id", "_chunk"]
-    lhv = CSV.render_csv(b.filter(~swed), lhv_cols, LHV_HEADER, ",", grp, "pos")
-    sw = CSV.render_csv(b.filter(swed), BANK_COLUMNS[:14], SWEDBANK_HEADER, ";", grp, "pos", bom=False)
-    s = w.secu_in.withColumn("_chunk", pos_bucket())
-    se = CSV.render_csv(s, SECU_COLUMNS, SECURITIES_HEADER, ",", grp, "pos")
-    return lhv.unionByName(sw).unionByName(se)
-
-
-def parsed_rendered(w: World) -> dict[str, DataFrame]:
-    files = I.classify_files(rendered_files(w))
-    rows = CSV.parse_records(files.select("statement_id", "_chunk", "format", "separator", "content"))
-    return I.map_all_layouts(rows)
+    for name in layouts or ("LHV_BANK", "SWEDBANK", "SECURITIES"):
+        if name == "LHV_BANK":
+            lhv_cols = BANK_COLUMNS[:6] + ["_blank"] + BANK_COLUMNS[6:]
+            parts.append(CSV.render_csv(b.filter(~swed), lhv_cols, LHV_HEADER, ",", grp, "pos"))
+        elif name == "SWEDBANK":
+            parts.append(CSV.render_csv(b.filter(swed), BANK_COLUMNS[:14], SWEDBANK_HEADER, ";", grp, "pos", bom=False))
+        else:
+            s = w.secu_in.withColumn("_chunk", pos_bucket())
+            parts.append(CSV.render_csv(s, SECU_COLUMNS, SECURITIES_HEADER, ",", grp, "pos"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def parsed_rendered(w: World, layout: str, escape: bool = False) -> DataFrame:
+    """The files of one layout detected, parsed and mapped again."""
+    files = I.classify_files(rendered_files(w, layout)).filter(F.col("format") == layout)
+    rows = CSV.parse_records(files.select("statement_id", "_chunk", "format", "separator", "content"), escape=escape)
+    return CSV.map_layout(rows, layout)
 
 
 _DUCK_CHUNKS = """
@@ -249,22 +279,34 @@ def q_detect_format(spark, sf_dir):
 @query("parse_csv_roundtrip", O.with_views(["bank_in"], f"""
 SELECT statement_id, {', '.join(BANK_COLUMNS)} FROM bank_in WHERE statement_id NOT LIKE '%-2'"""))
 def q_parse_csv_roundtrip(spark, sf_dir):
-    b = parsed_rendered(World(spark, sf_dir))["bank"]
-    return b.filter(F.col("format") == "LHV_BANK").select("statement_id", *BANK_COLUMNS)
+    return parsed_rendered(World(spark, sf_dir), "LHV_BANK").select("statement_id", *BANK_COLUMNS)
 
 
 @query("map_bank_swed", O.with_views(["bank_in"], f"""
 SELECT statement_id, {', '.join(BANK_COLUMNS[:14])}, {', '.join('NULL::VARCHAR AS ' + c for c in BANK_COLUMNS[14:])}
 FROM bank_in WHERE statement_id LIKE '%-2'"""))
 def q_map_bank_swed(spark, sf_dir):
-    b = parsed_rendered(World(spark, sf_dir))["bank"]
-    return b.filter(F.col("format") == "SWEDBANK").select("statement_id", *BANK_COLUMNS)
+    return parsed_rendered(World(spark, sf_dir), "SWEDBANK").select("statement_id", *BANK_COLUMNS)
 
 
 @query("map_secu", O.with_views(["secu_in"], f"""
 SELECT statement_id, {', '.join(SECU_COLUMNS)} FROM secu_in"""))
 def q_map_secu(spark, sf_dir):
-    return parsed_rendered(World(spark, sf_dir))["secu"].select("statement_id", *SECU_COLUMNS)
+    return parsed_rendered(World(spark, sf_dir), "SECURITIES").select("statement_id", *SECU_COLUMNS)
+
+
+@query("parse_legacy_secu", O.with_views(["secu_in"], f"""
+SELECT statement_id, {', '.join(SECU_COLUMNS)} FROM secu_in"""))
+def q_parse_legacy_secu(spark, sf_dir):
+    """A5: the legacy reader (backslash escapes) over the securities files."""
+    return parsed_rendered(World(spark, sf_dir), "SECURITIES", escape=True).select("statement_id", *SECU_COLUMNS)
+
+
+@query("detect_format_legacy", O.with_views(["bank_in", "secu_in"], _DUCK_CHUNKS))
+def q_detect_format_legacy(spark, sf_dir):
+    """legacy header rules."""
+    files = rendered_files(World(spark, sf_dir)).withColumn("format", CSV.legacy_detect_format(F.col("content")))
+    return files.select("statement_id", "_chunk", "format")
 
 
 # ---------------------------------------------------------------------------
@@ -497,6 +539,53 @@ def q_posting_links(spark, sf_dir):
     return recognition(World(spark, sf_dir))["links"]
 
 
+_POSTED = """
+, one AS (SELECT total_table, total_id, min(posting_id) AS posting_id FROM links GROUP BY total_table, total_id),
+l AS (SELECT k.total_table, k.total_id, k.posting_id, arg_min(role, role) AS role, arg_min(transaction_type, role) AS transaction_type,
+             arg_min(main_id, role) AS main_id
+      FROM links k JOIN one USING (total_table, total_id, posting_id) GROUP BY ALL)
+"""
+
+
+@query("posted_view_bank", _rec_sql(_POSTED + """
+SELECT t.id, l.posting_id AS acc_post_id, l.transaction_type, CASE WHEN l.posting_id IS NOT NULL THEN 'posted' ELSE t.status END AS status,
+       CASE WHEN l.role IN ('secupmt', 'secufee') THEN l.role END AS type, l.main_id AS main_bank_total_trx
+FROM bt t LEFT JOIN l ON l.total_table = 'bank_total' AND l.total_id = t.id"""))
+def q_posted_view_bank(spark, sf_dir):
+    """Bank rows as the reference keeps them after recognition."""
+    w = World(spark, sf_dir)
+    bank = stored_bank(w)
+    out = R.run_processors(bank, stored_secu(w), w.trx_type, w.ledger_op, w.currency, w.customer_dim, checkpoint=cut_lineage)
+    return R.posted_view(bank, cut_lineage(out["links"]), "bank_total").select(
+        "id", "acc_post_id", "transaction_type", "status", "type", "main_bank_total_trx")
+
+
+@query("posted_view_secu", _rec_sql(_POSTED + """
+SELECT t.id, l.posting_id AS acc_post_id, l.transaction_type, CASE WHEN l.posting_id IS NOT NULL THEN 'posted' ELSE t.status END AS status,
+       p.total_id AS bank_payment_trx_id, f.total_id AS bank_fee_trx_id
+FROM se t LEFT JOIN l ON l.total_table = 'secu_total' AND l.total_id = t.id
+LEFT JOIN links p ON p.posting_id = l.posting_id AND p.role = 'secupmt'
+LEFT JOIN links f ON f.posting_id = l.posting_id AND f.role = 'secufee'"""))
+def q_posted_view_secu(spark, sf_dir):
+    """Securities rows with their bank payment and fee lines."""
+    w = World(spark, sf_dir)
+    secu = stored_secu(w)
+    out = R.run_processors(stored_bank(w), secu, w.trx_type, w.ledger_op, w.currency, w.customer_dim, checkpoint=cut_lineage,
+                           processors=[p for p in R.PROCESSORS if p.name != "bank"])
+    return R.posted_view(secu, cut_lineage(out["links"]), "secu_total").select(
+        "id", "acc_post_id", "transaction_type", "status", "bank_payment_trx_id", "bank_fee_trx_id")
+
+
+@query("unposted_bank", _rec_sql("""
+SELECT id, statement_id, statement_reference FROM bt WHERE id NOT IN (SELECT total_id FROM links WHERE total_table = 'bank_total')"""))
+def q_unposted_bank(spark, sf_dir):
+    """what a second run would still find unposted."""
+    w = World(spark, sf_dir)
+    bank = stored_bank(w)
+    out = R.run_processors(bank, stored_secu(w), w.trx_type, w.ledger_op, w.currency, w.customer_dim, checkpoint=cut_lineage)
+    return R.unposted(bank, cut_lineage(out["links"])).select("id", "statement_id", "statement_reference")
+
+
 # ---------------------------------------------------------------------------
 # consolidation variants (G8-G13), formats (P21), references
 # ---------------------------------------------------------------------------
@@ -721,3 +810,29 @@ def q_topk_amounts(spark, sf_dir):
     t = bank_totals(World(spark, sf_dir)).select("statement_id", "statement_reference", "payment_amount")
     top = Q.top_k_within(t, ["statement_id"], [F.col("payment_amount").desc(), F.col("statement_reference")], 5)
     return top.withColumn("rank", F.col("rank").cast("long"))
+
+
+@query("latest_first_references", O.with_views(["bank_total"], """
+SELECT statement_id, statement_reference, rank FROM (
+    SELECT *, row_number() OVER (PARTITION BY account_number ORDER BY statement_reference) AS rank FROM (
+        SELECT DISTINCT t.statement_id, t.account_number, t.statement_reference, t.payment_date,
+               max(t.statement_id) OVER (PARTITION BY t.account_number) AS latest FROM bank_total t)
+    WHERE statement_id = latest) WHERE rank <= 5"""))
+def q_latest_first_references(spark, sf_dir):
+    """The first five references of each account's latest statement."""
+    t = bank_totals(World(spark, sf_dir)).select("account_number", "statement_id", "statement_reference")
+    last = t.groupBy("account_number").agg(F.max("statement_id").alias("statement_id"))
+    top = Q.top_k_within(t.join(last, ["account_number", "statement_id"]), ["account_number"], [F.col("statement_reference")], 5)
+    return top.select("statement_id", "statement_reference", F.col("rank").cast("long").alias("rank"))
+
+
+@query("legacy_totals_numbered", O.with_views(["secu_raw", "stmt"], f"""
+, g AS (SELECT statement_id, {_SKEYS} FROM secu_raw GROUP BY ALL)
+SELECT g.*, 'STMT' || substr(s.from_date, 1, 4) || '.' || printf('%03d', row_number() OVER (
+           PARTITION BY statement_id ORDER BY {', '.join(k + ' NULLS FIRST' for k in C._sort_order(C.SECU_SORT, C.SECU_KEYS))})) AS statement_reference
+FROM g JOIN stmt s ON s.id = g.statement_id"""))
+def q_legacy_totals_numbered(spark, sf_dir):
+    """K12 + W5: legacy totals with one sequence per statement and their reference."""
+    w = World(spark, sf_dir)
+    numbered = C.number_totals(C.legacy_secu(staged_secu(w)), w.secu_stmt, C.SECU_SORT, C.SECU_KEYS)
+    return numbered.select("statement_id", *C.SECU_KEYS, "statement_reference")
