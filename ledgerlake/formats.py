@@ -1,7 +1,7 @@
 """Format registry, positional column mappings and dedup key positions.
 
-Adding a format (X5/X6) = one entry in ``FORMATS`` plus its mapping list.
-The registry is turned into a tiny literal DataFrame (``format_registry``) so
+Adding a format (X5) = ``register_layout``; the rest of the library reads it
+from here.  The registry is turned into a tiny literal DataFrame (``format_registry``) so
 the per-statement format facts are joined, never looked up on the driver.
 """
 
@@ -115,6 +115,22 @@ FORMATS: dict[str, Layout] = {
 }
 
 
+def register_layout(layout: Layout, keywords: list[str]) -> None:
+    """Add a layout whose header holds all keywords (lower case, no quotes).
+
+    Its rule is tried after the existing ones.  ``columns`` are columns of the
+    account type's raw table, in cell order; the table's other columns stay NULL.
+    """
+    table = BANK_COLUMNS if layout.account_type == "bank" else SECU_COLUMNS
+    unknown = [c for c in layout.columns if c not in table]
+    if unknown:
+        raise ValueError(f"{layout.name}: not columns of a {layout.account_type} statement: {unknown}")
+    if len(layout.separator) != 1:
+        raise ValueError(f"{layout.name}: the separator must be one character")
+    FORMATS[layout.name] = layout
+    DETECTION_RULES[:] = [r for r in DETECTION_RULES if r[0] != layout.name] + [(layout.name, keywords)]
+
+
 def format_registry(spark: SparkSession) -> DataFrame:
     """The registry as a 3-row DataFrame (fixed size: safe to broadcast)."""
     rows = [(f.name, f.account_type, f.separator, f.target, f.strip_index)
