@@ -15,6 +15,16 @@ line + window - 1 words, beyond which a further match carries on; runs of at lea
 words are deleted.  Comparison is by the words themselves at the ends and by 64-bit hashes of the
 lines in between.
 
+A second pass makes this exact, as a passage's lines may have their originals in other places than
+the passage: a window of ``min_words`` words that lies in no deleted run, but whose smallest line
+has an earlier occurrence, is compared by its own 64-bit hash with the first window of that hash,
+and deleted if that is in an earlier document or ends before it in the same one.  So a word goes
+if, and only if, some window of ``min_words`` words around it occurred before; the one exception
+is text that repeats itself with a period below ``window`` words, where a line that first occurs
+fewer than ``min_words`` words before in the same document is not matched.  A window in a deleted
+run is never a first occurrence, hence only windows at the edges of runs and around matches that
+stayed too short are asked, and only those and the places around originals are searched.
+
 Skew: originals are minima per line hash (pre-aggregated), matches carry positions only, and
 contexts are fetched once per distinct position of an original, however many copies refer to it.
 
@@ -147,22 +157,32 @@ def fingerprints(named: DataFrame, line: int, window: int) -> DataFrame:
     return named.mapInArrow(run, "hash long, doc long, key long, pos int")
 
 
-def runs(prints: DataFrame, line: int, min_words: int) -> DataFrame:
-    """Matched runs (doc, key, start, stop, src, src_key, src_start, src_stop) in words, before extension."""
-    # written before the join, so that a frequent line's copies can be split over several tasks
-    firsts = cut(prints.groupBy("hash").agg(F.min(F.struct("doc", "key", "pos")).alias("first"), F.count(F.lit(1)).alias("n"))
-                 .filter("n > 1").select("hash", F.col("first.doc").alias("src"), F.col("first.key").alias("src_key"),
-                                         F.col("first.pos").alias("src_pos")))
+def originals(prints: DataFrame) -> DataFrame:
+    """(hash, src, src_key, src_pos): the first occurrence of every line that has several."""
+    # written before its joins, so that a frequent line's copies can be split over several tasks
+    return cut(prints.groupBy("hash").agg(F.min(F.struct("doc", "key", "pos")).alias("first"), F.count(F.lit(1)).alias("n"))
+               .filter("n > 1").select("hash", F.col("first.doc").alias("src"), F.col("first.key").alias("src_key"),
+                                       F.col("first.pos").alias("src_pos")))
+
+
+def runs(prints: DataFrame, firsts: DataFrame, line: int, window: int, min_words: int) -> DataFrame:
+    """Matched runs (doc, key, start, stop, src, src_key, src_start, src_stop) in words, before extension.
+
+    near tells runs that overlap their own original and so delete nothing; loose are the positions
+    of the run's lines around which a window of min_words words can leave it (all, if it is near).
+    """
     same = (F.col("doc") == F.col("src")) & (F.col("key") == F.col("src_key"))
-    matches = (prints.join(firsts, "hash").filter(~same | (F.col("pos") - F.col("src_pos") >= min_words))
-               .withColumn("shift", F.col("pos") - F.col("src_pos")))
-    diagonal = ["doc", "key", "src", "src_key", "shift"]
+    matches = (prints.join(firsts, "hash").withColumn("shift", F.col("pos") - F.col("src_pos"))
+               .filter(~same | (F.col("shift") != 0)).withColumn("near", same & (F.col("shift") < min_words)))
+    diagonal = ["doc", "key", "src", "src_key", "shift", "near"]
     order = Window.partitionBy(*diagonal).orderBy("pos")
     fresh = F.coalesce(F.col("pos") > F.lag("pos").over(order) + line, F.lit(True))
+    loose = F.filter("places", lambda p: F.col("near") | (p - window + 1 < F.col("start")) | (p + min_words > F.col("stop")))
     return (matches.withColumn("fresh", fresh.cast("int"))
             .withColumn("run", F.sum("fresh").over(order))
-            .groupBy(*diagonal, "run").agg(F.min("pos").alias("start"), (F.max("pos") + line).alias("stop"))
-            .select("doc", "key", "start", "stop", "src", "src_key",
+            .groupBy(*diagonal, "run").agg(F.min("pos").alias("start"), (F.max("pos") + line).alias("stop"),
+                                           F.collect_list("pos").alias("places"))
+            .select("doc", "key", "start", "stop", "src", "src_key", "near", loose.alias("loose"),
                     (F.col("start") - F.col("shift")).alias("src_start"), (F.col("stop") - F.col("shift")).alias("src_stop")))
 
 
@@ -196,14 +216,89 @@ def contexts(named: DataFrame, found: DataFrame, reach: int) -> DataFrame:
         run, "src long, src_key long, side int, at int, words binary").dropDuplicates(["src", "src_key", "side", "at"])
 
 
-def repeats(named: DataFrame, line: int, window: int, min_words: int) -> DataFrame:
-    """(doc, key, runs): the matched runs of each document with the words around their originals."""
-    found = cut(runs(cut(fingerprints(named, line, window)), line, min_words))
+def repeats(named: DataFrame, found: DataFrame, line: int, window: int) -> DataFrame:
+    """(doc, key, about): the matched runs of each document with the words around their originals."""
     around = cut(contexts(named, found, line + window - 1))
     sides = [around.filter(F.col("side") == s).select("src", "src_key", F.col("at").alias(at), F.col("words").alias(name))
              for s, at, name in ((0, "src_start", "left"), (1, "src_stop", "right"))]
     return (found.join(sides[0], ["src", "src_key", "src_start"]).join(sides[1], ["src", "src_key", "src_stop"])
-            .groupBy("doc", "key").agg(F.collect_set(F.struct("start", "stop", "left", "right")).alias("runs")))
+            .groupBy("doc", "key").agg(F.collect_set(F.struct("start", "stop", "left", "right", "loose")).alias("about")))
+
+
+def windows(texts: DataFrame, line: int, window: int, min_words: int, places) -> DataFrame:
+    """(doc, key, runs, wholes, at, hashes) of texts (doc, key, bytes, about).
+
+    places(about, data, starts, ends) gives positions of lines, and runs (start, stop).  wholes and
+    at are hashes and positions of the windows of min_words words that lie in no run and have one
+    of these lines as their smallest; hashes are those of the lines.
+    """
+    lists = {"runs": pa.list_(pa.int32()), "wholes": pa.list_(pa.int64()), "at": pa.list_(pa.int32()), "hashes": pa.list_(pa.int64())}
+
+    def run(batches):
+        of_bytes, of_words = Powers(BYTE_BASE), Powers(WORD_BASE)
+        for b in batches:
+            out = {name: [] for name in lists}
+            for data, about in zip(b.column("bytes"), b.column("about")):
+                data = data.as_py()
+                starts, ends = words_of(data)
+                at, inner = places(about.as_py(), data, starts, ends)
+                lines = line_hashes(data, starts, ends, line, of_bytes, of_words)
+                least = np.lib.stride_tricks.sliding_window_view(lines, window).min(axis=1)[:max(0, len(starts) - min_words + 1)]
+                take = np.zeros(len(least), bool)
+                for p in at:
+                    lo = max(0, p - window + 1)
+                    take[lo:p + 1] |= least[lo:p + 1] == lines[p]
+                for start, stop in inner:
+                    take[start:stop - min_words + 1] = False
+                take = np.flatnonzero(take)
+                wholes = line_hashes(data, starts, ends, min_words, of_bytes, of_words)[take] if len(take) else least[take]
+                out["runs"].append([end for r in inner for end in r])
+                out["wholes"].append(wholes.view(np.int64))
+                out["at"].append(take.astype(np.int32))
+                out["hashes"].append(np.unique(least[take]).view(np.int64))
+            yield pa.RecordBatch.from_arrays([b.column("doc"), b.column("key")] + [pa.array(out[n], t) for n, t in lists.items()],
+                                             ["doc", "key", *lists])
+
+    return texts.mapInArrow(run, "doc long, key long, runs array<int>, wholes array<long>, at array<int>, hashes array<long>") \
+        .dropDuplicates(["doc", "key"])
+
+
+def deletions(named: DataFrame, line: int, window: int, min_words: int) -> DataFrame:
+    """(doc, key, runs, more): starts and stops of the deleted runs, and where further deleted windows start."""
+    prints = cut(fingerprints(named, line, window))
+    firsts = originals(prints)
+    found = cut(runs(prints, firsts, line, window, min_words))
+    about = cut(repeats(named, found.filter("NOT near"), line, window))
+
+    def edges(found, data, starts, ends):
+        return [p for r in found for p in r["loose"]], deleted_runs(data, starts, ends, found, min_words)
+
+    keys = about.select("doc", "key")  # if they are few, only the texts that have runs are shuffled
+    some = named.join(F.broadcast(keys), ["doc", "key"], "left_semi") if fits_broadcast(keys, BROADCAST_ROWS) else named
+    seen = cut(windows(some.join(about, ["doc", "key"]), line, window, min_words, edges))
+
+    def flat(df):
+        return df.select("doc", "key", F.explode(F.arrays_zip("wholes", "at")).alias("w")).select(
+            "doc", "key", F.col("w.wholes").alias("whole"), F.col("w.at").alias("pos"))
+
+    # a window's first occurrence is asked itself, or lies around its line's original or a near line
+    asked = flat(seen)
+    lines = cut(seen.select(F.explode("hashes").alias("hash")).distinct())
+    places = (firsts.join(lines, "hash").select(F.col("src").alias("doc"), F.col("src_key").alias("key"), F.col("src_pos").alias("pos"))
+              .unionByName(found.filter("near").select("doc", "key", F.explode("loose").alias("pos"))))
+    there = cut(places.groupBy("doc", "key").agg(F.collect_set("pos").alias("about")))
+    if fits_broadcast(there, BROADCAST_ROWS):
+        there = F.broadcast(there)
+    answers = flat(windows(named.join(there, ["doc", "key"]), line, window, min_words, lambda at, *_: (at, [])))
+    least = cut(asked.unionByName(answers).groupBy("whole").agg(F.min(F.struct("doc", "key", "pos")).alias("first"), F.count(F.lit(1)).alias("n"))
+                .filter("n > 1").select("whole", F.col("first.doc").alias("src"), F.col("first.key").alias("src_key"),
+                                        F.col("first.pos").alias("src_pos")))
+    if fits_broadcast(least, BROADCAST_ROWS):
+        least = F.broadcast(least)
+    same = (F.col("doc") == F.col("src")) & (F.col("key") == F.col("src_key"))
+    more = (asked.join(least, "whole").filter(~same | (F.col("pos") - F.col("src_pos") >= min_words))
+            .groupBy("doc", "key").agg(F.collect_set("pos").alias("more")))
+    return seen.select("doc", "key", "runs").join(more, ["doc", "key"], "left").filter("size(runs) > 0 OR more IS NOT NULL")
 
 
 def extended(words: list[bytes], start: int, stop: int, left: list[bytes], right: list[bytes]) -> tuple[int, int]:
@@ -218,21 +313,25 @@ def extended(words: list[bytes], start: int, stop: int, left: list[bytes], right
     return start, stop
 
 
-def cut_out(data: bytes, found: list[dict], min_words: int) -> tuple[bytes, list[tuple[int, int]], int]:
-    """The text without its repeated runs, their byte spans in the old text, and the words removed."""
-    starts, ends = words_of(data)
+def deleted_runs(data: bytes, starts: np.ndarray, ends: np.ndarray, found: list[dict], min_words: int) -> list[tuple[int, int]]:
+    """The matched runs of a text, extended, that are long enough."""
     words = [data[s:e] for s, e in zip(starts.tolist(), ends.tolist())]
-    gone = np.zeros(len(words) + 1, bool)
-    for r in found:
-        a, z = extended(words, r["start"], r["stop"], r["left"].split(), r["right"].split())
-        if z - a >= min_words:
-            gone[a:z] = True
+    grown = [extended(words, r["start"], r["stop"], r["left"].split(), r["right"].split()) for r in found]
+    return [(a, z) for a, z in grown if z - a >= min_words]
+
+
+def cut_out(data: bytes, found: list[tuple[int, int]]) -> tuple[bytes, list[tuple[int, int]], int]:
+    """The text without these runs of words, their byte spans in the old text, and the words removed."""
+    starts, ends = words_of(data)
+    gone = np.zeros(len(starts) + 1, bool)
+    for a, z in found:
+        gone[a:z] = True
     edges = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0))
     spans, kept, at = [], [], 0
     for a, z in zip(edges[::2].tolist(), edges[1::2].tolist()):
         spans.append((int(starts[a]), int(ends[z - 1])))
         kept.append(data[at:spans[-1][0]])
-        at = int(starts[z]) if z < len(words) else len(data)
+        at = int(starts[z]) if z < len(starts) else len(data)
     kept.append(data[at:])
     return b"".join(kept), spans, int(gone.sum())
 
@@ -246,7 +345,7 @@ def dedup(docs: DataFrame, id_col: str, text_col: str, line: int = 26, window: i
     """
     if line > min_words or line + window - 1 > min_words or window > line:
         raise ValueError("a run of min_words words must hold a window of lines, and lines must touch")
-    found = repeats(_named(docs, id_col, text_col), line, window, min_words)
+    found = deletions(_named(docs, id_col, text_col), line, window, min_words)
     columns = docs.columns
     schema = StructType([StructField(f.name, StringType()) if f.name == text_col else f for f in docs.schema.fields]
                         + ([StructField(spans_col, StringType())] if spans_col else []))
@@ -254,13 +353,14 @@ def dedup(docs: DataFrame, id_col: str, text_col: str, line: int = 26, window: i
 
     def run(batches):
         for b in batches:
-            arrays = list(b.columns[:-1])
+            arrays = list(b.columns[:-2])
             texts, marks = arrays[place].to_pylist(), []
-            for row, found_here in enumerate(b.columns[-1]):
+            for row, (found_here, more) in enumerate(zip(*b.columns[-2:])):
                 spans = []
                 if found_here.is_valid:
                     data = texts[row].encode()
-                    new, cuts, _ = cut_out(data, found_here.as_py(), min_words)
+                    ends = found_here.as_py()
+                    new, cuts, _ = cut_out(data, [*zip(ends[::2], ends[1::2]), *((p, p + min_words) for p in more.as_py() or [])])
                     spans = [(len(data[:a].decode()), len(data[:z].decode())) for a, z in cuts]
                     texts[row] = new.decode()
                 marks.append(",".join(f"{a}:{z}" for a, z in spans))
@@ -271,6 +371,7 @@ def dedup(docs: DataFrame, id_col: str, text_col: str, line: int = 26, window: i
     text = F.col(f"`{text_col}`")
     rows = docs.withColumns({"__doc": F.coalesce(F.col(id_col).cast("long"), F.lit(2**63 - 1)),
                              "__key": F.xxhash64(text_or_empty(text))}).withColumn(text_col, text.cast("string"))
-    found = found.select(F.col("doc").alias("__doc"), F.col("key").alias("__key"), F.col("runs").alias("__runs"))
-    return rows.join(found, ["__doc", "__key"], "left").select(*(F.col(f"`{c}`") for c in columns), "__runs") \
+    found = found.select(F.col("doc").alias("__doc"), F.col("key").alias("__key"), F.col("runs").alias("__runs"),
+                         F.col("more").alias("__more"))
+    return rows.join(found, ["__doc", "__key"], "left").select(*(F.col(f"`{c}`") for c in columns), "__runs", "__more") \
         .mapInArrow(run, schema)

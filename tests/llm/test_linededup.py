@@ -151,3 +151,36 @@ def test_window_guarantee():
 def test_parameters_that_lose_runs_are_refused(spark):
     with pytest.raises(ValueError):
         linededup.dedup(spark.createDataFrame([(1, "a")], "doc_id long, text string"), "doc_id", "text", line=30, window=25)
+
+
+def every_window(rows):
+    """{doc: words left} if a word goes when some window of MIN words around it occurred before."""
+    first, out = {}, {}
+    for d, t in sorted(rows):
+        w, gone = t.split(), set()
+        for p in range(len(w) - MIN + 1):
+            src, q = first.setdefault(tuple(w[p:p + MIN]), (d, p))
+            if src != d or p - q >= MIN:
+                gone.update(range(p, p + MIN))
+        out[d] = [x for i, x in enumerate(w) if i not in gone]
+    return out
+
+
+def test_runs_whose_lines_were_first_seen_elsewhere_go(spark):
+    rng = random.Random(21)
+    run = prose(rng, 160)
+    rows = [(i, prose(rng, 20) + run[at:at + 40] + prose(rng, 20)) for i, at in enumerate(range(0, 160, 9))]  # pieces only
+    rows += [(100, prose(rng, 60) + run + prose(rng, 60)), (101, prose(rng, 30) + run + prose(rng, 30)),      # whole, twice
+             (102, prose(rng, 30) + run[30:90] + prose(rng, 9)),
+             (103, run[:45] + prose(rng, 60) + run[:70] + prose(rng, 5) + run[20:75])]
+    pool = [prose(rng, rng.randrange(20, 140), 30) for _ in range(25)]
+    for i in range(200, 320):
+        parts = [rng.choice(pool) for _ in range(rng.randrange(1, 5))]
+        rows.append((i, [x for part in parts for x in part[rng.randrange(20):len(part) - rng.randrange(10)]]))
+    rows = [(d, " ".join(w)) for d, w in rows]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    got = {r.doc_id: r.text.split() for r in linededup.dedup(df, "doc_id", "text").collect()}
+    want = every_window(rows)
+    assert got == want
+    old = brute(rows)
+    assert sum(len(old[x][0].split()) > len(want[x[0]]) for x in old) > 3 and len(want[101]) == 60
