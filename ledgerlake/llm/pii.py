@@ -6,7 +6,7 @@ code points, ends exclusive.
 
 Bootstrapping: a unit is an identifier-like token (it holds a digit or @; phones and cards may
 hold spaces).  Its lexical patterns are the two words before it, and the word before with the
-word after.  Units that are base entities are the seeds, with score 1 for their kind.  Each round
+word after, where a neighbouring unit is the word ``<id>``.  Units that are base entities are the seeds, with score 1 for their kind.  Each round
 
 * a pattern's confidence for a kind is the mean score of its distinct units for that kind, if at
   least ``min_support`` of them are known;
@@ -47,8 +47,10 @@ PATTERNS = {
     "unit": (r"(?<!\S)(?:\+[0-9][\x20().0-9-]+[0-9](?!\w)|[0-9]++(?:[\x20-][0-9]++)++(?!\w)|[^\s0-9@]*+[0-9@]\S*+)", r"[0-9@]"),
 }
 OCTET = r"^0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})$"
-#: How far lexical contexts reach, in code points.
-REACH = 100
+#: The last two words of a text that ends in a space, or its only one.
+LAST_WORDS = r"(?<!\S)(?:\S++\s++)?\S++\s++$"
+#: What a neighbouring unit counts as in a context.
+UNIT_WORD = "<id>"
 NO_ID = 2**63 - 1
 
 
@@ -82,12 +84,26 @@ def matches(named: DataFrame) -> DataFrame:
         F.when(F.col("text").rlike(quick), f).alias(f"{name}_{kind}") for kind, (pattern, quick) in PATTERNS.items()
         for name, f in (("gaps", F.split("text", pattern, -1)), ("found", F.regexp_extract_all("text", F.lit(pattern), F.lit(0))))))
 
+    def before(gaps: Column, i: Column) -> Column:
+        """The two words before unit i; with two units before it, they hold at least two words."""
+        def gap(back: int) -> Column:  # the end of a word that a unit starts belongs to the unit
+            return F.concat(F.lit(UNIT_WORD), F.regexp_replace(F.get(gaps, i - back), r"^\S+", ""))
+
+        text = F.concat(F.when(i >= 2, gap(1)).when(i == 1, F.get(gaps, i - 1)).otherwise(""),
+                        F.when(i >= 1, gap(0)).otherwise(F.get(gaps, i)))
+        return F.regexp_replace(F.regexp_extract(text, LAST_WORDS, 0), r"\s+", " ")
+
+    def after(gaps: Column, i: Column) -> Column:
+        """The word after unit i."""
+        word = F.regexp_extract(F.get(gaps, i + 1), r"^\S*+\s++(\S++)", 1)
+        return F.concat(F.lit(" "), F.when((word == "") & (F.size(gaps) > i + 2), F.lit(UNIT_WORD)).otherwise(word))
+
     def rows(kind: str) -> Column:
         gaps, near = F.col(f"gaps_{kind}"), kind == "unit"
         return F.transform(F.coalesce(F.col(f"found_{kind}"), F.array().cast("array<string>")), lambda m, i: F.struct(
             F.lit(kind).alias("kind"), i.alias("nth"), F.length(F.get(gaps, i)).alias("gap"), m.alias("match"),
-            (F.right(F.get(gaps, i), F.lit(REACH)) if near else F.lit("")).alias("before"),
-            (F.left(F.get(gaps, i + 1), F.lit(REACH)) if near else F.lit("")).alias("after")))
+            (before(gaps, i) if near else F.lit("")).alias("before"),
+            (after(gaps, i) if near else F.lit("")).alias("after")))
 
     found = (parts.select("doc", "key", F.explode(F.concat(*map(rows, PATTERNS))).alias("m")).select("doc", "key", "m.*")
              .dropDuplicates(["doc", "key", "kind", "nth"]))

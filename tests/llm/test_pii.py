@@ -87,3 +87,14 @@ def test_edge_cases(spark):
 def test_no_python_in_the_plan(spark):
     plan = pii.find(common.read(spark, SF, "documents"))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|InArrow", plan)
+
+
+def test_contexts_cross_neighbouring_units(spark):
+    far = "z" * 150
+    text = f"the ids: 111222333, 444555666, 777888999 end\nline 2 id 44556677 {far} x {far} 99887766 {far}"
+    found = pii.matches(pii._named(spark.createDataFrame([(1, text)], "doc_id long, text string"), "doc_id", "text"))
+    got = {r.unit: r.patterns for r in pii.units(found, pii.base_entities(found)).collect()}
+    assert got == {
+        "111222333": ["2:the ids:", "1:ids: _ <id>"], "444555666": ["2:ids: <id>", "1:<id> _ <id>"],
+        "777888999": ["2:<id> <id>", "1:<id> _ end"], "2": ["2:end line", "1:line _ id"],
+        "44556677": ["2:<id> id", f"1:id _ {far}"], "99887766": [f"2:x {far}", f"1:{far} _ {far}"]}
