@@ -39,15 +39,17 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)", 1)
 
 
-def patterns_of(host: Column, path: Column, directories: int = 4) -> Column:
+def patterns_of(host: Column, path: Column, directories: int) -> Column:
     """All patterns that cover host and path, as an array: domains and host/dir/ prefixes.
 
-    Path prefixes go down to so many leading directories; deeper entries are not list patterns.
+    Path prefixes go down to so many leading directories, as many as the deepest entry has.
     """
     labels = F.split(host, r"\.")
     n = F.size(labels)
     domains = F.when(n >= 2, F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.array_join(F.slice(labels, i, n), "."))) \
         .otherwise(F.array(host))
+    if directories < 1:
+        return F.array_distinct(domains)
     dirs = F.slice(F.split(path, "/"), 2, directories)  # the last part of a path is no directory
     prefixes = F.transform(F.sequence(F.lit(1), F.lit(directories)), lambda i: F.when(
         F.size(F.split(path, "/")) - 2 >= i, F.concat(host, F.lit("/"), F.array_join(F.slice(dirs, F.lit(1), i), "/"), F.lit("/"))))
@@ -84,8 +86,10 @@ def judge(captures: DataFrame, entries: DataFrame, id_col: str, url_col: str, da
     day = F.when(F.col(day_col).isNotNull(), F.least(F.greatest(day_number(F.col(day_col)), lo), hi))
     found = captures.select(
         F.col(id_col).alias("id"), host_of(F.col(url_col)).alias("host"), F.lower(path_of(F.col(url_col))).alias("path"), day.alias("fetch_day"))
+    listed = F.split(F.lower(F.col(names.get("pattern", "pattern"))), "/")
+    deepest = entries.agg(F.max(F.size(listed) - 2)).first()[0] or 0
     asked = (found.filter("host IS NOT NULL AND fetch_day IS NOT NULL").select("host", "path", "fetch_day").distinct()
-             .select("*", F.explode(patterns_of(F.col("host"), F.col("path"))).alias("pattern"))
+             .select("*", F.explode(patterns_of(F.col("host"), F.col("path"), deepest)).alias("pattern"))
              .withColumn("bucket", F.floor(F.col("fetch_day") / bucket_days)))
     valid = intervals(entries, **names)
     first, end = F.greatest("first_day", lo), F.least("end_day", hi + 1)

@@ -64,3 +64,12 @@ def test_replay(spark):
 def test_query(spark):
     rows = queries.op2_urlfilter(spark, "/root/testdata/sf0.01").collect()
     assert len(rows) == 250 and {"block", "allow"} <= {r.action for r in rows}
+
+
+def test_deep_entries_match(spark):
+    deep = "a.example.com/1/2/3/4/5/6/"
+    c = spark.createDataFrame([(1, f"http://{deep}x", DAY), (2, "http://a.example.com/1/2/3/4/5/x", DAY), (3, "http://a.example.com", DAY)],
+                              "page_id long, url string, fetch_day date")
+    e = spark.createDataFrame([(deep, "block", "c", DAY, 1)], "pattern string, action string, category string, day date, seq long")
+    got = {r.page_id: (r.action, r.pattern) for r in urlfilter.judge(c, e, "page_id", "url", "fetch_day").collect()}
+    assert got == {1: ("block", deep), 2: ("allow", None), 3: ("allow", None)}
