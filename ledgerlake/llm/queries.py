@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, common, decontam, linededup, packing, pii, quality, simhash, urlfilter, warc
+from . import ann, chat, common, decontam, linededup, packing, pieces, pii, quality, simhash, urlfilter, warc
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,6 +168,17 @@ def op10_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup(docs, "doc_id", "text", min_words=50, spans_col="removed")
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole document encoded with byte offsets, and decoded again."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    docs = pieces.encode(common.read(spark, sf_dir, "documents").select("doc_id", "text"), "text", model)
+    rows = docs.select("doc_id", "ids", F.coalesce(F.array_max("ends"), F.lit(0).cast("long")).alias("n_bytes"))
+    return pieces.decode(rows, "ids", model).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"), "n_bytes")
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_urlfilter": op2_urlfilter,
@@ -179,6 +190,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_packing": op9_packing,
     "op10_linededup": op10_linededup,
+    "op11_sentencepiece": op11_sentencepiece,
 }
 ORACLE = {
     "op1_warc": OP1_SQL,
