@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import ann, chat, common, decontam, linededup, packing, pieces, pii, quality, simhash, urlfilter, warc
+from . import ann, chat, common, decontam, linededup, packing, pieces, pii, quality, simhash, trie, urlfilter, warc
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,6 +179,64 @@ def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"), "n_bytes")
 
 
+def rebuilt(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(turns, conversations) in which conversation c opens with the first crc32(c) mod 4 turns of
+    conversation c - c mod 20 and goes on with its own turns after as many."""
+    text = common.text_or_empty
+    own = (conversations.filter("conv_id IS NOT NULL")
+           .select("conv_id", text(F.col("role")).alias("role"), text(F.col("text")).alias("text"),
+                   F.row_number().over(Window.partitionBy("conv_id").orderBy(
+                       F.col("turn").asc_nulls_first(), text(F.col("role")), text(F.col("text")))).cast("long").alias("position")))
+    convs = (own.select("conv_id").distinct()
+             .withColumns({"base": F.expr("conv_id - conv_id % 20"),
+                           "opened": F.pmod(F.crc32(F.col("conv_id").cast("string").cast("binary")), F.lit(4))}))
+    opening = own.filter("conv_id % 20 = 0 AND position <= 3").withColumnRenamed("conv_id", "base")
+    columns = ["conv_id", "position", "role", "text"]
+    turns = (convs.join(opening, "base").filter("position <= opened").select(columns)
+             .unionByName(own.join(convs, "conv_id").filter("position > opened").select(columns)))
+    return turns, convs.select("conv_id")
+
+
+def op12_prefixtrie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every shared prefix of the rebuilt conversations."""
+    return trie.nodes(*rebuilt(common.read(spark, sf_dir, "conversations")))
+
+
+OP12_SQL = r"""
+WITH o AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS txt,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS n
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base,
+         xor(list_reduce(flatten(list_transform(string_split(conv_id::VARCHAR, ''),
+                 lambda x: list_concat([ascii(x)::BIGINT], list_transform(range(8), lambda k: -1::BIGINT)))),
+             lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END,
+             4294967295::BIGINT), 4294967295) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM o)),
+r AS (
+  SELECT c.conv_id, o.n, o.role, o.txt FROM c JOIN o ON o.conv_id = c.base AND o.n <= c.h
+  UNION ALL SELECT c.conv_id, o.n, o.role, o.txt FROM c JOIN o ON o.conv_id = c.conv_id AND o.n > c.h),
+k AS (SELECT conv_id, n, sha256(length(role) || ':' || role || txt) AS k, len(regexp_extract_all(txt, '[^ 	-]+')) AS words FROM r),
+p AS (
+  SELECT conv_id, row_number() OVER w AS depth, string_agg(k, '') OVER w AS prefix, words FROM k
+  WINDOW w AS (PARTITION BY conv_id ORDER BY n ROWS UNBOUNDED PRECEDING)),
+m AS (SELECT conv_id, depth, prefix, words FROM p UNION ALL SELECT conv_id, 0, '', 0 FROM c),
+g AS (SELECT prefix, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words FROM m GROUP BY prefix),
+e AS (
+  SELECT prefix, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS ends
+  FROM (SELECT conv_id, max_by(prefix, depth) AS prefix FROM m GROUP BY conv_id) GROUP BY prefix),
+q AS (SELECT left(prefix, (depth - 1) * 64) AS prefix, count(*) AS n_children FROM g WHERE depth > 0 GROUP BY ALL),
+a AS (
+  SELECT left(g.prefix, i * 64) AS prefix, sum((n_convs - 1) * words) AS saved, count(*) FILTER (q.n_children IS NULL) AS n_leaves
+  FROM (SELECT *, unnest(range(depth + 1)) AS i FROM g) g LEFT JOIN q ON q.prefix = g.prefix GROUP BY ALL)
+SELECT g.conv_id, g.depth::BIGINT AS depth, u.conv_id AS parent_conv_id, g.n_convs, coalesce(q.n_children, 0) AS n_children, a.n_leaves,
+       a.saved::BIGINT AS saved_tokens, coalesce(e.ends, sha256('')) AS ends_sha256
+FROM g JOIN a USING (prefix) LEFT JOIN q USING (prefix) LEFT JOIN e USING (prefix)
+LEFT JOIN g u ON g.depth > 0 AND u.prefix = left(g.prefix, (g.depth - 1) * 64)
+"""
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_urlfilter": op2_urlfilter,
@@ -191,10 +249,12 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_linededup": op10_linededup,
     "op11_sentencepiece": op11_sentencepiece,
+    "op12_prefixtrie": op12_prefixtrie,
 }
 ORACLE = {
     "op1_warc": OP1_SQL,
     "op2_urlfilter": OP2_SQL,
     "op7_chat": OP7_SQL,
     "op8_decontamination": OP8_SQL,
+    "op12_prefixtrie": OP12_SQL,
 }
