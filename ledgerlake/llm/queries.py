@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import ann, chat, common, decontam, linededup, packing, pieces, pii, quality, simhash, trie, urlfilter, warc
+from . import ann, chat, common, decontam, lexical, linededup, packing, pieces, pii, quality, simhash, trie, urlfilter, warc
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,7 +217,8 @@ c AS (
 r AS (
   SELECT c.conv_id, o.n, o.role, o.txt FROM c JOIN o ON o.conv_id = c.base AND o.n <= c.h
   UNION ALL SELECT c.conv_id, o.n, o.role, o.txt FROM c JOIN o ON o.conv_id = c.conv_id AND o.n > c.h),
-k AS (SELECT conv_id, n, sha256(length(role) || ':' || role || txt) AS k, len(regexp_extract_all(txt, '[^ 	-]+')) AS words FROM r),
+k AS (SELECT conv_id, n, sha256(length(role) || ':' || role || txt) AS k, len(regexp_extract_all(txt, '[^ 	-
+]+')) AS words FROM r),
 p AS (
   SELECT conv_id, row_number() OVER w AS depth, string_agg(k, '') OVER w AS prefix, words FROM k
   WINDOW w AS (PARTITION BY conv_id ORDER BY n ROWS UNBOUNDED PRECEDING)),
@@ -237,6 +238,34 @@ LEFT JOIN g u ON g.depth > 0 AND u.prefix = left(g.prefix, (g.depth - 1) * 64)
 """
 
 
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 documents that rank highest for every benchmark item."""
+    return lexical.search(common.read(spark, sf_dir, "documents"), common.read(spark, sf_dir, "benchmark"))
+
+
+OP13_SQL = r"""
+WITH t AS (
+  SELECT 0 AS kind, row_number() OVER () AS r, doc_id AS id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS a FROM documents
+  UNION ALL
+  SELECT 1, row_number() OVER (), item_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') FROM benchmark),
+g AS (SELECT count(*) AS n_docs, sum(len(a))::BIGINT AS n_terms FROM t WHERE kind = 0 AND len(a) > 0),
+u AS (SELECT kind, r, id, len(a)::BIGINT AS n, unnest(a) AS term FROM t),
+c AS (SELECT kind, r, id, n, term, count(*) AS tf FROM u GROUP BY ALL),
+f AS (SELECT term, count(*) AS df FROM c WHERE kind = 0 GROUP BY term),
+w AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM f, g),
+s AS (
+  SELECT q.r AS item, q.id AS item_id, d.r AS doc, d.id AS doc_id,
+         sum(q.tf * w.w * ((1000000000 * d.tf) // (1000 * d.tf + 12 * (75 + (25 * d.n * n_docs) // n_terms))))::BIGINT AS score
+  FROM c q JOIN c d ON q.term = d.term AND q.kind = 1 AND d.kind = 0 JOIN w ON w.term = q.term, g GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank, doc_id, score FROM s WHERE score > 0
+QUALIFY rank <= 20
+"""
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_urlfilter": op2_urlfilter,
@@ -250,6 +279,7 @@ QUERIES = {
     "op10_linededup": op10_linededup,
     "op11_sentencepiece": op11_sentencepiece,
     "op12_prefixtrie": op12_prefixtrie,
+    "op13_lexical": op13_lexical,
 }
 ORACLE = {
     "op1_warc": OP1_SQL,
@@ -257,4 +287,5 @@ ORACLE = {
     "op7_chat": OP7_SQL,
     "op8_decontamination": OP8_SQL,
     "op12_prefixtrie": OP12_SQL,
+    "op13_lexical": OP13_SQL,
 }
