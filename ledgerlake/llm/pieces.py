@@ -27,25 +27,24 @@ import bisect
 import functools
 import heapq
 import re
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 from sentencepiece import sentencepiece_model_pb2 as schema
 
-from .common import text_or_empty
-
 MARK = "▁"
 #: Characters of distinct parts that a worker process remembers (unless one batch has more).
-PART_CHARS = 6_000_000
+PART_CHARS = 5_000_000
 #: Words of at most so many characters are merged together, round by round; longer ones by a heap each.
 SCANNED = 48
 #: Characters of text in one batch of rows that a task encodes and returns.
-BATCH_CHARS = 2_000_000
+BATCH_CHARS = 1_000_000
 #: The cost of a join that no piece allows.
-NEVER = 1 << 40
+NEVER = (1 << 31) - 1
 
 
 class CharacterMap:
@@ -108,7 +107,7 @@ class CharacterMap:
         data = text.encode()
         if not self.units:
             heads = (np.frombuffer(data, np.uint8) & 0xC0) != 0x80      # every byte belongs to its character
-            return data, np.flatnonzero(heads)[np.cumsum(heads) - 1]
+            return data, np.flatnonzero(heads).astype(np.int32)[np.cumsum(heads, dtype=np.int32) - 1]
         out, first, at, done = [], [], 0, 0
         for char in text:
             width = len(char.encode())
@@ -121,7 +120,7 @@ class CharacterMap:
             out.append(piece)
             first += [at] * len(piece)
             at += width
-        return b"".join(out), np.array(first, np.int64)
+        return b"".join(out), np.array(first, np.int32)
 
 
 class PieceCodec:
@@ -174,16 +173,16 @@ class PieceCodec:
         def symbol(part: str) -> int | None:
             return int(self.symbol_of[ord(part)]) if len(part) == 1 else pieces[part][1] if part in pieces else None
 
-        self.joins = {(a, b): (order[cost], i) for piece, (cost, i) in pieces.items() for k in range(1, len(piece))
-                      if (a := symbol(piece[:k])) is not None and (b := symbol(piece[k:])) is not None}
-        joins = sorted(((a << 21) + b, cost, i) for (a, b), (cost, i) in self.joins.items()) or [(-1, NEVER, 0)]
-        self.join_keys, self.join_costs, self.join_symbols = np.array(joins, np.int64).T.copy()
+        joins = sorted(((a << 21) + b, order[cost], i) for piece, (cost, i) in pieces.items() for k in range(1, len(piece))
+                       if (a := symbol(piece[:k])) is not None and (b := symbol(piece[k:])) is not None) or [(-1, NEVER, 0)]
+        self.join_keys, self.join_costs, self.join_symbols = (
+            np.array(column, t) for column, t in zip(zip(*joins), (np.int64, np.int32, np.int32)))
         self.pairs = {piece[i:i + 2] for piece in pieces for i in range(len(piece) - 1)}
 
     def normalise(self, text: str) -> tuple[str, np.ndarray]:
         """(normalised text, byte of the original where each byte's source starts, and where the last one ends)."""
         data, first = self.map.apply(text)
-        first = np.append(first, len(text.encode()))
+        first = np.append(first, np.int32(len(text.encode())))
         if self.squeeze and data:
             keep = np.frombuffer(data, np.uint8) != 0x20
             keep[1:] |= keep[:-1]                                       # the first of several spaces stays
@@ -198,12 +197,12 @@ class PieceCodec:
             out, first = out.replace(" ", MARK), np.repeat(first, np.where(spaces, 3, 1))
         if self.prefix:
             mark = MARK if self.escape else " "
-            out, first = mark + out, np.concatenate([np.full(len(mark.encode()), first[0]), first])
+            out, first = mark + out, np.concatenate([np.full(len(mark.encode()), first[0], np.int32), first])
         return out, first
 
     def _costs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(cost of joining, joined symbol) of pairs of symbols; NEVER where no piece joins them."""
-        key = (left << 21) + right
+        key = (left.astype(np.int64) << 21) + right
         at = np.minimum(np.searchsorted(self.join_keys, key), len(self.join_keys) - 1)
         found = (self.join_keys[at] == key) & (left >= 0) & (right >= 0)
         return np.where(found, self.join_costs[at], NEVER), self.join_symbols[at]
@@ -219,48 +218,56 @@ class PieceCodec:
             found = self.symbol_of[codes]
         return found
 
-    def _merge_words(self, words: list[str]) -> list[np.ndarray]:
-        """The symbols of every word after all merges: in each round each word joins its best pair, the leftmost of equals."""
+    def _merge_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The symbols of all words after all merges, and how many each word has.
+
+        In each round every word joins its best pair of neighbours, the leftmost of equals.  Joined
+        symbols keep the first one's place, and links lead to the places left and right of it.
+        """
         n, lengths = len(words), np.array([len(w) for w in words])
-        width = int(lengths.max())
-        cols = np.arange(width)
-        symbol = self._symbols("".join(w.ljust(width, "\0") for w in words)).reshape(n, width).copy()
-        symbol[cols >= lengths[:, None]] = -1
-        cost = np.full((n, width), NEVER)
-        cost[:, :-1] = self._costs(symbol[:, :-1], symbol[:, 1:])[0]
-        out, rows = np.empty((n, width), np.int64), np.arange(n)
+        width = int(lengths.max()) + 1
+        symbol = self._symbols("".join(w.ljust(width, "\0") for w in words)).astype(np.int32).reshape(n, width)
+        symbol[np.arange(width) >= lengths[:, None]] = -1
+        cost, joined = np.full((n, width), NEVER, np.int32), np.zeros((n, width), np.int32)
+        cost[:, :-1], joined[:, :-1] = self._costs(symbol[:, :-1], symbol[:, 1:])
+        after = np.tile(np.arange(1, width + 1, dtype=np.int32), (n, 1))
+        before = after - 2
+        flat = [x.reshape(-1) for x in (symbol, cost, joined, after, before)]
+        rows = np.arange(n)
         while len(rows):
-            best = cost.argmin(axis=1)
-            at = np.arange(len(rows))
-            done = cost[at, best] == NEVER
-            if done.any():
-                out[rows[done]] = symbol[done]
-                rows, symbol, cost, best = rows[~done], symbol[~done], cost[~done], best[~done]
-                at = np.arange(len(rows))
-                if not len(rows):
-                    break
-            after = np.minimum(best + 1, width - 1)
-            joined = self._costs(symbol[at, best], symbol[at, after])[1]
-            moved = np.minimum(cols + (cols > best[:, None]), width - 1)
-            last = (cols == width - 1) & (cols > best[:, None])
-            symbol, cost = np.take_along_axis(symbol, moved, 1), np.take_along_axis(cost, moved, 1)
-            symbol[last], cost[last] = -1, NEVER
-            symbol[at, best] = joined
-            cost[at, best] = np.where(best < width - 1, self._costs(joined, symbol[at, after])[0], NEVER)
-            lead = np.maximum(best - 1, 0)
-            cost[at, lead] = np.where(best > 0, self._costs(symbol[at, lead], joined)[0], cost[at, lead])
-        return [row[:k] for row, k in zip(out, (out >= 0).sum(axis=1).tolist())]
+            best = cost[rows].argmin(axis=1) if len(rows) < n else cost.argmin(axis=1)
+            left = rows * width + best
+            open_ = flat[1][left] != NEVER
+            if not open_.all():
+                rows, left = rows[open_], left[open_]
+            start = rows * width
+            right = start + flat[3][left]
+            new = flat[2][left]
+            flat[0][left], flat[0][right], flat[1][right] = new, -1, NEVER
+            far = flat[3][right]
+            flat[3][left] = far
+            there = far < width
+            flat[4][(start + far)[there]] = (left - start)[there]
+            follower = np.where(there, flat[0][start + np.minimum(far, width - 1)], -1)
+            flat[1][left], flat[2][left] = self._costs(new, follower)
+            lead = flat[4][left]
+            has = lead >= 0
+            lead = (start + lead)[has]
+            flat[1][lead], flat[2][lead] = self._costs(flat[0][lead], new[has])
+        kept = symbol >= 0
+        return symbol[kept].astype(np.int64), kept.sum(axis=1)
 
     def _merge_long(self, word: str) -> np.ndarray:
         """The same for one long word, by a heap of pairs."""
         n = len(word)
         symbols, before, after = self._symbols(word).tolist(), list(range(-1, n - 1)), [*range(1, n), -1]
-        heap = []
+        heap, keys = [], self.join_keys
 
         def offer(a: int, b: int) -> None:
-            found = self.joins.get((symbols[a], symbols[b]))
-            if found:
-                heapq.heappush(heap, (found[0], a, b, symbols[a], symbols[b], found[1]))
+            key = (symbols[a] << 21) + symbols[b]
+            at = bisect.bisect_left(keys, key)
+            if at < len(keys) and keys[at] == key:
+                heapq.heappush(heap, (int(self.join_costs[at]), a, b, symbols[a], symbols[b], int(self.join_symbols[at])))
 
         for i in range(n - 1):
             offer(i, i + 1)
@@ -281,12 +288,9 @@ class PieceCodec:
         self.chars += sum(map(len, words))
         words.sort(key=len)
         short = bisect.bisect_right(words, SCANNED, key=len)
-        merged = []
-        for at in range(0, short, 1 << 14):
-            merged += self._merge_words(words[at:min(short, at + (1 << 14))])
-        merged += [self._merge_long(w) for w in words[short:]]
-        counts = np.array([len(m) for m in merged], np.int64)
-        flat = np.concatenate(merged)
+        merged = [self._merge_words(words[at:min(short, at + (1 << 13))]) for at in range(0, short, 1 << 13)]
+        merged += [(m, np.array([len(m)])) for m in map(self._merge_long, words[short:])]
+        flat, counts = (np.concatenate(x) for x in zip(*merged))
         odd = np.flatnonzero(flat >= self.size)
         ids, widths = flat.astype(np.int32), self.width_of[np.minimum(flat, self.size - 1)]
         if len(odd):    # characters without a piece; a byte piece but the last of its character has width 0
@@ -308,6 +312,10 @@ class PieceCodec:
         self.ids = np.concatenate([self.ids, ids])
         self.widths = np.concatenate([self.widths, widths])
 
+    def _rows(self, parts: list[str]) -> np.ndarray:
+        """Where each part is remembered, -1 if it is not."""
+        return np.fromiter(map(self.known.get, parts, repeat(-1)), np.int64, len(parts))
+
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
         self.chars, self.counts, self.offsets = 0, np.empty(0, np.int64), np.empty(0, np.int64)
@@ -331,16 +339,21 @@ class PieceCodec:
         """(ids, first bytes, end bytes) of each text's pieces."""
         normal = [self.normalise(t) for t in texts]
         parts = [self._cut(n[0]) for n in normal]
-        named = set().union(*parts)
-        fresh = [p for p in named if p not in self.known]
-        if fresh and self.chars + sum(map(len, fresh)) > PART_CHARS:
-            self._forget()
-            fresh = list(named)
-        if fresh:
+        everything = [p for some in parts for p in some]
+        found = self._rows(everything)
+        missing = np.flatnonzero(found < 0)
+        if len(missing):
+            fresh = list({everything[i] for i in missing.tolist()})
+            if self.chars + sum(map(len, fresh)) > PART_CHARS:
+                self._forget()
+                fresh = list(set(everything))
+                missing = np.arange(len(everything))
             self._learn(fresh)
-        out = []
+            found[missing] = self._rows([everything[i] for i in missing.tolist()])
+        out, at = [], 0
         for text, (_, first), some in zip(texts, normal, parts):
-            rows = np.fromiter(map(self.known.__getitem__, some), np.int64, len(some))
+            rows = found[at:at + len(some)]
+            at += len(some)
             counts = self.counts[rows]
             places = np.repeat(self.offsets[rows] - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
             ids, widths = self.ids[places], self.widths[places].astype(np.int64)
@@ -351,7 +364,7 @@ class PieceCodec:
             stops = np.cumsum(widths)
             begin, end = first[stops - widths], first[stops]
             if add_end:
-                size = len(text.encode())
+                size = np.int32(len(text.encode()))
                 ids, begin, end = np.append(ids, np.int32(self.end)), np.append(begin, size), np.append(end, size)
             out.append((ids, begin, end))
         return out
@@ -416,45 +429,55 @@ def _codec(model: bytes) -> PieceCodec:
     return PieceCodec(model)
 
 
-def _map_text(df: DataFrame, text_col: str, model_path: str, added: list[StructField], each) -> DataFrame:
-    """df with the columns added, whose rows each(codec, values) gives for some values of text_col."""
+def _map_text(df: DataFrame, col: str, empty, model_path: str, added: list[StructField], keep: bool, each) -> DataFrame:
+    """df with the columns added, whose rows each(codec, values) gives for some values of col."""
     with open(model_path, "rb") as f:
         model = df.sparkSession.sparkContext.broadcast(f.read())
-    names = {f.name for f in added}
-    kept = [f for f in df.schema.fields if f.name not in names]
-    types = [pa.list_(pa.int32()) if isinstance(f.dataType, ArrayType) and isinstance(f.dataType.elementType, IntegerType)
-             else pa.list_(pa.int64()) if isinstance(f.dataType, ArrayType) else pa.string() for f in added]
+    gone = {f.name for f in added} | (set() if keep else {col})
+    kept = [f for f in df.schema.fields if f.name not in gone]
+    types = [pa.list_(pa.int32()) if isinstance(f.dataType, ArrayType) else pa.string() for f in added]
     order = [*(f.name for f in kept), *(f.name for f in added)]
+    wanted = ArrayType(IntegerType()) if empty == [] else StringType()
+    # the values are a column that stays, if it has their type, or else a last one more
+    names = [f.name for f in kept if f.name == col and f.dataType == wanted]
+    place = [f.name for f in kept].index(col) if names else len(kept)
+    value = [] if names else [F.col(f"`{col}`").cast(wanted).alias("".join(["value", *df.columns]))]
 
     def run(batches):
         codec = _codec(model.value)
         for b in batches:
-            values, at = b.column(b.num_columns - 1), 0
+            values, at = b.column(place), 0
             while at < b.num_rows:
                 some, size, start = [], 0, at
                 while at < b.num_rows and size < BATCH_CHARS:
-                    some.append(values[at].as_py())
+                    some.append(values[at].as_py() or empty)
                     size += len(some[-1])
                     at += 1
                 out = [pa.array(column, t) for column, t in zip(zip(*each(codec, some)), types)]
-                yield pa.RecordBatch.from_arrays([c.slice(start, at - start) for c in b.columns[:-1]] + out, order)
+                yield pa.RecordBatch.from_arrays([c.slice(start, at - start) for c in b.columns[:len(kept)]] + out, order)
+
+    return df.select(*(F.col(f"`{f.name}`") for f in kept), *value).mapInArrow(run, StructType([*kept, *added]))
 
-    source = df.schema[text_col].dataType
-    value = text_or_empty(F.col(f"`{text_col}`")) if isinstance(source, StringType) else \
-        F.coalesce(F.col(f"`{text_col}`"), F.array().cast(source))
-    return df.select(*(F.col(f"`{f.name}`") for f in kept), value.alias("".join(["value", *df.columns]))) \
-        .mapInArrow(run, StructType([*kept, *added]))
 
+def encode(df: DataFrame, text_col: str, model_path: str, add_end: bool = True, ids_col: str = "ids", starts_col: str = "starts",
+           ends_col: str = "ends", decoded_col: str | None = None, keep_text: bool = True) -> DataFrame:
+    """df with the ids of every whole text and the byte span of the text that each stands for.
+
+    With decoded_col, also the text that decoding these ids gives; without keep_text, text_col goes.
+    """
+    integers = ArrayType(IntegerType())
+
+    def each(codec: PieceCodec, texts: list[str]):
+        found = codec.encode_all(texts, add_end)
+        return found if decoded_col is None else [(*f, codec.decode(f[0].tolist())) for f in found]
 
-def encode(df: DataFrame, text_col: str, model_path: str, add_end: bool = True, ids_col: str = "ids",
-           starts_col: str = "starts", ends_col: str = "ends") -> DataFrame:
-    """df with the ids of every whole text and the byte span of the text that each stands for."""
-    return _map_text(df, text_col, model_path,
-                     [StructField(ids_col, ArrayType(IntegerType())), StructField(starts_col, ArrayType(LongType())),
-                      StructField(ends_col, ArrayType(LongType()))],
-                     lambda codec, texts: codec.encode_all(texts, add_end))
+    added = [StructField(ids_col, integers), StructField(starts_col, integers), StructField(ends_col, integers)]
+    if decoded_col:
+        added.append(StructField(decoded_col, StringType()))
+    return _map_text(df, text_col, "", model_path, added, keep_text, each)
 
 
 def decode(df: DataFrame, ids_col: str, model_path: str, out_col: str = "decoded") -> DataFrame:
     """df with the text that its ids stand for."""
-    return _map_text(df, ids_col, model_path, [StructField(out_col, StringType())], lambda codec, rows: [(codec.decode(ids),) for ids in rows])
+    return _map_text(df, ids_col, [], model_path, [StructField(out_col, StringType())], True,
+                     lambda codec, rows: [(codec.decode(ids),) for ids in rows])

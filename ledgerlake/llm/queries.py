@@ -170,13 +170,12 @@ def op10_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole document encoded with byte offsets, and decoded again."""
-    model = public_tokenizers.path("piece_bpe_32k.model")
-    docs = pieces.encode(common.read(spark, sf_dir, "documents").select("doc_id", "text"), "text", model)
-    rows = docs.select("doc_id", "ids", F.coalesce(F.array_max("ends"), F.lit(0).cast("long")).alias("n_bytes"))
-    return pieces.decode(rows, "ids", model).select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"), "n_bytes")
+    docs = pieces.encode(common.read(spark, sf_dir, "documents").select("doc_id", "text"), "text",
+                         public_tokenizers.path("piece_bpe_32k.model"), decoded_col="decoded", keep_text=False)
+    return docs.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"),
+                       F.element_at("ends", -1).cast("long").alias("n_bytes"))
 
 
 def rebuilt(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
