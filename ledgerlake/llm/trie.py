@@ -247,7 +247,7 @@ def _sharded(paths: DataFrame, shard_turns: int) -> DataFrame:
         F.when(all_there, level).otherwise(level + 1).cast("long").alias("whole_from")), "seq")
 
 
-def nodes(turns: DataFrame, convs: DataFrame, shard_turns: int = 100_000) -> DataFrame:
+def nodes(turns: DataFrame, convs: DataFrame, shard_turns: int = 10_000) -> DataFrame:
     """One row per node: conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256.
 
     turns: conv_id, position, role, text; convs: all conversations (conv_id), with or without turns.
