@@ -39,6 +39,9 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Characters on which both libraries agree about letters, numbers and white space.
 PLAIN = re.compile(r"[\t\n\r -~\u00a1-\u024f]*")
+#: The rank encoder's splitting fails on white space of a million characters; words this long also go to the other.
+UNBROKEN = 20_000
+LONG_RUN = re.compile(r"\s{%d}|\S{%d}" % (UNBROKEN, UNBROKEN))
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -52,8 +55,9 @@ class Encoder:
     """Ids of whole texts by a tokenizer definition, as little-endian 32-bit values.
 
     If the definition is byte-level BPE whose merges are numbered in order, texts of PLAIN
-    characters go through the faster rank encoder built from that same definition, which gives
-    the same ids (tests compare the two); every other text goes through ``tokenizers`` itself.
+    characters without very long runs of white space or of anything else go through the faster
+    rank encoder built from that same definition, which gives the same ids (tests compare the
+    two); every other text goes through ``tokenizers`` itself.
     """
 
     def __init__(self, definition: str):
@@ -76,7 +80,7 @@ class Encoder:
         return tiktoken.Encoding("definition", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens=special)
 
     def encode(self, text: str) -> bytes:
-        if self.fast is not None and PLAIN.fullmatch(text):
+        if self.fast is not None and PLAIN.fullmatch(text) and (len(text) < UNBROKEN or not LONG_RUN.search(text)):
             ids = self.fast.encode_to_numpy(text, allowed_special="all")
         else:
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids

@@ -103,3 +103,12 @@ def test_bin_table_uses_every_piece():
 def test_too_long_pieces_are_refused(spark):
     with pytest.raises(ValueError):
         packing.pack(spark.createDataFrame([(1, 0, 0, 2000, 0)], packing.PIECES), 1024)
+
+
+@pytest.mark.parametrize("text", [" " * 2_000_000, "\n" * 2_000_000, "a" + " \n" * 600_000 + "b", "ab" * 300_000,
+                                  "x " * (packing.UNBROKEN // 2 + 5), " " * (packing.UNBROKEN - 1), " " * packing.UNBROKEN,
+                                  "w" * (packing.UNBROKEN - 1) + " w"], ids=lambda t: f"{t[:3]!r}{len(t)}")
+def test_long_unbroken_runs(text):
+    encoder, plain = packing.Encoder(open(PATH).read()), Tokenizer.from_file(PATH)
+    want = np.array(plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert encoder.encode(text) == want
