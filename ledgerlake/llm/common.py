@@ -48,3 +48,14 @@ def text_or_empty(c: Column) -> Column:
 def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
     """True if df has at most max_rows rows; reads no more than one row beyond that."""
     return df.limit(max_rows + 1).count() <= max_rows
+
+
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Column names like these that df does not have (names are compared without case, as Spark does)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, fits_broadcast, text_or_empty
+from .common import cut, fits_broadcast, free_names, text_or_empty
 
 BROADCAST_ROWS = 200_000
 WHITE = " \t\n\u000b\f\r"
@@ -100,8 +100,9 @@ def contaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text
 
 def keep_clean(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The rows of docs that no benchmark item contaminates, with their columns as they are."""
+    id_, key = free_names(docs, "id", "key")
     bad = contaminated(docs, bench, id_col, text_col, **how).select(
-        F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct()
-    same = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__id")) & \
-        (F.xxhash64(text_or_empty(F.col(f"`{text_col}`"))) == F.col("__key"))
+        F.col("doc_id").alias(id_), F.col("text_key").alias(key)).distinct()
+    same = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col(id_)) & \
+        (F.xxhash64(text_or_empty(F.col(f"`{text_col}`"))) == F.col(key))
     return docs.join(_small(cut(bad), BROADCAST_ROWS), same, "left_anti")

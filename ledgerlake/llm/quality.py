@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import text_or_empty
+from .common import free_names, text_or_empty
 
 BLOCK = 64
 
@@ -183,20 +183,22 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
 # ---------------------------------------------------------------- scoring
 
 def with_score(docs: DataFrame, text_col: str, model: Model, score_col: str) -> DataFrame:
-    """docs with a double column score_col from the whole text."""
-    columns = docs.columns
-    schema = StructType([*docs.schema.fields, StructField(score_col, DoubleType())])
-    at, spare = columns.index(text_col), "__bytes_of_text"
+    """docs with a double column score_col (in place of one of that name) from the whole text."""
+    whole, (spare,) = F.col(f"`{text_col}`"), free_names(docs, "bytes")
+    docs = docs.withColumn(spare, text_or_empty(whole).cast("binary"))
+    docs = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c.lower() != score_col.lower()))
+    columns = docs.columns[:-1]
+    schema = StructType([*docs.schema.fields[:-1], StructField(score_col, DoubleType())])
 
     def run(batches):
         for b in batches:
             scores = [model.score(t.as_py()) for t in b.column(len(columns))]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(scores, pa.float64())], [*columns, score_col])
 
-    text = F.col(f"`{columns[at]}`")
-    return docs.withColumn(spare, text_or_empty(text).cast("binary")).mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema)
 
 
 def keep_good(docs: DataFrame, text_col: str, model: Model, threshold: float = 0.3) -> DataFrame:
     """The rows of docs that score at least threshold, with their columns as they are."""
-    return with_score(docs, text_col, model, "__score").filter(F.col("__score") >= threshold).drop("__score")
+    (score,) = free_names(docs, "score")
+    return with_score(docs, text_col, model, score).filter(F.col(score) >= threshold).drop(score)

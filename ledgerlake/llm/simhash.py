@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, text_or_empty
+from .common import cut, free_names, text_or_empty
 from .components import connected_components
 
 BLOCK = 1 << 15
@@ -114,11 +114,12 @@ def keep_one(docs: DataFrame, id_col: str, text_col: str, **how) -> DataFrame:
     text hash, of equal rows any).  Rows without an id cannot be named, so they all stay."""
     found = near_duplicates(docs, id_col, text_col, **how).filter("doc_id IS NOT NULL")
     keeper = found.groupBy("component_id").agg(F.min(F.struct("doc_id", "text_key")).alias("k")).select("k.*")
+    id_, key, gone_, nth_ = free_names(docs, "id", "key", "gone", "nth")
     gone = (found.select("doc_id", "text_key").distinct().join(keeper, ["doc_id", "text_key"], "left_anti")
-            .select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.lit(True).alias("__gone")))
-    rows = docs.withColumns({"__id": F.col(id_col).cast("long"),
-                             "__key": F.xxhash64(text_or_empty(F.col(text_col)))})
-    left = rows.join(gone, ["__id", "__key"], "left").filter("__gone IS NULL")
-    nth = F.row_number().over(Window.partitionBy("__id", "__key").orderBy("__id"))
-    return (left.withColumn("__nth", nth).filter("__nth = 1 OR __id IS NULL")
+            .select(F.col("doc_id").alias(id_), F.col("text_key").alias(key), F.lit(True).alias(gone_)))
+    rows = docs.withColumns({id_: F.col(f"`{id_col}`").cast("long"),
+                             key: F.xxhash64(text_or_empty(F.col(f"`{text_col}`")))})
+    left = rows.join(gone, [id_, key], "left").filter(F.col(gone_).isNull())
+    nth = F.row_number().over(Window.partitionBy(id_, key).orderBy(id_))
+    return (left.withColumn(nth_, nth).filter((F.col(nth_) == 1) | F.col(id_).isNull())
             .select(*(F.col(f"`{c}`") for c in docs.columns)))
