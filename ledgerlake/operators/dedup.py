@@ -15,14 +15,16 @@ Scale notes
   repeats never multiply.  Dedup never builds the overlap pairs: both sides
   carry their statement's period and are joined on (key, month), so a key
   meets only its own holders of the same month.
-* The bulk fold (J6) resolves statements per key in rounds over
-  (key, statement, earlier blocker) edges.  A round handles only what is still
-  open, and the loop ends when nothing is.
+* The bulk fold (J6) is one shuffle by key and one pass over each key's holders
+  in import order; keys with one holder never leave the JVM.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from bisect import bisect_right
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..formats import (BANK_COLUMNS, BANK_COMPOSITE_INDICES, BANK_PRIMARY_KEY_INDEX,
@@ -160,6 +162,74 @@ def dedup_counts(flagged: DataFrame, dup_col: str = "_dup") -> DataFrame:
         F.count_if(~F.col(dup_col)).alias("new_count"))
 
 
+#: Keys held by more statements than this are cut at months that none of them covers.
+MANY_HOLDERS = 1_000
+
+
+def _islands(held: DataFrame) -> DataFrame:
+    """(dedup_key, mon, island): the months that a key's holders cover, in runs without a gap.
+
+    Holders in different islands share no day.  A key has one row a calendar month, however many
+    statements hold it.
+    """
+    covered = held.select("dedup_key", F.explode(F.sequence(F.trunc("from_day", "month"), F.trunc("to_day", "month"),
+                                                            F.expr("INTERVAL 1 MONTH"))).alias("mon")).distinct()
+    order = Window.partitionBy("dedup_key").orderBy("mon")
+    fresh = F.coalesce(F.col("mon") > F.add_months(F.lag("mon").over(order), 1), F.lit(True))
+    return covered.withColumn("fresh", fresh.cast("int")).select(
+        "dedup_key", "mon", F.sum("fresh").over(order).alias("island"))
+
+
+class KeptPeriods:
+    """The union of the periods whose statements keep a key, as sorted disjoint intervals."""
+
+    def __init__(self):
+        self.starts, self.ends = [], []
+
+    def overlaps(self, start, end) -> bool:
+        at = bisect_right(self.starts, end) - 1
+        return at >= 0 and self.ends[at] >= start
+
+    def add(self, start, end) -> None:
+        at = bisect_right(self.starts, start)
+        if at and self.ends[at - 1] >= start:
+            at, start = at - 1, self.starts[at - 1]
+        upto = bisect_right(self.starts, end)
+        if upto > at:
+            end = max(end, self.ends[upto - 1])
+        self.starts[at:upto], self.ends[at:upto] = [start], [end]
+
+
+def _fold(batches):
+    """Verdicts for sorted rows of (key, island): stored holders first, then incoming ones in import order.
+
+    Statements of equal order do not block each other, so their periods count from the next on;
+    without an order a statement blocks nobody.
+    """
+    group, seq, kept, waiting = None, None, KeptPeriods(), []
+    for b in batches:
+        out = []
+        for row in zip(*(b.column(c).to_pylist() for c in b.schema.names)):
+            statement, key, island, is_stored, order, blocking, start, end = row
+            if (key, island) != group:
+                group, seq, kept, waiting = (key, island), None, KeptPeriods(), []
+            if is_stored:
+                if blocking:
+                    kept.add(start, end)
+                continue
+            if order != seq:
+                for period in waiting:
+                    kept.add(*period)
+                seq, waiting = order, []
+            keeps = not kept.overlaps(start, end)
+            out.append((statement, key, keeps))
+            if keeps and blocking and order is not None:
+                waiting.append((start, end))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.string(), pa.bool_()))],
+                                             ["statement_id", "dedup_key", "kept"])
+
+
 def bulk_dedup(incoming: DataFrame, statements: DataFrame, account_type: str,
                stored: DataFrame | None = None) -> DataFrame:
     """Dedup many statements at once, in import order (``import_seq``).
@@ -169,51 +239,42 @@ def bulk_dedup(incoming: DataFrame, statements: DataFrame, account_type: str,
     overlaps it holds the key.  Rows already stored (``stored``: statement_id,
     dedup_key) count as kept first.  Result: (statement_id, dedup_key, kept).
 
-    Resolution runs in rounds over the open edges: a statement is dropped as
-    soon as one earlier overlapping blocker is kept, and kept once all of its
-    earlier blockers are dropped; resolved statements and their edges leave
-    the rounds.  Rounds = longest blocker chain (2-3 in practice).  Import
-    order is strict, so every round resolves something; if one does not, the
-    order is broken and the fold fails rather than guess.
+    A key with one holder, or a statement without a valid period, is kept at
+    once.  All other holders go through one fold: a shuffle by key, a sort by
+    import order inside each task, and one pass over the sorted rows whose only
+    state is the kept periods of the current key, as disjoint intervals; so a
+    chain of any length takes one job, and neither a key's holders nor its
+    verdicts are held together.  A key held by very many statements is cut at
+    the months that no holder covers, and its islands are folded apart.
     """
-    st = statements.filter(F.col("account_type") == account_type)
+    from_day, to_day = (F.try_to_date(F.col(c), "yyyy-MM-dd") for c in ("from_date", "to_date"))
+    st = (statements.filter(F.col("account_type") == account_type)
+          .select(F.col("id").alias("statement_id"), F.col("import_seq").alias("order"), blocks("status").alias("blocking"),
+                  from_day.alias("from_day"), to_day.alias("to_day")))
     keys = with_incoming_key(incoming, account_type).select("statement_id", "dedup_key").distinct()
+    if stored is not None:
+        stored = stored.select("statement_id", "dedup_key").distinct()
+        keys = keys.join(stored, ["statement_id", "dedup_key"], "left_anti")
     held = keys.withColumn("stored", F.lit(False))
     if stored is not None:
-        keys = keys.join(stored.select("statement_id", "dedup_key"), ["statement_id", "dedup_key"], "left_anti")
-        held = keys.withColumn("stored", F.lit(False)).unionByName(
-            stored.select("statement_id", "dedup_key").distinct().withColumn("stored", F.lit(True)))
-    keys = cut_lineage(keys)
-
-    # edges: x (incoming) <- y (blocking, earlier or stored, overlapping, same key)
-    found = key_overlaps(keys, held, st, ["import_seq"]).filter(
-        F.col("y_stored") | (F.col("y_import_seq") < F.col("x_import_seq")))
-    edges = cut_lineage(found.select(F.col("x_id").alias("statement_id"), "dedup_key",
-                                     F.col("y_id").alias("other_id"), F.col("y_stored").alias("y_kept")))
-    node = ["statement_id", "dedup_key"]
-
-    # an edge from a stored row drops x at once; without any edge x is kept
-    dropped = edges.filter("y_kept").select(*node).distinct()
-    free = keys.join(edges.select(*node).distinct(), node, "left_anti")
-    fresh = cut_lineage(free.withColumn("kept", F.lit(True)).unionByName(dropped.withColumn("kept", F.lit(False))))
-    resolved = [fresh]
-    still = cut_lineage(edges.drop("y_kept").join(dropped, node, "left_anti"))
-    while not still.isEmpty():
-        known = fresh.select(F.col("statement_id").alias("other_id"), "dedup_key", F.col("kept").alias("y_kept"))
-        told = still.join(known, ["other_id", "dedup_key"], "left")
-        verdict = told.groupBy(*node).agg(F.max(F.coalesce(F.col("y_kept"), F.lit(False))).alias("hit"),
-                                          F.count_if(F.col("y_kept").isNull()).alias("open"))
-        fresh = cut_lineage(verdict.filter("hit OR open = 0").select(*node, (~F.col("hit")).alias("kept")))
-        if fresh.isEmpty():
-            raise ValueError("import order is not strict: statements block each other")
-        resolved.append(fresh)
-        # edges to dropped blockers are done; edges of resolved statements too
-        still = cut_lineage(told.filter(F.col("y_kept").isNull()).drop("y_kept")
-                            .join(fresh.select(*node), node, "left_anti"))
-    out = resolved[0]
-    for r in resolved[1:]:
-        out = out.unionByName(r)
-    return out
+        held = held.unionByName(stored.withColumn("stored", F.lit(True)))
+    held = held.join(st, "statement_id", "left").withColumn("valid", F.coalesce(F.col("from_day") <= F.col("to_day"), F.lit(False)))
+    held = cut_lineage(held)
+    counts = held.filter("valid").groupBy("dedup_key").agg(F.count(F.lit(1)).alias("holders"), F.count_if("stored").alias("stored_holders"))
+    several = counts.filter("holders > 1 AND holders > stored_holders").select("dedup_key", "holders")
+    # holders outside the fold: no valid period, or no other holder
+    alone = held.filter("NOT stored").join(several.select("dedup_key", F.lit(True).alias("folded")), "dedup_key", "left")
+    at_once = alone.filter(~F.col("valid") | F.col("folded").isNull()).select("statement_id", "dedup_key", F.lit(True).alias("kept"))
+    rows = held.filter("valid").join(several, "dedup_key")
+    many = _islands(rows.filter(F.col("holders") > MANY_HOLDERS))
+    rows = (rows.withColumn("mon", F.when(F.col("holders") > MANY_HOLDERS, F.trunc("from_day", "month")))
+            .join(many, ["dedup_key", "mon"], "left")
+            .select("statement_id", "dedup_key", F.coalesce("island", F.lit(0)).alias("island"), "stored",
+                    F.col("order").cast("string").alias("tie"), "blocking", "from_day", "to_day", "order"))
+    folded = (rows.repartition("dedup_key", "island")
+              .sortWithinPartitions("dedup_key", "island", F.col("stored").desc(), F.col("order").asc_nulls_first())
+              .drop("order").mapInArrow(_fold, "statement_id string, dedup_key string, kept boolean"))
+    return at_once.unionByName(folded)
 
 
 def flag_bulk_duplicates(incoming: DataFrame, verdict: DataFrame, account_type: str) -> DataFrame:

@@ -135,3 +135,58 @@ def test_a_key_in_fifty_chained_statements(spark):
     plan = D.blocked_keys(rows.select("statement_id", F.lit("K").alias("dedup_key")), st,
                           rows.select("statement_id", F.lit("K").alias("dedup_key")))._jdf.queryExecution().toString()
     assert "other_id" not in plan
+
+
+def _chain(spark, n):
+    """n statements of 37 days each, every one overlapping the next."""
+    import datetime
+    first = datetime.date(2000, 1, 1)
+    periods = [(first + datetime.timedelta(30 * i), first + datetime.timedelta(30 * i + 36)) for i in range(n)]
+    return spark.createDataFrame([(f"s{i:04d}", "secu", str(a), str(z), "importing", i) for i, (a, z) in enumerate(periods)], STMT)
+
+
+def test_a_key_in_five_hundred_chained_statements(spark, monkeypatch):
+    import time
+    st = _chain(spark, 500)
+    rows = _secu(spark, [(f"s{i:04d}", 1, "K") for i in range(500)])
+    for many in (D.MANY_HOLDERS, 100):      # whole, and cut into islands (one, as the chain has no gap)
+        monkeypatch.setattr(D, "MANY_HOLDERS", many)
+        start = time.time()
+        got = {r.statement_id: r.kept for r in D.bulk_dedup(rows, st, "secu").collect()}
+        assert got == {f"s{i:04d}": i % 2 == 0 for i in range(500)}
+        assert time.time() - start < 60
+
+
+def test_bulk_fold_in_islands_matches_the_loop(spark, monkeypatch):
+    """Keys in many statements with gaps, ties of the import order, missing orders and bad periods."""
+    import random
+    monkeypatch.setattr(D, "MANY_HOLDERS", 5)
+    rnd = random.Random(11)
+    stmts, rows = [], []
+    for i in range(60):
+        year, month, day = rnd.choice([2020, 2021, 2023]), rnd.randint(1, 12), rnd.randint(1, 28)
+        end = f"{year}-{month:02d}-{min(28, day + rnd.randint(0, 20)):02d}" if rnd.random() < 0.7 else f"{year + rnd.randint(0, 1)}-{rnd.randint(1, 12):02d}-28"
+        start = rnd.choice([f"{year}-{month:02d}-{day:02d}"] * 9 + [None])
+        stmts.append((f"s{i:02d}", "secu", start, end, rnd.choice(["imported", "imported", "error"]), rnd.choice([i, i, i - i % 3, None])))
+        for k in rnd.sample(range(3), 2):
+            rows.append((f"s{i:02d}", k, f"k{k}"))
+    st = spark.createDataFrame(stmts, STMT)
+    held = {(s, f"k{k}") for s, _, k in [(r[0], 0, rnd.randint(0, 2)) for r in stmts if rnd.random() < 0.1]}
+    stored = spark.createDataFrame(sorted(held), "statement_id string, dedup_key string")
+    got = {(r.statement_id, r.dedup_key): r.kept for r in D.bulk_dedup(_secu(spark, rows), st, "secu", stored=stored).collect()}
+    kept, expect = set(held), {}
+    of = {s[0]: s for s in stmts}
+    order = sorted(of.values(), key=lambda s: (s[5] is not None, s[5] or 0))
+    for seq in dict.fromkeys(s[5] for s in order):
+        fresh = set()
+        for sid, _, a, z, status, _ in (s for s in order if s[5] == seq):
+            for key in {k for s, _, k in rows if s == sid}:
+                if (sid, key) in held:
+                    continue
+                blocked = any(k == key and o != sid and of[o][4] != "error" and a and of[o][2] and a <= z and of[o][2] <= of[o][3]
+                              and of[o][2] <= z and of[o][3] >= a for o, k in kept)
+                expect[(sid, key)] = not blocked
+                if not blocked and seq is not None:
+                    fresh.add((sid, key))
+        kept |= fresh
+    assert got == expect
