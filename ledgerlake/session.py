@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -58,3 +59,14 @@ def cut_lineage(df):
     """Reliable checkpoint (survives executor loss); never a local checkpoint."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df):
+    """The same rows, written as a Parquet table in the shared folder and read back.
+
+    Like ``cut_lineage``, but the result has the sizes of its files for statistics (a checkpoint
+    keeps the estimate of its plan, which grows with every join) and its columns can be pruned.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
