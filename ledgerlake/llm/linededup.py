@@ -31,7 +31,8 @@ contexts are fetched once per distinct position of an original, however many cop
 Defined cases: a null text stays null and an empty or short one as it is; rows are told apart by
 id and text, so repeated rows (same id, same text) are one document and stay alike; rows without
 an id come last in the order and may be cleaned too; ties in the order are equal rows; an empty
-table gives no rows; other columns are passed through.
+table gives no rows; other columns are passed through, whatever their names (one called as
+``spans_col`` is replaced).
 """
 
 from __future__ import annotations
@@ -42,10 +43,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from .common import cut, fits_broadcast, text_or_empty
+from .common import cut, fits_broadcast, free_names, text_or_empty
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
+BYTE_VALUE = np.arange(1, 257, dtype=np.uint64)
 #: So many positions of originals (some 30 bytes each) may be broadcast.
 BROADCAST_ROWS = 400_000
 BYTE_BASE, WORD_BASE = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
@@ -76,25 +78,37 @@ def words_of(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Byte offsets where words start and end."""
     space = np.ones(len(data) + 2, np.int8)
     space[1:-1] = SPACE[np.frombuffer(data, np.uint8)]
-    change = np.diff(space)
-    return np.flatnonzero(change == -1), np.flatnonzero(change == 1)
+    change = np.flatnonzero(space[1:] != space[:-1])
+    return change[::2], change[1::2]
 
 
 def spread(values: np.ndarray, powers: Powers) -> np.ndarray:
     """Prefix sums of values times powers; differences of them are polynomial hashes."""
     up, _ = powers.upto(len(values))
-    return np.concatenate(([np.uint64(0)], np.cumsum(values * up)))
+    out = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * up, out=out[1:])
+    return out
 
 
 def line_hashes(data: bytes, starts: np.ndarray, ends: np.ndarray, line: int, of_bytes: Powers, of_words: Powers) -> np.ndarray:
     """A 64-bit hash for every line of so many words."""
-    sums = spread(np.frombuffer(data, np.uint8).astype(np.uint64) + np.uint64(1), of_bytes)
+    sums = spread(BYTE_VALUE[np.frombuffer(data, np.uint8)], of_bytes)
     words = mixed((sums[ends] - sums[starts]) * of_bytes.upto(len(data))[1][starts] + (ends - starts).astype(np.uint64))
     sums = spread(words, of_words)
     n = len(words) - line + 1
     return mixed((sums[line:] - sums[:n]) * of_words.upto(len(words))[1][:n])
 
 
+def sliding(pick, values: np.ndarray, window: int) -> np.ndarray:
+    """The smallest or largest of every window of values, from windows of 1, 2, 4, ... values."""
+    width = 1
+    while 2 * width <= window:
+        values = pick(values[:-width], values[width:])
+        width *= 2
+    rest = window - width
+    return pick(values[:len(values) - rest], values[rest:]) if rest else values
+
+
 def selected(hashes: np.ndarray, window: int) -> np.ndarray:
     """Positions of the winnowed line hashes; none if there are fewer lines than a window has.
 
@@ -103,16 +117,17 @@ def selected(hashes: np.ndarray, window: int) -> np.ndarray:
     """
     if len(hashes) < window:
         return np.empty(0, np.int64)
+    least = sliding(np.minimum, hashes, window)
+    # a hash is the smallest of a window if the largest of its windows' minima is the hash itself
+    edge = np.zeros(window - 1, np.uint64)
+    out = np.flatnonzero(sliding(np.maximum, np.concatenate((edge, least, edge)), window) == hashes)
+    if not ((hashes[out[1:]] == hashes[out[:-1]]) & (np.diff(out) < window)).any():
+        return out
     views = np.lib.stride_tricks.sliding_window_view(hashes, window)
-    first, last = np.empty(len(views), np.int64), np.empty(len(views), np.int64)
+    last = np.empty(len(views), np.int64)
     for at in range(0, len(views), 1 << 14):
         part = views[at:at + (1 << 14)]
-        here = np.arange(at, at + len(part))
-        first[at:at + len(part)] = here + part.argmin(axis=1)
-        last[at:at + len(part)] = here + window - 1 - part[:, ::-1].argmin(axis=1)
-    if np.array_equal(first, last):
-        return np.unique(first)
-    least = hashes[first]
+        last[at:at + len(part)] = np.arange(at, at + len(part)) + window - 1 - part[:, ::-1].argmin(axis=1)
     changes = (np.flatnonzero(least[1:] != least[:-1]) + 1).tolist() + [len(views)]
     out, at, turn = [], 0, 0
     while at < len(views):
@@ -243,7 +258,7 @@ def windows(texts: DataFrame, line: int, window: int, min_words: int, places) ->
                 starts, ends = words_of(data)
                 at, inner = places(about.as_py(), data, starts, ends)
                 lines = line_hashes(data, starts, ends, line, of_bytes, of_words)
-                least = np.lib.stride_tricks.sliding_window_view(lines, window).min(axis=1)[:max(0, len(starts) - min_words + 1)]
+                least = sliding(np.minimum, lines, window)[:max(0, len(starts) - min_words + 1)]
                 take = np.zeros(len(least), bool)
                 for p in at:
                     lo = max(0, p - window + 1)
@@ -263,6 +278,12 @@ def windows(texts: DataFrame, line: int, window: int, min_words: int, places) ->
         .dropDuplicates(["doc", "key"])
 
 
+def _some(named: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The texts of wanted (doc, key), if these are few, so that only they are shuffled; else all."""
+    keys = wanted.select("doc", "key")
+    return named.join(F.broadcast(keys), ["doc", "key"], "left_semi") if fits_broadcast(keys, BROADCAST_ROWS) else named
+
+
 def deletions(named: DataFrame, line: int, window: int, min_words: int) -> DataFrame:
     """(doc, key, runs, more): starts and stops of the deleted runs, and where further deleted windows start."""
     prints = cut(fingerprints(named, line, window))
@@ -273,9 +294,7 @@ def deletions(named: DataFrame, line: int, window: int, min_words: int) -> DataF
     def edges(found, data, starts, ends):
         return [p for r in found for p in r["loose"]], deleted_runs(data, starts, ends, found, min_words)
 
-    keys = about.select("doc", "key")  # if they are few, only the texts that have runs are shuffled
-    some = named.join(F.broadcast(keys), ["doc", "key"], "left_semi") if fits_broadcast(keys, BROADCAST_ROWS) else named
-    seen = cut(windows(some.join(about, ["doc", "key"]), line, window, min_words, edges))
+    seen = cut(windows(_some(named, about).join(about, ["doc", "key"]), line, window, min_words, edges))
 
     def flat(df):
         return df.select("doc", "key", F.explode(F.arrays_zip("wholes", "at")).alias("w")).select(
@@ -287,9 +306,7 @@ def deletions(named: DataFrame, line: int, window: int, min_words: int) -> DataF
     places = (firsts.join(lines, "hash").select(F.col("src").alias("doc"), F.col("src_key").alias("key"), F.col("src_pos").alias("pos"))
               .unionByName(found.filter("near").select("doc", "key", F.explode("loose").alias("pos"))))
     there = cut(places.groupBy("doc", "key").agg(F.collect_set("pos").alias("about")))
-    if fits_broadcast(there, BROADCAST_ROWS):
-        there = F.broadcast(there)
-    answers = flat(windows(named.join(there, ["doc", "key"]), line, window, min_words, lambda at, *_: (at, [])))
+    answers = flat(windows(_some(named, there).join(there, ["doc", "key"]), line, window, min_words, lambda at, *_: (at, [])))
     least = cut(asked.unionByName(answers).groupBy("whole").agg(F.min(F.struct("doc", "key", "pos")).alias("first"), F.count(F.lit(1)).alias("n"))
                 .filter("n > 1").select("whole", F.col("first.doc").alias("src"), F.col("first.key").alias("src_key"),
                                         F.col("first.pos").alias("src_pos")))
@@ -346,6 +363,7 @@ def dedup(docs: DataFrame, id_col: str, text_col: str, line: int = 26, window: i
     if line > min_words or line + window - 1 > min_words or window > line:
         raise ValueError("a run of min_words words must hold a window of lines, and lines must touch")
     found = deletions(_named(docs, id_col, text_col), line, window, min_words)
+    docs = docs.drop(spans_col) if spans_col else docs
     columns = docs.columns
     schema = StructType([StructField(f.name, StringType()) if f.name == text_col else f for f in docs.schema.fields]
                         + ([StructField(spans_col, StringType())] if spans_col else []))
@@ -368,10 +386,18 @@ def dedup(docs: DataFrame, id_col: str, text_col: str, line: int = 26, window: i
             yield pa.RecordBatch.from_arrays(arrays + ([pa.array(marks, pa.string())] if spans_col else []),
                                              [f.name for f in schema.fields])
 
+    # the original columns travel under names that are free
+    doc, key, runs_, more_ = free_names(docs, "doc", "key", "runs", "more")
     text = F.col(f"`{text_col}`")
-    rows = docs.withColumns({"__doc": F.coalesce(F.col(id_col).cast("long"), F.lit(2**63 - 1)),
-                             "__key": F.xxhash64(text_or_empty(text))}).withColumn(text_col, text.cast("string"))
-    found = found.select(F.col("doc").alias("__doc"), F.col("key").alias("__key"), F.col("runs").alias("__runs"),
-                         F.col("more").alias("__more"))
-    return rows.join(found, ["__doc", "__key"], "left").select(*(F.col(f"`{c}`") for c in columns), "__runs", "__more") \
-        .mapInArrow(run, schema)
+    rows = docs.withColumn(text_col, text.cast("string")).withColumns(
+        {doc: F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(2**63 - 1)), key: F.xxhash64(text_or_empty(text))})
+    found = cut(found.select(F.col("doc").alias(doc), F.col("key").alias(key), F.col("runs").alias(runs_), F.col("more").alias(more_)))
+    here = [F.col(f"`{c}`") for c in columns]
+    keys = found.select(doc, key)
+    if not fits_broadcast(keys, BROADCAST_ROWS):
+        return rows.join(found, [doc, key], "left").select(*here, runs_, more_).mapInArrow(run, schema)
+    # few texts change: only these are shuffled and go through Python
+    same = rows.join(F.broadcast(keys), [doc, key], "left_anti").select(*here, *([F.lit("").alias(spans_col)] if spans_col else []))
+    changed = (rows.join(F.broadcast(keys), [doc, key], "left_semi").join(found, [doc, key])
+               .select(*here, runs_, more_).mapInArrow(run, schema))
+    return same.union(changed)
