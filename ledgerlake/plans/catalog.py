@@ -7,6 +7,7 @@ not reproducible by design (timestamps) are left out of the comparison.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ from ..formats import BANK_COLUMNS, SECU_COLUMNS
 from ..operators import consolidate as C
 from ..operators import recognise as R
 from ..operators.stage import stage
-from ..session import cut_lineage
+from ..session import cut_lineage, ensure_checkpoint_dir
 from . import oracle as O
 from .bindings import World, pos_bucket
 
@@ -295,6 +296,19 @@ def q_map_secu(spark, sf_dir):
     return parsed_rendered(World(spark, sf_dir), "SECURITIES").select("statement_id", *SECU_COLUMNS)
 
 
+@query("scan_csv_blocks", O.with_views(["secu_in"], f"""
+SELECT statement_id, {', '.join(SECU_COLUMNS)} FROM secu_in"""))
+def q_scan_csv_blocks(spark, sf_dir):
+    """A4 from files: the securities files written to the shared folder and scanned in blocks."""
+    files = rendered_files(World(spark, sf_dir), "SECURITIES")
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/files-{uuid.uuid4().hex}"
+    (files.select("statement_id", F.col("_chunk").cast("string").alias("part"), "content").repartition("statement_id", "part")
+     .write.partitionBy("statement_id", "part").text(folder))
+    records, _ = CSV.scan_records(CSV.read_lines(spark, folder))
+    rows = records.filter("file_pos > 0").withColumn("fields", CSV.split_fields(F.col("record"), F.lit(",")))
+    return CSV.map_layout(rows.select("statement_id", "fields"), "SECURITIES").select("statement_id", *SECU_COLUMNS)
+
+
 @query("parse_legacy_secu", O.with_views(["secu_in"], f"""
 SELECT statement_id, {', '.join(SECU_COLUMNS)} FROM secu_in"""))
 def q_parse_legacy_secu(spark, sf_dir):

@@ -106,3 +106,46 @@ def test_legacy_backslash_escape(spark):
     files = _files(spark, ['h1,h2\r\n"a\\"b",c\r\n']).withColumn("separator", F.lit(","))
     rows = CSV.parse_records(files, escape=True).collect()
     assert rows[0].fields == ['a"b', "c"]
+
+
+def _random_file(rng, rows):
+    """A file with quoted line ends, doubled quotes, quotes in mid-cell, blank lines and three kinds of line ends."""
+    def cell():
+        kind = rng.random()
+        text = "".join(rng.choice(["a", "é", " ", ";", "1"]) for _ in range(rng.randrange(6)))
+        if kind < 0.4:
+            return '"' + text + "".join(rng.choice(['""', ",", "\n", "\r\n", "\r", "x"]) for _ in range(rng.randrange(4))) + '"'
+        return text + ('"q\n"' if kind > 0.95 else "")
+    out = "﻿" + "h1,h2,h3\r\n"
+    for _ in range(rows):
+        out += ",".join(cell() for _ in range(3)) + rng.choice(["\r\n"] * 5 + ["\n", "\n\n", "\r", "\r\n\r\n"])
+    return out
+
+
+def test_scan_in_blocks_equals_the_whole_file_parse(spark, tmp_path):
+    import random
+    rng = random.Random(3)
+    texts = {f"f{i}.csv": _random_file(rng, n) for i, n in enumerate([0, 1, 40, 400, 4000])}
+    texts |= {"empty.csv": "", "open.csv": 'h1,h2\r\n"a,b\r\nc,d\r\n', "blank.csv": "\r\n\r\n", "long.csv": 'h\r\n"' + "x\n" * 5000 + '"\r\nlast'}
+    for name, text in texts.items():
+        (tmp_path / name).write_bytes(text.encode())
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "512")
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        lines = CSV.read_lines(spark, str(tmp_path))
+        assert lines.filter("file_name = 'f4.csv'").select("block").distinct().count() > 100
+        assert lines.rdd.getNumPartitions() > 100
+        records, bad = CSV.scan_records(lines)
+        got = {}
+        for r in records.collect():
+            got.setdefault(r.file_name, []).append((r.file_pos, r.record))
+        assert [r.file_path.rsplit("/", 1)[1] for r in bad.collect()] == ["open.csv"]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    whole = spark.createDataFrame([(n, t) for n, t in texts.items() if n != "open.csv"], "file_name string, content string")
+    want = {}
+    for r in whole.select("file_name", F.posexplode(F.regexp_extract_all(CSV.strip_bom(F.col("content")), F.lit(CSV.RECORD_RE), 0))).collect():
+        want.setdefault(r.file_name, []).append((r.pos, r.col))
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
