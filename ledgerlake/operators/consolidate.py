@@ -2,7 +2,7 @@
 
 One lazy plan: partial + final HashAggregate keyed by (statement_id, keys),
 ordered reference lists via ``listagg ... WITHIN GROUP``, then per-statement
-numbering (``number_within``) for the statement references.
+numbering (``number_by_keys``) for the statement references.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from ..formats import SYSTEM_USER, TOTAL_DEFAULT_STATUS
 from ..functions import (empty_if_null, stable_id, statement_ref, statement_ref_prefix,
                          to_decimal)
 from ..functions.numbers import exact_ratio_text
-from .numbering import number_within
+from .numbering import number_by_keys
 
 # Group keys and output order, as the reference's GROUP BY / ORDER BY (fixed values).
 BANK_KEYS = ["account_number", "document_nr", "payment_date", "other_side_account",
@@ -87,8 +87,7 @@ def number_totals(agg: DataFrame, statements: DataFrame, sort: list[str],
                   keys: list[str]) -> DataFrame:
     """W2 + P16/P17: seq per statement in report order -> 'STMTyyyy.NNN'."""
     order = _sort_order(sort, keys)
-    numbered = number_within(agg, ["statement_id"], [F.col(c).asc_nulls_first() for c in order],
-                             [F.col(order[0]), F.col(order[1])], out="seq")
+    numbered = number_by_keys(agg, ["statement_id"], order, out="seq")
     prefixes = statements.select(F.col("id").alias("statement_id"),
                                  statement_ref_prefix(F.col("from_date")).alias("_prefix"))
     return (numbered.join(prefixes, "statement_id", "left")

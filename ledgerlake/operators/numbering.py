@@ -16,6 +16,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Rows that one task numbers, about, and the most parts that one bucket is divided into.
+PART_ROWS = 1 << 16
+MAX_PARTS = 1024
+SALTS = 32
+
 
 def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[f"_o{k}"]) for k in keys])
@@ -59,3 +64,36 @@ def number_within(df: DataFrame, partition_cols: list[str], order_cols: list,
     return (numbered.join(offsets, _same(numbered, offsets, keys))
             .withColumn(out, (F.col("_off") + F.col("_local")).cast("int"))
             .drop("_local", "_off", *levels, *[f"_o{k}" for k in keys]))
+
+
+def with_parts(df: DataFrame, bucket_cols: list[str], sort: list[str], out: str = "_part",
+               part_rows: int = PART_ROWS, max_parts: int = MAX_PARTS) -> DataFrame:
+    """Add ``out``: the part of its bucket (``bucket_cols``) that a row's ``sort`` key lies in.
+
+    Parts follow the ascending order (nulls first) of ``sort``, hold about ``part_rows`` rows each, and
+    are cut at sampled keys: one key in ``part_rows``, chosen by hash, so that every evaluation of
+    the plan chooses the same.  A bucket with more than ``max_parts`` of them is cut at that many,
+    evenly spread.  Equal keys share a part.  The join that brings the cuts to the rows is salted
+    by key, so a hot bucket is spread over tasks there too.
+    """
+    key = F.struct(*sort)
+    hashed = F.xxhash64(*bucket_cols, *sort)
+    cuts = (df.filter(F.pmod(hashed, F.lit(part_rows)) == 0).groupBy(*bucket_cols)
+            .agg(F.sort_array(F.collect_set(key)).alias("_cuts")))
+    step = F.greatest(F.lit(1), F.ceil(F.size("_cuts") / F.lit(max_parts)))
+    cuts = (cuts.withColumn("_cuts", F.filter("_cuts", lambda c, i: F.pmod(i, step) == 0))
+            .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*sort), F.lit(SALTS)).cast("int"))
+    cuts = _renamed(cuts, [*bucket_cols, "_salt"])
+    part = F.when(F.col("_cuts").isNull(), 0).otherwise(F.size(F.filter("_cuts", lambda c: c <= key)))
+    return (salted.join(cuts, _same(salted, cuts, [*bucket_cols, "_salt"]), "left")
+            .withColumn(out, part).drop("_cuts", "_salt", *[f"_o{k}" for k in [*bucket_cols, "_salt"]]))
+
+
+def number_by_keys(df: DataFrame, partition_cols: list[str], sort: list[str], lead: int = 2, out: str = "seq",
+                   part_rows: int = PART_ROWS) -> DataFrame:
+    """``number_within`` by ``sort`` (ascending, nulls first): buckets are the first ``lead`` keys, divided
+    by ranges of the others where many rows share them."""
+    split = with_parts(df, [*partition_cols, *sort[:lead]], sort[lead:], "_part", part_rows)
+    levels = [*[F.col(c) for c in sort[:lead]], F.col("_part")]
+    return number_within(split, partition_cols, [F.col(c).asc_nulls_first() for c in sort], levels, out).drop("_part")
