@@ -48,8 +48,24 @@ STATEMENT_EVENT = StructType([
     StructField("load_id", StringType()),
 ])
 
+# Contents of files that no waiting statement has claimed yet, and the files that runs have used.
+HELD_FILE = StructType([
+    StructField("file_path", StringType()),
+    StructField("file_name", StringType()),
+    StructField("content", StringType()),
+    StructField("held_seq", LongType()),
+    StructField("name_bucket", IntegerType()),
+])
+
+USED_FILE = StructType([
+    StructField("file_path", StringType()),
+    StructField("statement_id", StringType()),
+    StructField("event_seq", LongType()),
+])
+
 TABLE_SCHEMAS = {
     "bank_raw": BANK_RAW, "secu_raw": SECU_RAW,
     "bank_total": BANK_TOTAL, "secu_total": SECU_TOTAL,
     "statement_event": STATEMENT_EVENT,
+    "held_file": HELD_FILE, "used_file": USED_FILE,
 }

@@ -3,7 +3,10 @@
 Files land in a folder; a file-source stream reads each new file once (the
 stream's checkpoint records which files were processed, so a restarted or
 retried query never imports a file twice) and every micro-batch runs the
-batch import job on the files it received.  Late or overlapping statements
+batch import job on the files it received, and on those held from earlier
+micro-batches because no statement had claimed them yet.  A statement that is
+registered after its file is thus imported with the next file that arrives,
+when the stream starts again, or by ``plans.jobs.import_held``.  Late or overlapping statements
 need no watermark: dedup compares with all stored rows of overlapping
 statements, as the batch job does.
 """
@@ -16,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.jobs import Lake, import_statements
+from ..plans.jobs import Lake, import_held, import_statements
 from ..session import ensure_checkpoint_dir
 
 
@@ -43,9 +46,13 @@ def start_import_stream(lake: Lake, control: DataFrame | str, drop_dir: str,
     if checkpoint is None:
         checkpoint = os.path.join(ensure_checkpoint_dir(spark), "statement-import-stream")
 
+    def statements() -> DataFrame:
+        return spark.read.parquet(control) if isinstance(control, str) else control
+
     def run(batch: DataFrame, epoch_id: int) -> None:
-        ctl = spark.read.parquet(control) if isinstance(control, str) else control
-        import_statements(lake, ctl, batch, bulk=bulk)
+        import_statements(lake, statements(), batch, bulk=bulk)
+
+    import_held(lake, statements(), bulk=bulk)
 
     writer = (statement_files_stream(lake, drop_dir).writeStream.foreachBatch(run)
               .option("checkpointLocation", checkpoint))
