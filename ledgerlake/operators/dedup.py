@@ -33,6 +33,10 @@ from ..functions import incoming_dedup_key, stored_dedup_key
 from ..session import cut_lineage
 
 NON_BLOCKING_STATUSES = ("error", "new")
+# Statements of one account type from which a month is compared by days, and those of a bin that one task takes.
+DENSE_MONTH = 1000
+SLICE = 1000
+SALTS = 32
 
 
 def key_columns(account_type: str) -> tuple[str, list[str]]:
@@ -67,6 +71,26 @@ def _months(from_col: str, to_col: str) -> F.Column:
                   F.sequence(F.trunc(f, "month"), F.trunc(t, "month"), F.expr("INTERVAL 1 MONTH")))
 
 
+def _binned(st: DataFrame) -> DataFrame:
+    """``st`` (id, account_type, from_date, to_date, bank) with a row per ``bin`` its period touches.
+
+    A bin is the first day of a month or, in months that more than ``DENSE_MONTH`` statements of the
+    account type touch, each day: the width follows the counts.  The counts are one row per (account
+    type, month) of the calendar; the join with them is salted, so that a month of all statements
+    is dealt over tasks.
+    """
+    months = st.withColumn("mon", F.explode(_months("from_date", "to_date")))
+    dense = (months.groupBy("account_type", "mon").count().filter(F.col("count") > DENSE_MONTH)
+             .select("account_type", "mon", F.lit(True).alias("dense"),
+                     F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")))
+    salted = months.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+    first = F.greatest(F.to_date("from_date"), F.col("mon"))
+    last = F.least(F.to_date("to_date"), F.last_day("mon"))
+    return (salted.join(dense, ["account_type", "mon", "salt"], "left")
+            .withColumn("bin", F.explode(F.when(F.col("dense"), F.sequence(first, last)).otherwise(F.array("mon"))))
+            .withColumn("dense", F.coalesce("dense", F.lit(False))).drop("salt", "mon"))
+
+
 def overlap_pairs(statements: DataFrame, only_blocking: bool = True, same_bank: bool = False) -> DataFrame:
     """J1 (F5 F7 F8, and F6 when ``only_blocking``): (statement_id, other_id).
 
@@ -74,28 +98,56 @@ def overlap_pairs(statements: DataFrame, only_blocking: bool = True, same_bank:
     this.to and other.to >= this.from (text compare of ISO dates, NULL = no
     overlap), different id.  The reference ignores the bank (Q3);
     ``same_bank=True`` also requires the same bank.
+
+    Joined on (account type, bin) with months or days as bins, by the counts
+    (``_binned``).  The statements of a bin are dealt into slices of about
+    ``SLICE`` on the one side, and each slice meets the bin's statements of
+    the other side in a task of its own; a pair is emitted in the bin where its
+    overlap starts.
     """
     bank = F.col("bank") if "bank" in statements.columns else F.lit(None).cast("string")
-    base = statements.select("id", "account_type", "from_date", "to_date", "status", bank.alias("bank"))
-    a = base.select(F.col("id").alias("statement_id"), F.col("account_type").alias("a_type"),
-                    F.col("from_date").alias("a_from"), F.col("to_date").alias("a_to"), F.col("bank").alias("a_bank"),
-                    F.explode(_months("from_date", "to_date")).alias("mon"))
-    b = base
-    if only_blocking:
-        b = b.filter(blocks("status"))
-    b = b.select(F.col("id").alias("other_id"), F.col("account_type").alias("b_type"),
-                 F.col("from_date").alias("b_from"), F.col("to_date").alias("b_to"), F.col("bank").alias("b_bank"),
-                 F.explode(_months("from_date", "to_date")).alias("mon"))
-    start = F.trunc(F.to_date(F.greatest(F.col("a_from"), F.col("b_from"))), "month")
-    cond = (a.a_type == b.b_type) & (a.mon == b.mon)
+    binned = _binned(statements.select("id", "account_type", "from_date", "to_date", "status", bank.alias("bank")))
+    slices = (binned.groupBy("account_type", "bin").agg(F.ceil(F.count(F.lit(1)) / F.lit(SLICE)).cast("int").alias("slices"))
+              .filter("slices > 1"))
+    hot = slices.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = (binned.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+              .join(hot, ["account_type", "bin", "salt"], "left").drop("salt")
+              .withColumn("slices", F.coalesce("slices", F.lit(1))))
+    names = {"account_type": "type", "from_date": "from", "to_date": "to", "bank": "bank"}
+    a = salted.select(F.col("id").alias("statement_id"), *[F.col(c).alias(f"a_{n}") for c, n in names.items()], "bin", "dense",
+                      F.pmod(F.xxhash64("id", F.lit("slice")), F.col("slices")).cast("int").alias("slice"))
+    b = salted.filter(blocks("status")) if only_blocking else salted
+    b = b.select(F.col("id").alias("other_id"), *[F.col(c).alias(f"b_{n}") for c, n in names.items()], "bin",
+                 F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"))
+    start = F.to_date(F.greatest(F.col("a_from"), F.col("b_from")))
+    cond = (a.a_type == b.b_type) & (a.bin == b.bin) & (a.slice == b.slice)
     if same_bank:
         cond = cond & (a.a_bank == b.b_bank)
     return (a.join(b, cond)
             .filter((F.col("b_from") <= F.col("a_to")) & (F.col("b_to") >= F.col("a_from"))
-                    & (F.col("statement_id") != F.col("other_id")) & (a.mon == start))
+                    & (F.col("statement_id") != F.col("other_id"))
+                    & (a.bin == F.when(F.col("dense"), start).otherwise(F.trunc(start, "month"))))
             .select("statement_id", "other_id", F.col("a_type").alias("account_type")))
 
 
+def near_statements(statements: DataFrame, batch: DataFrame) -> DataFrame:
+    """(statement_id) of blocking statements that overlap one of ``batch`` (statement_id), other than
+    the batch itself: what ``overlap_pairs`` would list, without building pairs of statements.
+
+    Only distinct periods are compared, however many statements share one.
+    """
+    periods = ["account_type", "from_date", "to_date"]
+    ours = statements.join(batch, statements["id"] == batch["statement_id"], "left_semi").select(*periods).distinct()
+    others = (statements.filter(blocks("status")).join(batch, statements["id"] == batch["statement_id"], "left_anti")
+              .select("id", *periods))
+    theirs = others.select(*periods).distinct()
+    both = (ours.withColumns({"id": F.concat_ws("/", F.lit("ours"), *periods), "status": F.lit("new")})
+            .unionByName(theirs.withColumns({"id": F.concat_ws("/", F.lit("theirs"), *periods), "status": F.lit("imported")})))
+    hit = overlap_pairs(both).filter(F.col("statement_id").startswith("ours/")).select(F.col("other_id").alias("period")).distinct()
+    return (others.withColumn("period", F.concat_ws("/", F.lit("theirs"), *periods))
+            .join(hit, "period", "left_semi").select(F.col("id").alias("statement_id")))
+
+
 def _holders(keys: DataFrame, statements: DataFrame, prefix: str, extra: list[str]) -> DataFrame:
     """(statement, key) rows with their statement's period, one row per month covered."""
     st = statements.select(F.col("id").alias("statement_id"), "account_type", "from_date", "to_date", *extra)

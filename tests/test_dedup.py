@@ -190,3 +190,30 @@ def test_bulk_fold_in_islands_matches_the_loop(spark, monkeypatch):
                     fresh.add((sid, key))
         kept |= fresh
     assert got == expect
+
+
+def test_a_month_of_all_statements_is_compared_by_days_and_slices(spark, monkeypatch):
+    """overlap_pairs and near_statements equal a plain comparison at every bin width and slice count."""
+    import datetime as dt
+    import random
+    rnd = random.Random(11)
+    day = lambda n: (dt.date(2024, 1, 1) + dt.timedelta(days=n)).isoformat()
+    rows = []
+    for i in range(240):
+        f = rnd.choice([14, 15, rnd.randint(0, 30), rnd.randint(0, 120)])
+        rows.append((f"s{i}", rnd.choice(["bank", "bank", "secu", None]), "B", day(f), day(f + rnd.choice([0, 1, 45])),
+                     rnd.choice(["imported", "consolidated", "error", None])))
+    rows += [("n1", "bank", "B", None, day(3), "imported"), ("n2", "bank", "B", day(9), day(2), "imported")]
+    st = spark.createDataFrame(rows, "id string, account_type string, bank string, from_date string, to_date string, status string")
+    ok = [r for r in rows if r[3] and r[3] <= r[4]]
+    want = sorted((a[0], b[0]) for a in ok for b in ok if a[0] != b[0] and a[1] and a[1] == b[1] and b[3] <= a[4] and b[4] >= a[3]
+                  and b[5] in ("imported", "consolidated"))
+    batch = {f"s{i}" for i in range(0, 240, 40)}
+    ids = spark.createDataFrame([(i,) for i in batch], "statement_id string")
+    for dense, size in ((10**6, 10**6), (20, 10**6), (20, 5)):
+        monkeypatch.setattr(D, "DENSE_MONTH", dense)
+        monkeypatch.setattr(D, "SLICE", size)
+        got = D.overlap_pairs(st)
+        assert sorted((r.statement_id, r.other_id) for r in got.collect()) == want
+    near = sorted(r.statement_id for r in D.near_statements(st, ids).collect())
+    assert near == sorted({b for a, b in want if a in batch} - batch)
