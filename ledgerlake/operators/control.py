@@ -54,6 +54,23 @@ def _latest(ev: DataFrame, cols: list[str], alias: str) -> DataFrame:
         F.max_by(F.struct(*[F.col(c) for c in cols]), F.col("event_seq")).alias(alias))
 
 
+def deciding_events(ev: DataFrame) -> DataFrame:
+    """The events of ``ev`` that ``current_statements`` depends on: per statement the latest with a status,
+    the latest reset, and the latest 'imported' and 'consolidated' after it.
+
+    Every choice is a maximum of ``event_seq``, so these rows and any other events give the same
+    statements as ``ev`` and those events do, whatever their order or overlap.
+    """
+    row = F.struct(*EVENT_COLUMNS)
+    latest = lambda cond: F.max_by(F.when(cond, row), F.when(cond, F.col("event_seq")))
+    kept = ev.groupBy("statement_id").agg(
+        latest(F.col("status").isNotNull()).alias("last"), latest(F.col("job") == "reset").alias("reset"),
+        latest(F.col("status") == "imported").alias("imported"), latest(F.col("status") == "consolidated").alias("consolidated"))
+    after = lambda c: F.when(F.coalesce(F.col(f"{c}.event_seq") > F.col("reset.event_seq"), F.lit(True)), F.col(c))
+    rows = F.array_distinct(F.array_compact(F.array("last", "reset", after("imported"), after("consolidated"))))
+    return kept.select(F.explode(rows).alias("e")).select("e.*")
+
+
 def current_statements(statements: DataFrame, ev: DataFrame) -> DataFrame:
     """The statement table as the reference keeps it (K6/K7 metadata).
 

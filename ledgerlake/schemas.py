@@ -48,6 +48,11 @@ STATEMENT_EVENT = StructType([
     StructField("load_id", StringType()),
 ])
 
+# The event log as stored, by day of its sequence number, and snapshots of its deciding events.
+EVENT_LOG = StructType([*STATEMENT_EVENT.fields, StructField("day", LongType())])
+EVENT_SNAPSHOT = StructType([*STATEMENT_EVENT.fields, StructField("snapshot_id", StringType())])
+SNAPSHOT_DONE = StructType([StructField("snapshot_id", StringType()), StructField("upto_day", LongType())])
+
 # Contents of files that no waiting statement has claimed yet, and the files that runs have used.
 HELD_FILE = StructType([
     StructField("file_path", StringType()),
@@ -66,6 +71,6 @@ USED_FILE = StructType([
 TABLE_SCHEMAS = {
     "bank_raw": BANK_RAW, "secu_raw": SECU_RAW,
     "bank_total": BANK_TOTAL, "secu_total": SECU_TOTAL,
-    "statement_event": STATEMENT_EVENT,
+    "statement_event": EVENT_LOG, "event_snapshot": EVENT_SNAPSHOT, "event_snapshot_done": SNAPSHOT_DONE,
     "held_file": HELD_FILE, "used_file": USED_FILE,
 }
