@@ -1,8 +1,14 @@
 """Consolidation: raw rows -> summary rows per statement.
 
-One lazy plan: partial + final HashAggregate keyed by (statement_id, keys),
-ordered reference lists via ``listagg ... WITHIN GROUP``, then per-statement
-numbering (``number_by_keys``) for the statement references.
+One lazy plan: an aggregate keyed by (statement_id, keys) with ordered reference
+lists via ``listagg ... WITHIN GROUP``, then per-statement numbering
+(``number_by_keys``) for the statement references.
+
+Lists of large groups (G5, S3) are built in ranges of the list's order: a row's
+range follows from cuts sampled within its group (``with_parts``), each range is
+sorted and joined by its own task, and only the finished pieces meet, with the
+sums of their ranges.  Where the caller knows that no statement has more than
+``PART_ROWS`` rows, no group can be large and one aggregate does.
 """
 
 from __future__ import annotations
@@ -15,7 +21,7 @@ from ..formats import SYSTEM_USER, TOTAL_DEFAULT_STATUS
 from ..functions import (empty_if_null, stable_id, statement_ref, statement_ref_prefix,
                          to_decimal)
 from ..functions.numbers import exact_ratio_text
-from .numbering import number_by_keys
+from .numbering import PART_ROWS, number_by_keys, with_parts
 
 # Group keys and output order, as the reference's GROUP BY / ORDER BY (fixed values).
 BANK_KEYS = ["account_number", "document_nr", "payment_date", "other_side_account",
@@ -51,36 +57,69 @@ def _sort_order(sort: list[str], keys: list[str]) -> list[str]:
     return sort + [k for k in keys if k not in sort]
 
 
-def _keys(keys: list[str], collation: str | None) -> list[Column]:
-    """Group keys; ``collation`` (e.g. 'UNICODE_CI_AI') groups text the way a
-    case/accent-insensitive database collation would (quirk Q7).  Default:
+def _collated(raw: DataFrame, keys: list[str], collation: str | None) -> DataFrame:
+    """Rows whose keys compare by ``collation`` (e.g. 'UNICODE_CI_AI' groups text the way a
+    case/accent-insensitive database collation would, quirk Q7).  Default:
     binary comparison, as the reference's tests run."""
     if collation is None:
-        return [F.col(k) for k in keys]
-    return [F.collate(F.col(k), collation).alias(k) for k in keys]
-
-
-def aggregate_bank(raw: DataFrame, order_by: str = "transaction_id", collation: str | None = None) -> DataFrame:
+        return raw
+    return raw.withColumns({k: F.collate(F.col(k), collation) for k in keys})
+
+
+def list_pieces(raw: DataFrame, keys: list[str], value: str, order_by: str, aggs: list[Column], sep: str = ",",
+                part_rows: int = PART_ROWS) -> DataFrame:
+    """One row per (keys, range of ``order_by``): ``_list``, the range's values in order, and ``aggs``."""
+    return (with_parts(raw, keys, [order_by], "_part", part_rows).groupBy(*keys, "_part")
+            .agg(_ordered_list(value, order_by, sep).alias("_list"), *aggs))
+
+
+def group_with_list(raw: DataFrame, keys: list[str], value: str, order_by: str, sums: dict[str, Column],
+                    averages: dict[str, tuple[Column, int]] | None = None, least: tuple = (), count: str | None = None,
+                    sep: str = ",", largest: int | None = None, part_rows: int = PART_ROWS) -> DataFrame:
+    """Per ``keys``, ``value`` joined in ``order_by`` order, decimal ``sums``, ``averages`` ((decimal,
+    its scale) -> 4 more decimals, HALF_UP), minima of the columns ``least``, and the number of rows as ``count``.
+
+    ``largest`` bounds the rows of a group, if the caller knows one; beyond ``part_rows``, or without a
+    bound, lists are built in ranges.  Both plans give the same rows.  NULL values are left out of a
+    list and '' kept, so a group of NULLs alone has a NULL list.
+    """
+    averages = averages or {}
+    if largest is not None and largest <= part_rows:
+        return raw.groupBy(*keys).agg(
+            *[F.sum(c).alias(n) for n, c in sums.items()], *[F.avg(c).alias(n) for n, (c, _) in averages.items()],
+            _ordered_list(value, order_by, sep).alias(value), *[F.min(c).alias(c) for c in least],
+            *([F.count(F.lit(1)).alias(count)] if count else []))
+    # sums and counts of a range; averages follow from those of their groups
+    partial = [*[F.sum(c).alias(f"_s_{n}") for n, c in sums.items()], *[F.min(c).alias(f"_m_{c}") for c in least]]
+    for n, (c, _) in averages.items():
+        partial += [F.sum(c).alias(f"_s_{n}"), F.count(c).alias(f"_n_{n}")]
+    if count:
+        partial.append(F.count(F.lit(1)).alias("_rows"))
+    pieces = list_pieces(raw, keys, value, order_by, partial, sep, part_rows)
+    total = lambda n: F.sum(f"_s_{n}").cast(pieces.schema[f"_s_{n}"].dataType)
+    ratio = lambda n, s: exact_ratio_text(total(n), F.sum(f"_n_{n}"), s, 0, s + 4).cast(DecimalType(19, s + 4))
+    return pieces.groupBy(*keys).agg(
+        *[total(n).alias(n) for n in sums], *[ratio(n, s).alias(n) for n, (_, s) in averages.items()],
+        _ordered_list("_list", "_part", sep).alias(value), *[F.min(f"_m_{c}").alias(c) for c in least],
+        *([F.coalesce(F.sum("_rows"), F.lit(0).cast("long")).alias(count)] if count else []))
+
+
+def aggregate_bank(raw: DataFrame, order_by: str = "transaction_id", collation: str | None = None,
+                   largest: int | None = None, part_rows: int = PART_ROWS) -> DataFrame:
     """G1: bank raw -> one row per (statement, 11 keys)."""
-    amt = to_decimal("payment_amount", *MONEY)
-    fee = to_decimal("transaction_fee", *MONEY)
-    return raw.groupBy("statement_id", *_keys(BANK_KEYS, collation)).agg(
-        F.round(F.sum(amt), 2).alias("payment_amount"),
-        F.round(F.sum(fee), 2).alias("transaction_fee"),
-        _ordered_list("provider_reference", order_by).alias("provider_reference"),
-    )
+    out = group_with_list(
+        _collated(raw, BANK_KEYS, collation), ["statement_id", *BANK_KEYS], "provider_reference", order_by,
+        {c: to_decimal(c, *MONEY) for c in ("payment_amount", "transaction_fee")}, largest=largest, part_rows=part_rows)
+    return out.withColumns({c: F.round(c, 2) for c in ("payment_amount", "transaction_fee")})
 
 
-def aggregate_secu(raw: DataFrame, order_by: str = "transaction_id", collation: str | None = None) -> DataFrame:
+def aggregate_secu(raw: DataFrame, order_by: str = "transaction_id", collation: str | None = None,
+                   largest: int | None = None, part_rows: int = PART_ROWS) -> DataFrame:
     """Securities raw -> one row per (statement, 6 keys); AVG price unweighted (Q20)."""
-    return raw.groupBy("statement_id", *_keys(SECU_KEYS, collation)).agg(
-        F.sum(to_decimal("quantity", *QUANTITY)).alias("quantity"),
-        F.avg(to_decimal("price", *PRICE)).alias("price"),
-        F.sum(to_decimal("amount", *MONEY)).alias("amount"),
-        F.sum(to_decimal("fee", *MONEY)).alias("fee"),
-        F.sum(to_decimal("total_amount", *MONEY)).alias("total_amount"),
-        _ordered_list("reference", order_by).alias("reference"),
-    )
+    return group_with_list(
+        _collated(raw, SECU_KEYS, collation), ["statement_id", *SECU_KEYS], "reference", order_by,
+        {"quantity": to_decimal("quantity", *QUANTITY), **{c: to_decimal(c, *MONEY) for c in ("amount", "fee", "total_amount")}},
+        {"price": (to_decimal("price", *PRICE), PRICE[1])}, largest=largest, part_rows=part_rows)
 
 
 def number_totals(agg: DataFrame, statements: DataFrame, sort: list[str],
@@ -115,16 +154,16 @@ def _finish(df: DataFrame, columns: list[str], load_id: Column | None) -> DataFr
 
 
 def consolidate_bank(raw: DataFrame, statements: DataFrame, load_id: Column | None = None,
-                     order_by: str = "transaction_id") -> DataFrame:
-    """Raw bank rows of many statements -> ``bank_total`` rows."""
-    agg = aggregate_bank(raw, order_by)
+                     order_by: str = "transaction_id", largest: int | None = None) -> DataFrame:
+    """Raw bank rows of many statements -> ``bank_total`` rows; ``largest``: most rows of a statement, if known."""
+    agg = aggregate_bank(raw, order_by, largest=largest)
     return _finish(number_totals(agg, statements, BANK_SORT, BANK_KEYS), BANK_TOTAL_COLUMNS, load_id)
 
 
 def consolidate_secu(raw: DataFrame, statements: DataFrame, load_id: Column | None = None,
-                     order_by: str = "transaction_id") -> DataFrame:
-    """Raw securities rows of many statements -> ``secu_total`` rows."""
-    agg = aggregate_secu(raw, order_by)
+                     order_by: str = "transaction_id", largest: int | None = None) -> DataFrame:
+    """Raw securities rows of many statements -> ``secu_total`` rows; ``largest`` as for the bank."""
+    agg = aggregate_secu(raw, order_by, largest=largest)
     return _finish(number_totals(agg, statements, SECU_SORT, SECU_KEYS), SECU_TOTAL_COLUMNS, load_id)
 
 
@@ -177,19 +216,13 @@ def design_bank(raw: DataFrame) -> DataFrame:
     })
 
 
-def design_secu(raw: DataFrame) -> DataFrame:
+def design_secu(raw: DataFrame, largest: int | None = None) -> DataFrame:
     """Design-document securities variant: (15,4) quantity, (15,6) price,
     references joined by '; ' in reference order, MIN(comment), COUNT(*)."""
-    return consolidate(raw, ["statement_id", *SECU_KEYS], {
-        "quantity": F.sum(to_decimal("quantity", 15, 4)),
-        "price": F.avg(to_decimal("price", 15, 6)),
-        "amount": F.sum(to_decimal("amount", *MONEY)),
-        "fee": F.sum(to_decimal("fee", *MONEY)),
-        "total_amount": F.sum(to_decimal("total_amount", *MONEY)),
-        "reference": _ordered_list("reference", "reference", "; "),
-        "comment": F.min("comment"),
-        "transaction_count": F.count(F.lit(1)),
-    })
+    return group_with_list(
+        raw, ["statement_id", *SECU_KEYS], "reference", "reference",
+        {"quantity": to_decimal("quantity", 15, 4), **{c: to_decimal(c, *MONEY) for c in ("amount", "fee", "total_amount")}},
+        {"price": (to_decimal("price", 15, 6), 6)}, least=("comment",), count="transaction_count", sep="; ", largest=largest)
 
 
 def vwap(raw: DataFrame) -> DataFrame:

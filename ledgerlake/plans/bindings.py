@@ -46,7 +46,7 @@ def _month_start(ts: Column) -> Column:
 
 
 def _statements(keys: DataFrame, prefix: str, account_type: str) -> DataFrame:
-    """keys: distinct (m date, r int) -> control rows."""
+    """keys: distinct (m date, r int) with the number of rows dated in the month -> control rows."""
     m = F.col("m")
     return keys.select(
         F.concat(F.lit(prefix), F.date_format(m, "yyyyMM"), F.lit("-"), F.col("r").cast("string")).alias("id"),
@@ -56,7 +56,7 @@ def _statements(keys: DataFrame, prefix: str, account_type: str) -> DataFrame:
         _fmt_date(F.date_add(F.add_months(m, 1), 6)).alias("to_date"),
         F.when(F.month(m) == 11, "error").when(F.month(m) == 12, "new").otherwise("imported").alias("status"),
         ((F.year(m) * 100 + F.month(m)) * 10 + F.col("r")).cast("int").alias("import_seq"),
-        m.alias("m"), F.col("r"),
+        m.alias("m"), F.col("r"), F.col("month_rows"),
     )
 
 
@@ -103,18 +103,27 @@ class World:
     def bank_stmt(self) -> DataFrame:
         n = self.t("nation").select("n_nationkey", "n_regionkey")
         c = self.t("customer").select("c_custkey", "c_nationkey").join(n, F.col("c_nationkey") == n.n_nationkey)
-        o = self.t("orders").select("o_custkey", _month_start(F.col("o_orderdate")).alias("m")).distinct()
-        keys = o.join(c, F.col("o_custkey") == F.col("c_custkey")).select("m", F.col("n_regionkey").alias("r")).distinct()
+        o = self.t("orders").groupBy("o_custkey", _month_start(F.col("o_orderdate")).alias("m")).agg(F.count(F.lit(1)).alias("n"))
+        keys = (o.join(c, F.col("o_custkey") == F.col("c_custkey")).groupBy("m", F.col("n_regionkey").alias("r"))
+                .agg(F.sum("n").alias("month_rows")))
         return cut_lineage(_statements(keys, "B", "bank"))
 
     @cached_property
     def secu_stmt(self) -> DataFrame:
         n = self.t("nation").select("n_nationkey", "n_regionkey")
         s = self.t("supplier").select("s_suppkey", "s_nationkey").join(n, F.col("s_nationkey") == n.n_nationkey)
-        li = self.t("lineitem").select("l_suppkey", _month_start(F.col("l_shipdate")).alias("m")).distinct()
-        keys = li.join(s, F.col("l_suppkey") == F.col("s_suppkey")).select("m", F.col("n_regionkey").alias("r")).distinct()
+        li = self.t("lineitem").groupBy("l_suppkey", _month_start(F.col("l_shipdate")).alias("m")).agg(F.count(F.lit(1)).alias("n"))
+        keys = (li.join(s, F.col("l_suppkey") == F.col("s_suppkey")).groupBy("m", F.col("n_regionkey").alias("r"))
+                .agg(F.sum("n").alias("month_rows")))
         return cut_lineage(_statements(keys, "S", "secu"))
 
+    def most_rows(self, kind: str, settlements: bool = False) -> int:
+        """A bound on the rows of one statement: it covers its month and some days of the next, and
+        every securities row settles in two bank rows."""
+        st = self.bank_stmt if kind == "bank" else self.secu_stmt
+        own = 2 * (st.agg(F.max("month_rows")).first()[0] or 0)
+        return own + 2 * self.most_rows("secu") if settlements else own
+
     @cached_property
     def stmt(self) -> DataFrame:
         """The statement control table (one row per statement: small, kept as

@@ -53,11 +53,11 @@ _TOTAL_DROP = ["date_created"]
 
 
 def bank_totals(w: World, with_settlements: bool = False) -> DataFrame:
-    return C.consolidate_bank(staged_bank(w, with_settlements), w.bank_stmt)
+    return C.consolidate_bank(staged_bank(w, with_settlements), w.bank_stmt, largest=w.most_rows("bank", with_settlements))
 
 
 def secu_totals(w: World) -> DataFrame:
-    return C.consolidate_secu(staged_secu(w), w.secu_stmt)
+    return C.consolidate_secu(staged_secu(w), w.secu_stmt, largest=w.most_rows("secu"))
 
 
 def stored_bank(w: World) -> DataFrame:
@@ -669,7 +669,8 @@ SELECT statement_id, {_SKEYS},
        min(comment) AS comment, count(*) AS transaction_count
 FROM secu_raw GROUP BY statement_id, {_SKEYS}"""))
 def q_consolidate_secu_design(spark, sf_dir):
-    g = C.design_secu(staged_secu(World(spark, sf_dir)))
+    w = World(spark, sf_dir)
+    g = C.design_secu(staged_secu(w), largest=w.most_rows("secu"))
     for c in ("quantity", "price", "amount", "fee", "total_amount"):
         g = g.withColumn(c, F.col(c).cast("string"))
     return g

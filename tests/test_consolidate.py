@@ -85,3 +85,40 @@ def test_optional_case_insensitive_grouping(spark):
     raw = stage(_secu(spark, rows), SECU_COLUMNS)
     assert C.aggregate_secu(raw).count() == 2                      # binary (default)
     assert C.aggregate_secu(raw, collation="UNICODE_CI_AI").count() == 1
+
+
+def test_a_large_group_is_listed_in_ranges(spark):
+    """One group with most rows, small ones, NULL and '' references, NULL and odd numbers: both plans agree."""
+    rows = [_buy(i, str(i % 7), f"-{i % 90}.{i % 100:02d}", f"R{i}", price=f"{i % 11}.3333333{i % 10}") for i in range(1, 4001)]
+    rows += [_buy(i, "1", "-3.50", None if i % 3 else "", price="")[:5] + (f"T{i % 5}",) + _buy(i, "1", "-3.50", None if i % 3 else "", price="x" if i % 4 else "-1.5")[6:]
+             for i in range(4001, 4040)]
+    rows += [("s2", 1, None, None, None, None, None, None, None, None, None, None, None, None, None)]
+    raw = stage(_secu(spark, rows), SECU_COLUMNS)
+    key = lambda r: str((r.statement_id, r.ticker))
+    whole = C.aggregate_secu(raw, largest=5000)
+    ranged = C.aggregate_secu(raw, part_rows=64)
+    assert ranged.schema == whole.schema
+    assert sorted(ranged.collect(), key=key) == sorted(whole.collect(), key=key)
+    pieces = C.list_pieces(raw, ["statement_id", *C.SECU_KEYS], "reference", "transaction_id",
+                           [F.count(F.lit(1)).alias("n")], part_rows=64).filter("ticker = 'LHV1T'").collect()
+    assert len(pieces) > 20 and max(r.n for r in pieces) < 1000
+    few, one = C.design_secu(raw), C.design_secu(raw, largest=5000)
+    assert few.schema == one.schema and sorted(few.collect(), key=key) == sorted(one.collect(), key=key)
+
+
+def test_ranged_lists_of_bank_groups_and_collations(spark):
+    def row(pos, name, prov):
+        v = {c: "" for c in BANK_COLUMNS}
+        v.update(payment_date="2024-01-02", d_c="D", other_side_name=name, payment_amount=f"{pos}.015",
+                 transaction_fee="0.10", currency="EUR", provider_reference=prov)
+        return ("a", pos, *[v[c] for c in BANK_COLUMNS])
+    rows = [row(i, "x" if i % 2 else "X", f"P{i}") for i in range(1, 1200)]
+    df = spark.createDataFrame(rows, "statement_id string, pos int, " + ", ".join(f"{c} string" for c in BANK_COLUMNS))
+    raw = stage(df, BANK_COLUMNS)
+    for collation, groups in ((None, 2), ("UNICODE_CI_AI", 1)):
+        whole = C.aggregate_bank(raw, collation=collation, largest=2000)
+        ranged = C.aggregate_bank(raw, collation=collation, part_rows=32)
+        pick = lambda d: sorted(map(str, d.select("payment_amount", "transaction_fee", "provider_reference").collect()))
+        assert ranged.schema == whole.schema and pick(ranged) == pick(whole) and whole.count() == groups
+    empty = C.aggregate_bank(raw.limit(0))
+    assert empty.count() == 0
