@@ -198,10 +198,14 @@ def drop_stored_duplicates(incoming: DataFrame, statements: DataFrame, stored_ra
 def flag_stored_duplicates(incoming: DataFrame, statements: DataFrame, stored_raw: DataFrame,
                            account_type: str) -> DataFrame:
     """Incoming rows + ``dedup_key`` + ``_dup`` (J4/J5 verdict per row)."""
+    return flag_held_keys(incoming, statements, stored_keys(stored_raw, account_type), account_type)
+
+
+def flag_held_keys(incoming: DataFrame, statements: DataFrame, stored: DataFrame, account_type: str) -> DataFrame:
+    """``flag_stored_duplicates`` against stored keys (statement_id, dedup_key)."""
     keyed = with_incoming_key(incoming, account_type)
     blocked = blocked_keys(keyed.select("statement_id", "dedup_key").distinct(),
-                           statements.filter(F.col("account_type") == account_type),
-                           stored_keys(stored_raw, account_type))
+                           statements.filter(F.col("account_type") == account_type), stored)
     flagged = keyed.join(blocked.withColumn("_dup", F.lit(True)), ["statement_id", "dedup_key"], "left")
     return flagged.withColumn("_dup", F.coalesce(F.col("_dup"), F.lit(False)))
 

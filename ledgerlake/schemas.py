@@ -68,9 +68,20 @@ USED_FILE = StructType([
     StructField("event_seq", LongType()),
 ])
 
+# Dedup keys of a load's raw rows, and the loads that have them.
+STORED_KEY = StructType([
+    StructField("statement_id", StringType()),
+    StructField("dedup_key", StringType()),
+    StructField("load_id", StringType()),
+    StructField("period", StringType()),
+    StructField("key_bucket", IntegerType()),
+])
+KEY_LOAD = StructType([StructField("load_id", StringType())])
+
 TABLE_SCHEMAS = {
     "bank_raw": BANK_RAW, "secu_raw": SECU_RAW,
     "bank_total": BANK_TOTAL, "secu_total": SECU_TOTAL,
     "statement_event": EVENT_LOG, "event_snapshot": EVENT_SNAPSHOT, "event_snapshot_done": SNAPSHOT_DONE,
+    "bank_key": STORED_KEY, "secu_key": STORED_KEY, "key_load": KEY_LOAD,
     "held_file": HELD_FILE, "used_file": USED_FILE,
 }

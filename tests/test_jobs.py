@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from fixtures import lhv_csv, lhv_row, secu_csv, secu_row, write
 from ledgerlake.operators.control import status_timeline
-from ledgerlake.plans.jobs import Lake, consolidate_statements, import_statements
+from ledgerlake.operators.dedup import stored_keys
+from ledgerlake.plans.jobs import Lake, consolidate_statements, import_statements, reset_statements
 from ledgerlake.schemas import STATEMENT
 
 
@@ -264,3 +265,42 @@ def test_reset_and_new_content_free_the_postings(spark):
     assert amounts() == []
     recognise_statements(lake, control, *data)
     assert amounts() == ["80.00"]
+
+
+def test_an_import_compares_with_stored_keys_only(spark):
+    """Keys are kept by load; re-imports, resets and loads without keys give the verdicts of the raw rows."""
+    rows = [lhv_row(doc=str(i), provider=f"P{i}" if i % 2 else "", arch=f"A{i}") for i in range(1, 7)]
+    lake, control, fdir = _setup(spark, [
+        (n, "bank", "X", "2024-01-01", "2024-01-31", f"{n}.csv", "new", i) for i, n in enumerate("abcd")],
+        {"a.csv": lhv_csv(rows), "b.csv": lhv_csv(rows[:4]), "c.csv": lhv_csv(rows[2:]), "d.csv": lhv_csv(rows[1:5])})
+    import_statements(lake, control, fdir, ids=["a"])
+    keys = lake.keys("bank", control)
+    plan = keys._jdf.queryExecution().toString()
+    assert "bank_key" in plan and "bank_raw" not in plan
+    scan = plan[plan.index("== Physical Plan =="):]
+    filters = scan[scan.index("PartitionFilters"):].split("]")[0]
+    assert "= import-" in filters and "(period" in filters  # the plan cuts long filters
+    pairs = lambda d: sorted(map(tuple, d.select("statement_id", "dedup_key").collect()))
+    derived = lambda: pairs(stored_keys(lake.current("bank", control), "bank"))
+    assert pairs(keys) == derived() and keys.count() == 6
+    import_statements(lake, control, fdir, ids=["b"], bulk=False)
+    assert _state(lake, control)["b"].duplicate_count == 4
+    # a re-import with other rows: the keys of the old load no longer block
+    write(fdir, "a.csv", lhv_csv(rows[:1]))
+    import_statements(lake, control, fdir, ids=["a"])
+    assert pairs(lake.keys("bank", control)) == derived() and len(derived()) == 1
+    import_statements(lake, control, fdir, ids=["c"])
+    assert (_state(lake, control)["c"].row_count, _state(lake, control)["c"].duplicate_count) == (4, 0)
+    # a reset statement holds no keys
+    reset_statements(lake, control, ["c"])
+    assert {s for s, _ in pairs(lake.keys("bank", control))} == {"a"}
+    import_statements(lake, control, fdir, ids=["c"])
+    # loads written before there was a key table are compared by their raw rows
+    old = Lake(spark, tempfile.mkdtemp(prefix="ll-lake-"))
+    for table, by in (("statement_event", ["day"]), ("bank_raw", ["load_id", "period", "bucket"])):
+        lake.read(table).write.partitionBy(*by).parquet(old.path(table))
+    assert pairs(old.keys("bank", control)) == derived()
+    for one in (lake, old):
+        import_statements(one, control, fdir, ids=["d"])
+        st = _state(one, control)["d"]
+        assert (st.row_count, st.duplicate_count) == (4, 3)
