@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from ..formats import (BANK_COLUMNS, BANK_COMPOSITE_INDICES, BANK_PRIMARY_KEY_INDEX,
                        SECU_COLUMNS, SECU_COMPOSITE_INDICES, SECU_PRIMARY_KEY_INDEX)
 from ..functions import incoming_dedup_key, stored_dedup_key
-from ..session import cut_lineage
+from ..session import written
 
 NON_BLOCKING_STATUSES = ("error", "new")
 # Statements of one account type from which a month is compared by days, and those of a bin that one task takes.
@@ -315,7 +315,7 @@ def bulk_dedup(incoming: DataFrame, statements: DataFrame, account_type: str,
     if stored is not None:
         held = held.unionByName(stored.withColumn("stored", F.lit(True)))
     held = held.join(st, "statement_id", "left").withColumn("valid", F.coalesce(F.col("from_day") <= F.col("to_day"), F.lit(False)))
-    held = cut_lineage(held)
+    held = written(held)
     counts = held.filter("valid").groupBy("dedup_key").agg(F.count(F.lit(1)).alias("holders"), F.count_if("stored").alias("stored_holders"))
     several = counts.filter("holders > 1 AND holders > stored_holders").select("dedup_key", "holders")
     # holders outside the fold: no valid period, or no other holder
