@@ -2,12 +2,14 @@
 
 import contextlib
 import io
+import time
 
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import java_trim, ordered_text
 from ledgerlake.operators import consolidate as C
 from ledgerlake.operators.numbering import number_within
+from ledgerlake.session import SHUFFLE_CLEANUP, written
 from ledgerlake.sources import csv_statements as CSV
 
 
@@ -64,3 +66,19 @@ def test_trim_and_header_without_scans(spark):
     heads = spark.createDataFrame([("﻿﻿a\nb",), ("\r\na",), ("a;b",), ("﻿",), ("",), (None,)], "t string")
     assert [tuple(r) for r in heads.select(CSV.header_line(F.col("t")), CSV.strip_bom(F.col("t"))).collect()] == [
         ("﻿a", "﻿a\nb"), ("", "\r\na"), ("a;b", "a;b"), ("", ""), (None, ""), (None, None)]
+
+
+def _shuffle_files(spark) -> set[str]:
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {f for f in disk.getAllFiles().mkString("\n").split("\n") if "shuffle_" in f}
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    before = _shuffle_files(spark)
+    table = written(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.count(F.lit(1)).alias("n")))
+    until = time.time() + 20
+    while (left := _shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left and spark.conf.get(SHUFFLE_CLEANUP) == "false"
+    assert sorted(table.collect()) == sorted(written(table.repartition(3)).join(table, ["k", "n"]).collect())
+    assert table.agg(F.sum("n")).first()[0] == 1000
