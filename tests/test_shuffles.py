@@ -82,3 +82,16 @@ def test_written_tables_leave_no_shuffle_files(spark):
     assert not left and spark.conf.get(SHUFFLE_CLEANUP) == "false"
     assert sorted(table.collect()) == sorted(written(table.repartition(3)).join(table, ["k", "n"]).collect())
     assert table.agg(F.sum("n")).first()[0] == 1000
+
+
+def test_files_are_collected_once_and_read_for_their_header_once(spark):
+    rows = spark.createDataFrame([("s", 2, "x"), ("s", 1, "y"), (None, 1, None)], "g string, pos int, c string")
+    files = CSV.render_csv(rows, ["c"], ["Kliendi konto", "Dok nr", "Makse kuupäev"], ";", ["g"], "pos", bom=False)
+    plan = _plan(files)     # printed from the last step to the first
+    assert plan.index("partial_collect_list") < plan.index("Exchange hashpartitioning(g")
+    head = '"Kliendi konto";"Dok nr";"Makse kuupäev"\r\n'
+    assert sorted(files.collect(), key=str) == sorted([("s", head + '"y"\r\n"x"\r\n'), (None, head + '""\r\n')], key=str)
+    for detect in (CSV.legacy_detect_format, CSV.detect_format):
+        found = files.select(detect(F.col("content")).alias("format"))
+        assert _plan(found).count("regexp_extract(") <= 1
+        assert [r["format"] for r in found.collect()] == ["SWEDBANK"] * 2
