@@ -2,14 +2,16 @@
 
 import contextlib
 import io
+import os
 import time
 
 from pyspark.sql import functions as F
 
+from ledgerlake import session
 from ledgerlake.functions import java_trim, ordered_text
 from ledgerlake.operators import consolidate as C
 from ledgerlake.operators.numbering import number_within
-from ledgerlake.session import SHUFFLE_CLEANUP, written
+from ledgerlake.session import SHUFFLE_CLEANUP, ensure_checkpoint_dir, tables_removed, written, written_in_slices
 from ledgerlake.sources import csv_statements as CSV
 
 
@@ -84,6 +86,49 @@ def test_written_tables_leave_no_shuffle_files(spark):
     assert table.agg(F.sum("n")).first()[0] == 1000
 
 
+def _tables(spark) -> set[str]:
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+    return {f for f in os.listdir(folder) if f.startswith("table-")}
+
+
+def test_slices_leave_their_result_alone(spark):
+    before = _tables(spark)
+    with tables_removed(spark) as outside:
+        rows = written(spark.range(10))
+        most = []
+
+        def build(i):
+            part = written(rows.filter(F.col("id") % 3 == i))
+            most.append(len(_tables(spark) - before))
+            return part.join(written(part), "id")
+        inner = written_in_slices(spark, 3, build)
+        with tables_removed(spark) as around:
+            kept = written_in_slices(spark, 1, lambda _: inner, around)
+            stays = written_in_slices(spark, 1, lambda _: kept, outside)
+        assert sorted(r["id"] for r in kept.collect()) == list(range(10))
+    assert most == [2, 3, 3] and len(_tables(spark) - before) == 1
+    assert sorted(r["id"] for r in stays.collect()) == list(range(10))
+
+
+def test_matches_in_slices_are_those_of_one(spark, monkeypatch):
+    from ledgerlake.operators import recognise as R
+    bank = spark.createDataFrame([(f"b{i:02}", f"B{i % 3}", f"R{i:02}", "A" if i % 5 else None, "EUR", f"{-(i % 7)}.00") for i in range(40)],
+                                 "id string, statement_id string, statement_reference string, bic string, currency string, payment_amount string")
+    rows = [(f"s{i:02}", f"S{i % 2}", f"Q{i:02}", "A", "EUR", "ost", f"{-(i % 7)}.00", f"{-(i % 2)}.00", f"{-(i % 7) - i % 2}.00") for i in range(30)]
+    secu = spark.createDataFrame(rows, "id string, statement_id string, statement_reference string, bic string, currency string, type string, amount string, "
+                                       "fee string, total_amount string").withColumns({c: F.lit("x") for c in (
+                                           "ticker", "description", "transaction_date", "quantity", "price", "value_date")})
+    types = spark.createDataFrame([("1", "SECBUY", "secu", "out", "SCR01", None)], "id string, code string, statement_type string, flow_type string, "
+                                  "asset_type string, is_customer string")
+    pool = {"secu": secu, "bank": bank, "trx_types": types, "legacy_fee_rule": False, "cut": written}
+    whole = sorted(map(str, R._secu_processor(pool)[1]["matches"].collect()))
+    before = _tables(spark)
+    monkeypatch.setattr(session, "SLICE_ROWS", 60)
+    sliced = R._secu_processor(pool)[1]["matches"]
+    assert whole and sorted(map(str, sliced.collect())) == whole
+    assert len(_tables(spark) - before) == 2        # matches and postings
+
+
 def test_files_are_collected_once_and_read_for_their_header_once(spark):
     rows = spark.createDataFrame([("s", 2, "x"), ("s", 1, "y"), (None, 1, None)], "g string, pos int, c string")
     files = CSV.render_csv(rows, ["c"], ["Kliendi konto", "Dok nr", "Makse kuupäev"], ";", ["g"], "pos", bom=False)
