@@ -140,3 +140,41 @@ def test_files_are_collected_once_and_read_for_their_header_once(spark):
         found = files.select(detect(F.col("content")).alias("format"))
         assert _plan(found).count("regexp_extract(") <= 1
         assert [r["format"] for r in found.collect()] == ["SWEDBANK"] * 2
+
+
+def test_slices_read_their_months_alone(spark, tmp_path, monkeypatch):
+    import datetime as dt
+
+    from ledgerlake.plans.bindings import World
+    months = [dt.datetime(2024, 1, 3), dt.datetime(2024, 1, 20), dt.datetime(2024, 2, 7), dt.datetime(2024, 3, 8), None]
+    for name, rows, schema in (
+            ("region", [(0, "R"), (1, "S")], "r_regionkey int, r_name string"), ("nation", [(0, "N", 0), (1, "M", 1)], "n_nationkey int, n_name string, n_regionkey int"),
+            ("customer", [(0, "c0", 0, "BUILDING"), (1, "c1", 1, "AUTOMOBILE")], "c_custkey long, c_name string, c_nationkey int, c_mktsegment string"),
+            ("supplier", [(0, 0), (1, 1)], "s_suppkey long, s_nationkey int"),
+            ("part", [(0, "p", "B", "T", 1.0)], "p_partkey long, p_name string, p_brand string, p_type string, p_retailprice double"),
+            ("orders", [(i, i % 2, "F", 5.0, at, "1-URGENT") for i, at in enumerate(months * 2)],
+             "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string"),
+            ("lineitem", [(i, 0, i % 2, 1, 1.0, 5.0, 0.0, 0.1, "A", "F", at) for i, at in enumerate(months * 2)],
+             "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+             "l_returnflag string, l_linestatus string, l_shipdate timestamp")):
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    whole = World(spark, str(tmp_path))
+    monkeypatch.setattr(session, "SLICE_ROWS", 14)
+    before = _tables(spark)
+    slices = whole.slices()
+    assert len(slices) == 3 and len(_tables(spark) - before) == 2     # the statements alone, no copy of all rows
+    for name in ("bank_all_in", "secu_in"):
+        want, parts = getattr(whole, name).collect(), [getattr(s, name).collect() for s in slices]
+        assert want and sorted(map(str, want)) == sorted(str(r) for p in parts for r in p)
+        assert all(not {r["statement_id"] for r in p} & {r["statement_id"] for q in parts if q is not p for r in q} for p in parts)
+    assert sorted(s.t("orders").count() for s in slices) == [2, 4, 6]     # days of Feb; Dec, Mar; Jan
+
+
+def test_places_share_no_line_and_are_all_met(spark, monkeypatch):
+    from ledgerlake.operators import recognise as R
+    bank = spark.createDataFrame([(f"b{i}", f"A{i % 4}") for i in range(40)] + [("n", None)], "id string, bic string").withColumn("currency", F.lit("EUR"))
+    assert R._places(bank) == [(None, 41)] and R._places(bank.filter("id = ''")) == [(None, 0)]
+    monkeypatch.setattr(session, "SLICE_ROWS", 20)
+    places = R._places(bank)
+    assert len(places) > 2 and sum(n for _, n in places) == 41
+    assert [bank.filter(p).count() for p, _ in places] == [n for _, n in places]
