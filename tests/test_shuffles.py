@@ -178,3 +178,48 @@ def test_places_share_no_line_and_are_all_met(spark, monkeypatch):
     places = R._places(bank)
     assert len(places) > 2 and sum(n for _, n in places) == 41
     assert [bank.filter(p).count() for p, _ in places] == [n for _, n in places]
+
+
+def test_postings_in_slices_are_those_of_one(spark, monkeypatch):
+    from ledgerlake.operators import recognise as R
+    bank = spark.createDataFrame([(f"b{i:02}", "B", f"R{i:02}", "A", "EUR", f"{i % 5 - 2}.00", "0", f"{i % 3:08}", "d", "12345678", "n", "C", "x", "y") for i in range(40)],
+                                 "id string, statement_id string, statement_reference string, bic string, currency string, payment_amount string, transaction_fee string, "
+                                 "customer_id string, payment_description string, other_side_account string, other_side_name string, d_c string, other_side_bic string, "
+                                 "payment_date string")
+    rows = [(f"s{i:02}", "S", f"Q{i:02}", "A", "EUR", "split-" if i % 2 else "split+", f"{'-' * (i % 2)}1", f"t{i % 6 // 2}") for i in range(30)]
+    secu = spark.createDataFrame(rows, "id string, statement_id string, statement_reference string, bic string, currency string, type string, quantity string, "
+                                       "ticker string").withColumns({c: F.lit("x") for c in (
+                                           "description", "transaction_date", "price", "value_date", "amount", "fee", "total_amount")})
+    customers = spark.createDataFrame([("C1", "R1", "00000001", None, None, None, "a"), ("C2", "R2", None, None, "n", None, "12345678")],
+                                      "id string, customer_ref string, registration_number string, national_id string, org_name string, ind_business_name string, "
+                                      "account_number string")
+    pool = {"secu": secu, "bank": bank, "offered": bank, "currencies": spark.createDataFrame([("EUR",)], "code string"), "customers": customers, "cut": written,
+            "trx_types": spark.createDataFrame([("1", "IN", "bank", "in", "CSH01", "yes"), ("2", "SL", "secu", None, "SCR01", None)],
+                                               "id string, code string, statement_type string, flow_type string, asset_type string, is_customer string")}
+    links = spark.createDataFrame([(f"s{i:02}", "secu_total", "secu", f"p{i}", "T", None) for i in range(0, 30, 3)]
+                                  + [(f"b{i:02}", "bank_total", "secupmt" if i % 2 else "secufee", f"p{i - i % 2}", "T", None) for i in range(40)],
+                                  "total_id string, total_table string, role string, posting_id string, transaction_type string, main_id string")
+    totals = {"bank_total": bank.select("id", F.lit("new").alias("status")), "secu_total": secu.select("id", F.lit("new").alias("status"))}
+
+    def results():
+        found = R._split_processor(pool)[1] | R._bank_processor(pool)[1] | {t: R.posted_in_slices(rows, links, t) for t, rows in totals.items()}
+        return {k: (found[k].columns, sorted(map(str, found[k].collect()))) for k in ("pairs", "ops", "resolved", "bank_posts", *totals)}
+    before = _tables(spark)
+    whole = results()
+    assert _tables(spark) == before and all(rows for _, rows in whole.values())
+    monkeypatch.setattr(session, "SLICE_ROWS", 25)
+    assert results() == whole
+    assert len(_tables(spark) - before) == 4        # pairs, resolved and two views
+
+
+def test_configuration_is_sent_to_the_rows(spark):
+    from ledgerlake.operators import recognise as R
+    bank = spark.range(3).select(*[F.col("id").cast("string").alias(c) for c in (
+        "id", "statement_id", "statement_reference", "bic", "payment_amount", "currency", "transaction_fee", "payment_description", "payment_date",
+        "other_side_account", "d_c", "customer_id", "other_side_bic", "other_side_name")])
+    ops = R.bank_operations(bank, spark.createDataFrame([("1",), ("2",)], "code string"))
+    assert "hashpartitioning(currency" not in _plan(ops).split("BroadcastExchange")[0] and ops.count() == 2
+    ledger = spark.createDataFrame([("1", "a", "n", "T", "", "", 1)], "id string, code string, name string, basis_trx_type string, included_words string, "
+                                                                        "excluded_words string, ordinal int")
+    posts = R.classify_ledger_op(ops.withColumn("transaction_type", F.lit("T")).withColumn("asset", F.lit("abc")), ledger)
+    assert "SortMergeJoin" not in _plan(posts) and [r["ledger_op"] for r in posts.collect()] == ["a", "a"]
