@@ -92,7 +92,9 @@ def links(fps: DataFrame, max_bits: int = 3, segments: int = 2) -> DataFrame:
         close = F.bit_count(value) <= radius
         once = once | ((F.pmod(F.col("key"), F.lit(segments)) == i) & close & ~seen)
         seen = seen | close
-    return table.join(probes, "key").filter((F.col("u") < F.col("v")) & near & once).select("u", "v")
+    # merged, whatever Spark makes of their size: it takes a table of one row a ball for no larger than before explode
+    return (table.hint("merge").join(probes.hint("merge"), "key")
+            .filter((F.col("u") < F.col("v")) & near & once).select("u", "v"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str, text_col: str, shingle: int = 3, max_bits: int = 3,

@@ -100,3 +100,13 @@ def test_components(spark):
 def test_multiset_of_rows_is_kept(spark):
     df = spark.range(50).select(F.col("id").alias("doc_id"), F.concat(F.lit("same words here "), F.col("id") % 2).alias("text"))
     assert simhash.near_duplicates(df, "doc_id", "text").count() == 50
+
+
+def test_the_balls_are_not_broadcast(spark):
+    """Spark sizes an exploded table as before explode, so it would send all balls through the driver."""
+    fps = [0, 1, 6, 1 << 40, (1 << 40) | 1, 1 << 20 | 0xff]
+    found = simhash.links(spark.createDataFrame([(f,) for f in fps], "fp long"))
+    assert sorted(map(tuple, found.collect())) == sorted(
+        (a, b) for a in fps for b in fps if a < b and (a ^ b).bit_count() <= 3)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
