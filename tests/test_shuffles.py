@@ -3,17 +3,21 @@
 import contextlib
 import io
 import os
+import threading
 import time
 
 from pyspark.sql import functions as F
 
 from ledgerlake import session
-from ledgerlake.functions import java_trim, ordered_text
+from ledgerlake.functions import java_trim, ordered_text, statement_ref, zero_pad
 from ledgerlake.operators import consolidate as C
 from ledgerlake.operators.numbering import number_within
+from ledgerlake.operators.stage import _by_fields, number_rows
 from ledgerlake.session import SHUFFLE_CLEANUP, ensure_checkpoint_dir, tables_removed, written, written_in_slices
 from ledgerlake.sources import csv_statements as CSV
 
+SF_SMALL = "/root/testdata/sf0.001"
+
 
 def _plan(df) -> str:
     out = io.StringIO()
@@ -223,3 +227,57 @@ def test_configuration_is_sent_to_the_rows(spark):
                                                                         "excluded_words string, ordinal int")
     posts = R.classify_ledger_op(ops.withColumn("transaction_type", F.lit("T")).withColumn("asset", F.lit("abc")), ledger)
     assert "SortMergeJoin" not in _plan(posts) and [r["ledger_op"] for r in posts.collect()] == ["a", "a"]
+
+
+def test_slices_are_few_and_compare_dates_with_their_days(spark, monkeypatch):
+    from ledgerlake.plans.bindings import World
+    monkeypatch.setattr(session, "SLICE_ROWS", 100)
+    assert session.slices_of(10 ** 9) == session.MAX_SLICES
+    w = World(spark, SF_SMALL)
+    slices = w.slices(bank=False)
+    assert len(slices) == session.MAX_SLICES and "bank_stmt" not in vars(w)
+    assert all("trunc" not in _plan(s.t("lineitem")) and "PushedFilters: [Or(" in _plan(s.t("lineitem")) for s in slices)
+    named, taken_apart = slices[3].t("lineitem"), World(spark, SF_SMALL, slices[3].slice).t("lineitem")
+    assert named.count() == taken_apart.count() > 0 and named.exceptAll(taken_apart).isEmpty()
+
+
+def test_staged_and_scanned_rows_in_slices_are_those_of_one(spark, monkeypatch):
+    from ledgerlake.plans import catalog
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+    for name in ("stage_numbering", "scan_csv_blocks"):
+        whole = sorted(map(str, catalog.QUERIES[name](spark, SF_SMALL).collect()))
+        before = set(os.listdir(folder))
+        with monkeypatch.context() as m:
+            m.setattr(session, "SLICE_ROWS", 1000)
+            sliced = catalog.QUERIES[name](spark, SF_SMALL)
+        left = set(os.listdir(folder)) - before
+        assert len(left) == 2 and all(f.startswith("table-") for f in left)       # the statements and the result
+        assert whole and sorted(map(str, sliced.collect())) == whole
+
+
+def test_steps_at_once_run_together_and_leave_the_setting(spark):
+    both = threading.Barrier(2, timeout=60)
+    tables = [session.SlicedTable(spark), session.SlicedTable(spark)]
+
+    def step(i):
+        both.wait()
+        tables[i].add(lambda: spark.range(10 * i + 1).groupBy("id").count())
+        assert spark.conf.get(SHUFFLE_CLEANUP) == "true"
+    session.at_once(spark, lambda: step(0), lambda: step(1))
+    assert [t.rows().count() for t in tables] == [1, 11] and spark.conf.get(SHUFFLE_CLEANUP) == "false"
+
+
+def test_groups_of_one_cut_are_not_split(spark):
+    raw = spark.range(300).select((F.col("id") % 150).cast("string").alias("g"), F.format_string("%04d", "id").alias("at"), F.lit("v").alias("v"))
+    few = C.group_with_list(raw, ["g"], "v", "at", {}, count="n", part_rows=100)
+    assert "LeftAnti" not in _plan(few) and {tuple(r) for r in few.select("v", "n").collect()} == {("v,v", 2)}
+
+
+def test_numbers_are_padded_without_a_formatter_and_sorted_by_field(spark):
+    df = spark.createDataFrame([(n, p) for n, p in zip([0, 7, 99, 100, 1234, -5, None], ["a", None] * 4)], "n int, p string")
+    assert df.filter(~zero_pad("n").eqNullSafe(F.format_string("%03d", "n"))).isEmpty()
+    assert df.filter(~statement_ref("p", "n").eqNullSafe(F.format_string("%s.%03d", "p", "n"))).isEmpty()
+    rows = df.select(F.lit("s").alias("statement_id"), F.when(F.col("n").isNotNull(), F.struct("n", "p")).alias("pos"))
+    assert len(_by_fields(rows, "pos")) == 3 and len(_by_fields(df, "n")) == 1
+    numbered = number_rows(rows, "pos")
+    assert [r["pos"] and r["pos"]["n"] for r in numbered.orderBy("transaction_id").collect()] == [None, -5, 0, 7, 99, 100, 1234]
